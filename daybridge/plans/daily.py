@@ -84,6 +84,22 @@ def bridge_next_event(df: DataFrame, spec: BridgeSpec) -> DataFrame:
     return linked.select(*[F.col(_quote(c)) for c in df.columns], *kept)
 
 
+# Above this many days per write, rows are regrouped by day first, so that each
+# day is written by a few tasks instead of every task writing a file per day.
+REGROUP_ABOVE_DAYS = 4
+
+
+def _file_layout(out: DataFrame, pcol: str, output_partitions: int | None, many_days: bool) -> DataFrame:
+    """Order columns for the table (partition column last) and pick the write layout."""
+    out = out.select(*[F.col(_quote(c)) for c in out.columns if c != pcol], F.col(_quote(pcol)))
+    if output_partitions:
+        return out.hint("rebalance", output_partitions, pcol)
+    if many_days:
+        # Adaptive execution splits a large day into evenly sized files.
+        return out.hint("rebalance", pcol)
+    return out
+
+
 def _check_table_schema(table_df: DataFrame, batch: DataFrame, spec: BridgeSpec) -> None:
     expected = {f.name: f.dataType for f in batch.schema.fields}
     actual = {f.name: f.dataType for f in table_df.schema.fields if f.name not in spec.added_columns}
@@ -122,8 +138,9 @@ def load_day(
       the days read back are overwritten (dynamic partition overwrite); other
       partitions are untouched. A new table is created partitioned by the
       partition column, managed or at ``location``.
-    * ``output_partitions`` adds a rebalance step so that each partition is
-      written as about that many files of even size.
+    * ``output_partitions`` adds a rebalance step into that many partitions
+      by day. Batches of more than ``REGROUP_ABOVE_DAYS`` days are regrouped
+      by day anyway; a daily batch is written straight from the window stage.
 
     One writer per table at a time. Returns the sorted list of days written.
     """
@@ -163,9 +180,7 @@ def load_day(
         union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), parts)
         linked = bridge_next_event(union, spec)
         out = linked.where(F.col(_ROLE) == 0).drop(_ROLE)
-        out = out.select(*[F.col(_quote(c)) for c in out.columns if c != pcol], F.col(_quote(pcol)))
-        if output_partitions:
-            out = out.hint("rebalance", output_partitions, pcol)
+        out = _file_layout(out, pcol, output_partitions, len(written) > REGROUP_ABOVE_DAYS)
         if exists:
             overwrite_partitions(out, table)
         else:
@@ -216,10 +231,7 @@ def bulk_load(
     """Write ``bulk_bridge(df)`` into ``table`` (its days replace existing partitions)."""
     spark = df.sparkSession
     pcol = spec.partition_col
-    out = bulk_bridge(df, spec)
-    out = out.select(*[F.col(_quote(c)) for c in out.columns if c != pcol], F.col(_quote(pcol)))
-    if output_partitions:
-        out = out.hint("rebalance", output_partitions, pcol)
+    out = _file_layout(bulk_bridge(df, spec), pcol, output_partitions, True)
     if table_exists(spark, table):
         overwrite_partitions(out, table)
     else:

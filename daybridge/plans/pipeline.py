@@ -1,0 +1,109 @@
+"""The flight pipeline: config file, one JSON batch, UTC times, daily load."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from daybridge.operators.project import ColumnSpec
+from daybridge.operators.utc import add_utc_time
+from daybridge.plans.daily import BridgeSpec, load_day
+from daybridge.sources.json_source import ingest_json
+from daybridge.sources.zones import read_zones
+
+
+@dataclass(frozen=True)
+class UtcSpec:
+    """Columns used to compute the UTC departure time."""
+
+    date_col: str = "FlightDate"
+    hhmm_col: str = "DepTime"
+    key_col: str = "Origin"
+    zone_key: str = "iata_code"
+    zone_col: str = "iana_tz"
+    out_col: str = "FlightTime"
+    as_ntz: bool = False
+
+
+@dataclass(frozen=True)
+class IngestConfig:
+    """Column specs and target table, as in the JSON config file::
+
+        {"data_columns": [{"name": .., "type": .., "format": .., "comment": ..}, ..],
+         "output_table": "default.flights", "output_partitions": 10}
+    """
+
+    specs: tuple[ColumnSpec, ...]
+    output_table: str
+    output_partitions: int | None = None
+    table_location: str | None = None
+    utc: UtcSpec = field(default_factory=UtcSpec)
+    bridge: BridgeSpec = field(default_factory=BridgeSpec)
+
+    @classmethod
+    def from_dict(cls, d: Mapping) -> "IngestConfig":
+        return cls(
+            specs=tuple(ColumnSpec.from_dict(c) for c in d["data_columns"]),
+            output_table=d["output_table"],
+            output_partitions=d.get("output_partitions"),
+            table_location=d.get("output_path"),
+        )
+
+    @classmethod
+    def from_file(cls, path: str | Path) -> "IngestConfig":
+        with Path(path).open("r", encoding="utf-8") as f:
+            return cls.from_dict(json.load(f))
+
+
+def prepare_batch(
+    spark: SparkSession,
+    data_path: str | list[str],
+    config: IngestConfig,
+    zones: DataFrame,
+    *,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """Ingest one JSON batch and add the UTC departure time."""
+    flights = ingest_json(spark, data_path, config.specs, schema=schema)
+    u = config.utc
+    return add_utc_time(
+        flights,
+        zones,
+        date_col=u.date_col,
+        hhmm_col=u.hhmm_col,
+        key_col=u.key_col,
+        zone_key=u.zone_key,
+        zone_col=u.zone_col,
+        out_col=u.out_col,
+        as_ntz=u.as_ntz,
+    )
+
+
+def process_file(
+    spark: SparkSession,
+    data_path: str | list[str],
+    config: IngestConfig,
+    zones: DataFrame | str,
+    *,
+    schema: T.StructType | str | None = None,
+) -> list:
+    """Ingest a file, add UTC and next-departure columns, load it into the table.
+
+    ``zones`` is the zone dimension or the path of its CSV file. Returns the
+    days written.
+    """
+    if isinstance(zones, str):
+        zones = read_zones(spark, zones, key_col=config.utc.zone_key, zone_col=config.utc.zone_col)
+    batch = prepare_batch(spark, data_path, config, zones, schema=schema)
+    return load_day(
+        batch,
+        config.output_table,
+        config.bridge,
+        location=config.table_location,
+        output_partitions=config.output_partitions,
+    )
