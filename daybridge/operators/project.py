@@ -38,8 +38,7 @@ def typed_column(spec: ColumnSpec, *, on_error: str = "raise") -> Column:
     lenient = on_error == "null"
     if spec.type.strip().lower() == "date":
         if spec.format:
-            fmt = F.lit(spec.format)
-            value = F.try_to_date(src, fmt) if lenient else F.to_date(src, spec.format)
+            value = F.try_to_date(src, spec.format) if lenient else F.to_date(src, spec.format)
         else:
             value = F.try_to_date(src) if lenient else F.to_date(src)
     else:
