@@ -15,9 +15,9 @@ Two physical shapes, same result:
   next non-empty segment of its key, found on a table with one row per hot
   segment. A key holding a third of all rows is spread over many tasks.
 
-``auto`` (default) counts rows per key first (an aggregate with map-side
-combine, so only one row per key and map task is shuffled) and takes ``split``
-only when some key is larger than ``segment_rows``.
+``auto`` (default) first counts rows per key (an aggregate over the key
+columns with map-side combine; two numbers reach the driver) and takes
+``split`` only when some key has more than ``segment_rows`` rows.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybridge.functions.clock import order_number, seconds_between
-from daybridge.sources.scratch import checkpoint_root
 
 DEFAULT_SEGMENT_ROWS = 2_000_000
 # One row per hot key is broadcast. A hot key has more than segment_rows rows,
@@ -103,16 +102,15 @@ def add_next_event(
     )
     base = df.withColumn(_PAIR, pair)
 
+    window = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
     if strategy == "window":
-        linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)))
+        linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
     else:
-        hot = _hot_keys(df, keys, time_col, time_type, segment_rows)
-        hot_count = hot.count()
-        if hot_count == 0 and strategy == "auto":
-            linked = base.withColumn(
-                _NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order))
-            )
+        largest, hot_count = _key_profile(df, keys, segment_rows)
+        if strategy == "auto" and largest <= segment_rows:
+            linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
         else:
+            hot = _hot_keys(df, keys, time_col, time_type, segment_rows)
             linked = _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order)
 
     nxt = F.col(_NEXT)
@@ -123,11 +121,24 @@ def add_next_event(
     return linked.select(*[_col(c) for c in df.columns], *outputs)
 
 
+def _key_profile(df: DataFrame, keys, segment_rows) -> tuple[int, int]:
+    """Rows of the largest key and number of keys above ``segment_rows``.
+
+    One aggregate over the key columns only; partial aggregation shuffles one
+    row per key and map task, and two numbers reach the driver.
+    """
+    per_key = df.groupBy(*[_col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(
+        F.max("_n").alias("largest"),
+        F.count(F.when(F.col("_n") > F.lit(segment_rows), True)).alias("hot"),
+    ).first()
+    return int(row["largest"] or 0), int(row["hot"] or 0)
+
+
 def _hot_keys(df: DataFrame, keys, time_col, time_type, segment_rows) -> DataFrame:
-    """One row per key with more than ``segment_rows`` rows: range start, width and count.
+    """One row per key with more than ``segment_rows`` rows: range start, width and segment count.
 
-    Checkpointed (reliable, in the shared checkpoint folder) so that the main
-    job does not scan the input a third time and survives executor loss.
+    Evaluated inside the main job; its size is at most total_rows / segment_rows.
     """
     num = order_number(_col(time_col), time_type)
     stats = df.groupBy(*[_col(k) for k in keys]).agg(
@@ -137,14 +148,12 @@ def _hot_keys(df: DataFrame, keys, time_col, time_type, segment_rows) -> DataFra
         F.max(num).alias("_hi"),
     )
     n_seg = F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long")
-    hot = stats.where(F.col("_n") > F.lit(segment_rows)).select(
+    return stats.where(F.col("_n") > F.lit(segment_rows)).select(
         *[_col(k) for k in keys],
         F.coalesce(F.col("_lo"), F.lit(0.0)).alias("_lo"),
         F.coalesce((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / n_seg, F.lit(1.0)).alias("_width"),
         n_seg.alias("_nseg"),
     )
-    checkpoint_root(df.sparkSession)
-    return hot.checkpoint(eager=True)
 
 
 def _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order) -> DataFrame:

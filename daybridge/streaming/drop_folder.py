@@ -59,6 +59,8 @@ def watch_folder(
             location=config.table_location,
             output_partitions=config.output_partitions,
         )
+        # The batch runs in a cloned session; drop the caller's cached file list.
+        spark.catalog.refreshTable(config.output_table)
 
     writer = raw.writeStream.foreachBatch(_load).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
