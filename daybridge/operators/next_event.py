@@ -110,7 +110,7 @@ def add_next_event(
         if strategy == "auto" and largest <= segment_rows:
             linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
         else:
-            hot = _hot_keys(df, keys, time_col, time_type, segment_rows)
+            hot = _hot_keys(df, keys, time_col, time_type, tie_breakers, segment_rows)
             linked = _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order)
 
     nxt = F.col(_NEXT)
@@ -135,42 +135,72 @@ def _key_profile(df: DataFrame, keys, segment_rows) -> tuple[int, int]:
     return int(row["largest"] or 0), int(row["hot"] or 0)
 
 
-def _hot_keys(df: DataFrame, keys, time_col, time_type, segment_rows) -> DataFrame:
-    """One row per key with more than ``segment_rows`` rows: range start, width and segment count.
+def _tie_number(df: DataFrame, tie_breakers) -> Column | None:
+    """Order number of the first tie-breaker, when it has an orderable numeric form."""
+    if not tie_breakers:
+        return None
+    try:
+        return order_number(_col(tie_breakers[0]), df.schema[tie_breakers[0]].dataType)
+    except TypeError:
+        return None
 
-    Evaluated inside the main job; its size is at most total_rows / segment_rows.
+
+def _hot_keys(df: DataFrame, keys, time_col, time_type, tie_breakers, segment_rows) -> DataFrame:
+    """One row per key with more than ``segment_rows`` rows, describing its segments.
+
+    Timed rows are cut into ``_nseg`` equal time ranges starting at ``_lo``.
+    Null-time rows come after them in the key's order; they are ordered by the
+    tie-breakers, so when the first tie-breaker is numeric they are cut into
+    ``_nnseg`` ranges of it as well. Evaluated inside the main job; the table
+    has at most total_rows / segment_rows rows.
     """
     num = order_number(_col(time_col), time_type)
+    tie = _tie_number(df, tie_breakers)
+    null_tie = F.when(num.isNull(), tie) if tie is not None else F.lit(None).cast("double")
     stats = df.groupBy(*[_col(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count(num).alias("_nt"),
         F.min(num).alias("_lo"),
         F.max(num).alias("_hi"),
+        F.count(null_tie).alias("_nn"),
+        F.min(null_tie).alias("_blo"),
+        F.max(null_tie).alias("_bhi"),
     )
     n_seg = F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long")
+    nn_seg = F.greatest(F.ceil(F.col("_nn") / F.lit(segment_rows)), F.lit(1)).cast("long")
     return stats.where(F.col("_n") > F.lit(segment_rows)).select(
         *[_col(k) for k in keys],
         F.coalesce(F.col("_lo"), F.lit(0.0)).alias("_lo"),
         F.coalesce((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / n_seg, F.lit(1.0)).alias("_width"),
         n_seg.alias("_nseg"),
+        F.coalesce(F.col("_blo"), F.lit(0.0)).alias("_blo"),
+        F.coalesce((F.col("_bhi") - F.col("_blo") + F.lit(1.0)) / nn_seg, F.lit(1.0)).alias("_bwidth"),
+        nn_seg.alias("_nnseg"),
     )
 
 
+def _range_index(value: Column, lo: str, width: str, count: str) -> Column:
+    return F.least(F.floor((value - F.col(lo)) / F.col(width)).cast("long"), F.col(count) - F.lit(1))
+
+
 def _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order) -> DataFrame:
     if hot_count <= MAX_BROADCAST_HOT_KEYS:
         hot = F.broadcast(hot)
     num = order_number(_col(time_col), time_type)
+    tie = _tie_number(base, tie_breakers)
+    null_segment = F.col("_nseg")
+    if tie is not None:
+        # rows with a null tie-breaker sort first among the null-time rows
+        null_segment = null_segment + F.coalesce(_range_index(tie, "_blo", "_bwidth", "_nnseg"), F.lit(0))
     joined = base.join(hot, on=keys, how="left")
     segment = (
         F.when(F.col("_width").isNull(), F.lit(0))
-        .when(num.isNull(), F.col("_nseg"))
-        .otherwise(
-            F.least(F.floor((num - F.col("_lo")) / F.col("_width")).cast("long"), F.col("_nseg") - F.lit(1))
-        )
+        .when(num.isNull(), null_segment)
+        .otherwise(_range_index(num, "_lo", "_width", "_nseg"))
     )
     seg = joined.select(
         "*", segment.cast("long").alias(_SEG), F.col("_width").isNotNull().alias(_HOT)
-    ).drop("_lo", "_width", "_nseg")
+    ).drop("_lo", "_width", "_nseg", "_blo", "_bwidth", "_nnseg")
 
     in_segment = seg.withColumn(
         _NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*[_col(k) for k in keys], F.col(_SEG)).orderBy(*order))

@@ -80,3 +80,16 @@ def test_output_name_clash_and_bad_strategy(spark):
         add_next_event(df, "k", "ts", {"attr": "attr"})
     with pytest.raises(ValueError):
         add_next_event(df, "k", "ts", strategy="fast")
+
+
+@pytest.mark.parametrize("strategy, seg", STRATEGIES)
+def test_hot_key_with_many_null_times(spark, strategy, seg):
+    # a third of the rows share one key, and half of those have no time
+    rows = [
+        (0 if i % 3 == 0 else i, i, None if (i % 3 == 0 and i % 2 == 0) else f"2024-01-{1 + i % 28:02d} 10:{i % 60:02d}:00", i % 7)
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(rows, "k long, id long, t string, v long").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    base = add_next_event(df, "k", "t", {"v_next": "v", "id_next": "id"}, ["id"], strategy="window")
+    got = add_next_event(df, "k", "t", {"v_next": "v", "id_next": "id"}, ["id"], strategy=strategy, segment_rows=seg * 15)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, base.collect()))
