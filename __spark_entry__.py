@@ -449,7 +449,7 @@ def oracle_sql() -> dict[str, str]:
         "reload_day": _CLOSED_FORM_SQL.format(extra=f" AND NOT (day = DATE '{day}' AND nd > day)"),
         "bulk_bridge": _CLOSED_FORM_SQL.format(extra=""),
         "json_daily_pipeline": f"""
-            SELECT o_orderkey, Origin, DepTime, o_totalprice, FlightTime,
+            SELECT o_orderkey, Origin, CAST(DepTime AS INTEGER) AS DepTime, o_totalprice, FlightTime,
                    CASE WHEN keep THEN nft END AS FlightTime_next,
                    CASE WHEN keep THEN nok END AS orderkey_next,
                    CASE WHEN keep THEN (epoch_us(nft) - epoch_us(FlightTime)) // 1000000 END AS diff_next,
