@@ -34,6 +34,13 @@ ZONE_ROWS = [
     ("4-NOT SPECIFIED", None),
     ("PHX", "America/Phoenix"),
 ]
+# Zone dimension of json_daily_pipeline: the event type plays the airport code.
+EVENT_ZONE_ROWS = [
+    ("view", "America/New_York"),
+    ("click", "Asia/Tokyo"),
+    ("error", "Europe/Madrid"),
+    ("purchase", None),
+]
 FILTER_DAY = dt.date(2024, 1, 15)  # day selected / replaced / reloaded in the event queries
 SPLIT_DAY = dt.date(2024, 1, 16)  # first day of the second half in union_days
 HOT_SEGMENT_ROWS = 500  # segment size of next_event_hot_keys (every event type is a hot key)
@@ -253,40 +260,49 @@ def q_bulk_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bulk_bridge(_events_by_day(spark, sf_dir), EVENT_SPEC)
 
 
-ORDER_JSON_SPECS = [
+EVENT_JSON_SPECS = [
     ColumnSpec("FlightDate", "date", "yyyy-MM-dd", "departure date"),
-    ColumnSpec("o_orderkey", "bigint", comment="order key"),
+    ColumnSpec("event_id", "bigint", comment="event id"),
     ColumnSpec("Origin", "string", comment="origin code"),
     ColumnSpec("DepTime", "int", comment="local departure clock HHmm"),
-    ColumnSpec("o_totalprice", "double", comment="total price"),
+    ColumnSpec("user_id", "bigint", comment="user"),
+    ColumnSpec("value", "double", comment="event value"),
 ]
 
 
 def q_json_daily_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON batch -> flatten -> typed columns -> UTC time -> daily load -> table."""
-    dep = _order_departures(spark, sf_dir, "o_totalprice")
-    nested = dep.select(
-        F.date_format("FlightDate", "yyyy-MM-dd").alias("FlightDate"),
-        F.struct("o_orderkey", "Origin").alias("flight"),
-        F.struct("DepTime", F.struct("o_totalprice").alias("fare")).alias("times"),
+    """JSON batch -> flatten -> typed columns -> UTC time -> daily load -> table.
+
+    Events play flights: the event type is the airport, the event's wall clock
+    (HHmm) the local departure time, its date the flight date.
+    """
+    ev = _t(spark, sf_dir, "events")
+    nested = ev.select(
+        F.date_format("ts", "yyyy-MM-dd").alias("FlightDate"),
+        F.struct("event_id", F.col("event_type").alias("Origin")).alias("flight"),
+        F.struct(
+            (F.hour("ts") * 100 + F.minute("ts")).alias("DepTime"),
+            F.struct("user_id", "value").alias("detail"),
+        ).alias("times"),
     )
-    path = scratch_path(spark, "orders-json")
+    path = scratch_path(spark, "events-json")
     nested.write.json(path)
-    table, location = _scratch_table(spark, "order_flights")
+    table, location = _scratch_table(spark, "event_flights")
     config = IngestConfig(
-        specs=tuple(ORDER_JSON_SPECS),
+        specs=tuple(EVENT_JSON_SPECS),
         output_table=table,
         table_location=location,
         utc=UtcSpec(as_ntz=True),
         bridge=BridgeSpec(
             keys=("Origin",),
             time_col="FlightTime",
-            carry={"orderkey_next": "o_orderkey"},
-            tie_breakers=("o_orderkey",),
+            carry={"user_next": "user_id"},
+            tie_breakers=("event_id",),
             partition_col="FlightDate",
         ),
     )
-    process_file(spark, path, config, _zones(spark))
+    zones = spark.createDataFrame(EVENT_ZONE_ROWS, "iata_code string, iana_tz string")
+    process_file(spark, path, config, zones)
     return spark.read.table(table)
 
 
@@ -336,8 +352,12 @@ _ZONES_SQL = "SELECT * FROM (VALUES " + ", ".join(
     f"('{k}', {'NULL' if z is None else repr(z)})" for k, z in ZONE_ROWS
 ) + ") AS z(iata_code, iana_tz)"
 
+_EVENT_ZONES_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{k}', {'NULL' if z is None else repr(z)})" for k, z in EVENT_ZONE_ROWS
+) + ") AS z(iata_code, iana_tz)"
+
 _DEPARTURES_SQL = """
-SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS FlightDate, o_orderpriority AS Origin,
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS FlightDate, o_orderpriority AS Origin,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE (o_orderkey * 7) % 2461 END AS DepTime
 FROM orders
 """
@@ -346,13 +366,12 @@ _LOCAL_CLOCK_SQL = (
     "try_strptime(CAST(f.FlightDate AS VARCHAR) || ' ' || lpad(CAST(f.DepTime AS VARCHAR), 4, '0'), '%Y-%m-%d %H%M')"
 )
 
-_UTC_TEMPLATE = f"""
-SELECT f.o_orderkey, {{price}}f.FlightDate, f.Origin, f.DepTime,
+_UTC_SQL = f"""
+SELECT f.o_orderkey, f.FlightDate, f.Origin, f.DepTime,
        CAST(timezone('UTC', timezone(z.iana_tz, {_LOCAL_CLOCK_SQL})) AS TIMESTAMP) AS FlightTime
 FROM ({_DEPARTURES_SQL}) AS f
 LEFT JOIN ({_ZONES_SQL}) AS z ON f.Origin = z.iata_code
 """
-_UTC_SQL = _UTC_TEMPLATE.format(price="")
 
 # Day-by-day loading in ascending order: the successor over the whole history,
 # kept only when it lies on the same or the next day.
@@ -449,18 +468,27 @@ def oracle_sql() -> dict[str, str]:
         "reload_day": _CLOSED_FORM_SQL.format(extra=f" AND NOT (day = DATE '{day}' AND nd > day)"),
         "bulk_bridge": _CLOSED_FORM_SQL.format(extra=""),
         "json_daily_pipeline": f"""
-            SELECT o_orderkey, Origin, CAST(DepTime AS INTEGER) AS DepTime, o_totalprice, FlightTime,
+            WITH f AS (
+              SELECT event_id, event_type AS Origin, CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS DepTime,
+                     user_id, value, CAST(ts AS DATE) AS FlightDate
+              FROM events),
+            z AS ({_EVENT_ZONES_SQL}),
+            u AS (
+              SELECT f.*,
+                     CAST(timezone('UTC', timezone(z.iana_tz, {_LOCAL_CLOCK_SQL})) AS TIMESTAMP) AS FlightTime
+              FROM f LEFT JOIN z ON f.Origin = z.iata_code)
+            SELECT event_id, Origin, DepTime, user_id, value, FlightTime,
                    CASE WHEN keep THEN nft END AS FlightTime_next,
-                   CASE WHEN keep THEN nok END AS orderkey_next,
+                   CASE WHEN keep THEN nu END AS user_next,
                    CASE WHEN keep THEN (epoch_us(nft) - epoch_us(FlightTime)) // 1000000 END AS diff_next,
                    FlightDate
             FROM (
               SELECT *, (nd IS NULL OR nd <= FlightDate + 1) AS keep
               FROM (
                 SELECT *,
-                       LEAD(FlightTime) OVER w AS nft, LEAD(o_orderkey) OVER w AS nok, LEAD(FlightDate) OVER w AS nd
-                FROM ({_UTC_TEMPLATE.format(price="f.o_totalprice, ")})
-                WINDOW w AS (PARTITION BY Origin ORDER BY FlightTime ASC NULLS LAST, o_orderkey ASC)
+                       LEAD(FlightTime) OVER w AS nft, LEAD(user_id) OVER w AS nu, LEAD(FlightDate) OVER w AS nd
+                FROM u
+                WINDOW w AS (PARTITION BY Origin ORDER BY FlightTime ASC NULLS LAST, event_id ASC)
               )
             )
         """,
