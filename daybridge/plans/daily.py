@@ -142,7 +142,8 @@ def load_day(
       by day. Batches of more than ``REGROUP_ABOVE_DAYS`` days are regrouped
       by day anyway; a daily batch is written straight from the window stage.
 
-    One writer per table at a time. Returns the sorted list of days written.
+    One writer per table at a time. Returns the sorted batch days plus the
+    previous days that were read back (a day read back without rows stays absent).
     """
     spark = batch.sparkSession
     pcol = spec.partition_col
