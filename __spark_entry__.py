@@ -366,9 +366,25 @@ _LOCAL_CLOCK_SQL = (
     "try_strptime(CAST(f.FlightDate AS VARCHAR) || ' ' || lpad(CAST(f.DepTime AS VARCHAR), 4, '0'), '%Y-%m-%d %H%M')"
 )
 
+
+
+def _utc_instant_sql(local: str, zone: str) -> str:
+    """UTC wall clock of a local clock in a zone, resolving DST overlaps like Spark.
+
+    java.time (Spark) gives an ambiguous wall clock the earlier offset, DuckDB the
+    later one; when the instant one hour earlier shows the same wall clock, take it.
+    """
+    later = f"timezone({zone}, {local})"
+    earlier = f"({later} - INTERVAL 1 HOUR)"
+    return (
+        f"CAST(timezone('UTC', CASE WHEN timezone({zone}, {earlier}) = {local} THEN {earlier} ELSE {later} END)"
+        " AS TIMESTAMP)"
+    )
+
+
 _UTC_SQL = f"""
 SELECT f.o_orderkey, f.FlightDate, f.Origin, f.DepTime,
-       CAST(timezone('UTC', timezone(z.iana_tz, {_LOCAL_CLOCK_SQL})) AS TIMESTAMP) AS FlightTime
+       {_utc_instant_sql(_LOCAL_CLOCK_SQL, "z.iana_tz")} AS FlightTime
 FROM ({_DEPARTURES_SQL}) AS f
 LEFT JOIN ({_ZONES_SQL}) AS z ON f.Origin = z.iata_code
 """
@@ -475,7 +491,7 @@ def oracle_sql() -> dict[str, str]:
             z AS ({_EVENT_ZONES_SQL}),
             u AS (
               SELECT f.*,
-                     CAST(timezone('UTC', timezone(z.iana_tz, {_LOCAL_CLOCK_SQL})) AS TIMESTAMP) AS FlightTime
+                     {_utc_instant_sql(_LOCAL_CLOCK_SQL, "z.iana_tz")} AS FlightTime
               FROM f LEFT JOIN z ON f.Origin = z.iata_code)
             SELECT event_id, Origin, DepTime, user_id, value, FlightTime,
                    CASE WHEN keep THEN nft END AS FlightTime_next,

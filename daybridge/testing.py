@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("DAYBRIDGE_SESSION_TZ", "UTC"))
         .config("spark.sql.warehouse.dir", warehouse)
         .config("spark.driver.memory", os.environ.get("DAYBRIDGE_DRIVER_MEMORY", "8g"))
     )
