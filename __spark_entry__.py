@@ -177,11 +177,13 @@ def _zones(spark: SparkSession) -> DataFrame:
     return read_zones(spark, path)
 
 
-def _order_departures(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+def _order_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as departures: priority plays the airport, the clock is derived from the
+    key so that valid times, 2400 and above, and minutes of 60+ all occur; no clock
+    for pending orders."""
     o = _t(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey",
-        *extra,
         F.to_date("o_orderdate").alias("FlightDate"),
         F.col("o_orderpriority").alias("Origin"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None))

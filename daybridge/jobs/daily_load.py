@@ -23,11 +23,17 @@ def main(argv: list[str] | None = None) -> list:
     parser.add_argument("config", help="JSON config with data_columns and output_table")
     parser.add_argument("data", nargs="+", help="JSON file(s) of the batch")
     parser.add_argument("--zones", required=True, help="CSV with iata_code and iana_tz columns")
+    parser.add_argument(
+        "--lookahead-days",
+        type=int,
+        default=0,
+        help="when reloading an old day, also read this many later days as successor candidates",
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("daybridge-daily-load").getOrCreate()
     config = IngestConfig.from_file(args.config)
-    days = process_file(spark, args.data, config, args.zones)
+    days = process_file(spark, args.data, config, args.zones, lookahead_days=args.lookahead_days)
     log.info("loaded %s into %s", [str(d) for d in days], config.output_table)
     return days
 

@@ -91,6 +91,7 @@ def process_file(
     zones: DataFrame | str,
     *,
     schema: T.StructType | str | None = None,
+    lookahead_days: int = 0,
 ) -> list:
     """Ingest a file, add UTC and next-departure columns, load it into the table.
 
@@ -105,5 +106,6 @@ def process_file(
         config.output_table,
         config.bridge,
         location=config.table_location,
+        lookahead_days=lookahead_days,
         output_partitions=config.output_partitions,
     )
