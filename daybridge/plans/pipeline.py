@@ -17,6 +17,13 @@ from daybridge.sources.json_source import ingest_json
 from daybridge.sources.zones import read_zones
 
 
+# Names that existing flight data and config files use and that the
+# output table keeps - columns FlightDate, DepTime, Origin, Reporting_Airline;
+# zone file columns iata_code, iana_tz; added columns FlightTime, FlightTime_next,
+# Airline_next, diff_next; config keys data_columns (name, type, format, comment),
+# output_table, output_partitions, output_path.
+
+
 @dataclass(frozen=True)
 class UtcSpec:
     """Columns used to compute the UTC departure time."""
