@@ -93,3 +93,19 @@ def test_hot_key_with_many_null_times(spark, strategy, seg):
     base = add_next_event(df, "k", "t", {"v_next": "v", "id_next": "id"}, ["id"], strategy="window")
     got = add_next_event(df, "k", "t", {"v_next": "v", "id_next": "id"}, ["id"], strategy=strategy, segment_rows=seg * 15)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, base.collect()))
+
+
+def test_hot_key_is_cut_into_bounded_segments(spark):
+    from daybridge.operators import next_event as ne
+
+    # key 0 holds a third of 3000 rows, spread over a day; every other key has one row
+    rows = [(0 if i % 3 == 0 else i, i, f"2024-01-01 {i % 24:02d}:{(i * 7) % 60:02d}:00") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, id long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    largest, hot_count = ne._key_profile(df, ["k"], 100)
+    assert (largest, hot_count) == (1000, 1)
+    hot = ne._hot_keys(df, ["k"], "t", df.schema["t"].dataType, ["id"], 100)
+    base = df.withColumn(ne._PAIR, F.struct(F.col("t").alias("t")))
+    order = [F.col("t").asc_nulls_last(), F.col("id").asc()]
+    linked = ne._split_lead(base, hot, hot_count, ["k"], "t", df.schema["t"].dataType, ["id"], order)
+    sizes = [r["count"] for r in linked.where("k = 0").groupBy(ne._SEG).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 250 and sum(sizes) == 1000
