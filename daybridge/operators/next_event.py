@@ -10,7 +10,8 @@ Two physical shapes, same result:
 * ``window``: one ``lead`` over ``Window.partitionBy(keys)``. One shuffle, but a
   key's whole timeline is sorted in one task.
 * ``split``: keys with more than ``segment_rows`` rows are cut into contiguous
-  time ranges ("segments") of about that size. ``lead`` runs per
+  time ranges ("segments") of about that size, placed by approximate
+  quantiles of the key's own times. ``lead`` runs per
   (key, segment); the last row of a segment then takes the first row of the
   next non-empty segment of its key, found on a table with one row per hot
   segment. A key holding a third of all rows is spread over many tasks.
@@ -22,18 +23,25 @@ columns with map-side combine; two numbers reach the driver) and takes
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybridge.functions.clock import order_number, seconds_between
+from daybridge.sources.scratch import checkpoint_root
 
 DEFAULT_SEGMENT_ROWS = 2_000_000
 # One row per hot key is broadcast. A hot key has more than segment_rows rows,
 # so there are at most total_rows / segment_rows of them; beyond this many the
 # hot-key table is joined with a shuffle instead.
 MAX_BROADCAST_HOT_KEYS = 1_000_000
+# Equal-depth buckets per hot key, and the accuracy of the quantile sketch
+# (relative rank error 1 / QUANTILE_ACCURACY).
+QUANTILE_POINTS = 32
+QUANTILE_ACCURACY = 2000
 
 _PAIR = "_db_pair"
 _NEXT = "_db_next"
@@ -110,7 +118,7 @@ def add_next_event(
         if strategy == "auto" and largest <= segment_rows:
             linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
         else:
-            hot = _hot_keys(df, keys, time_col, time_type, tie_breakers, segment_rows)
+            hot = _hot_keys(df, keys, time_col, time_type, tie_breakers, segment_rows, hot_count)
             linked = _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order)
 
     nxt = F.col(_NEXT)
@@ -145,62 +153,107 @@ def _tie_number(df: DataFrame, tie_breakers) -> Column | None:
         return None
 
 
-def _hot_keys(df: DataFrame, keys, time_col, time_type, tie_breakers, segment_rows) -> DataFrame:
+def _hot_keys(df: DataFrame, keys, time_col, time_type, tie_breakers, segment_rows, hot_count) -> DataFrame:
     """One row per key with more than ``segment_rows`` rows, describing its segments.
 
-    Timed rows are cut into ``_nseg`` equal time ranges starting at ``_lo``.
-    Null-time rows come after them in the key's order; they are ordered by the
-    tie-breakers, so when the first tie-breaker is numeric they are cut into
-    ``_nnseg`` ranges of it as well. Evaluated inside the main job; the table
-    has at most total_rows / segment_rows rows.
+    ``_nseg`` segments of timed rows and ``_nnseg`` segments of null-time rows
+    (which sort after all timed rows, by the tie-breakers). ``_q`` holds
+    ``QUANTILE_POINTS + 1`` approximate quantiles of the key's times (``_bq``
+    of the first tie-breaker among its null-time rows, when that is numeric):
+    segments follow the key's own distribution, so an outlier or a burst does
+    not pile the key back into one task. The table has at most
+    total_rows / segment_rows rows; the quantiles are computed on hot keys'
+    rows only.
     """
+    kcols = [_col(k) for k in keys]
     num = order_number(_col(time_col), time_type)
     tie = _tie_number(df, tie_breakers)
     null_tie = F.when(num.isNull(), tie) if tie is not None else F.lit(None).cast("double")
-    stats = df.groupBy(*[_col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(num).alias("_nt"),
-        F.min(num).alias("_lo"),
-        F.max(num).alias("_hi"),
-        F.count(null_tie).alias("_nn"),
-        F.min(null_tie).alias("_blo"),
-        F.max(null_tie).alias("_bhi"),
+    counts = (
+        df.groupBy(*kcols)
+        .agg(F.count(F.lit(1)).alias("_n"), F.count(num).alias("_nt"), F.count(null_tie).alias("_nn"))
+        .where(F.col("_n") > F.lit(segment_rows))
     )
-    n_seg = F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long")
-    nn_seg = F.greatest(F.ceil(F.col("_nn") / F.lit(segment_rows)), F.lit(1)).cast("long")
-    return stats.where(F.col("_n") > F.lit(segment_rows)).select(
-        *[_col(k) for k in keys],
-        F.coalesce(F.col("_lo"), F.lit(0.0)).alias("_lo"),
-        F.coalesce((F.col("_hi") - F.col("_lo") + F.lit(1.0)) / n_seg, F.lit(1.0)).alias("_width"),
-        n_seg.alias("_nseg"),
-        F.coalesce(F.col("_blo"), F.lit(0.0)).alias("_blo"),
-        F.coalesce((F.col("_bhi") - F.col("_blo") + F.lit(1.0)) / nn_seg, F.lit(1.0)).alias("_bwidth"),
-        nn_seg.alias("_nnseg"),
+    hot_list = counts.select(*kcols)
+    if hot_count <= MAX_BROADCAST_HOT_KEYS:
+        hot_list = F.broadcast(hot_list)
+    probs = [i / QUANTILE_POINTS for i in range(QUANTILE_POINTS + 1)]
+    quantiles = (
+        df.select(*kcols, num.alias("_v"), null_tie.alias("_b"))
+        .join(hot_list, on=keys, how="left_semi")
+        .groupBy(*kcols)
+        .agg(
+            F.percentile_approx("_v", probs, QUANTILE_ACCURACY).alias("_q"),
+            F.percentile_approx("_b", probs, QUANTILE_ACCURACY).alias("_bq"),
+        )
     )
+    return counts.join(quantiles, on=keys, how="inner").select(
+        *kcols,
+        F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_nseg"),
+        F.col("_q"),
+        F.greatest(F.ceil(F.col("_nn") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_nnseg"),
+        F.col("_bq"),
+    )
+
+
+def _quantile_bucket(value: Column, quantiles: str) -> Column:
+    """Bucket in [0, K) of ``value``: how many interior quantiles q_1..q_{K-1} are <= it.
+
+    Written as a sum of plain comparisons, which whole-stage codegen compiles
+    (a lambda over the array would be interpreted for every element).
+    """
+    q = F.col(quantiles)
+    hits = [F.when(F.element_at(q, j + 1) <= value, F.lit(1)).otherwise(F.lit(0)) for j in range(1, QUANTILE_POINTS)]
+    return reduce(operator.add, hits)
 
 
-def _range_index(value: Column, lo: str, width: str, count: str) -> Column:
-    return F.least(F.floor((value - F.col(lo)) / F.col(width)).cast("long"), F.col(count) - F.lit(1))
+def _quantile_segment(value: Column, quantiles: str, bucket: str, count: str) -> Column:
+    """Segment in [0, count) of ``value``, never decreasing as ``value`` grows.
+
+    The value's position between the key's quantiles q_0..q_K is mapped to
+    (i + f) / K, where i is its bucket and f the linear position inside the
+    bucket; the unit interval is then cut into ``count`` equal parts, which
+    hold about equally many rows.
+    """
+    q, i = F.col(quantiles), F.col(bucket)
+    lo = F.element_at(q, i + 1)
+    hi = F.element_at(q, i + 2)
+    frac = F.when(hi > lo, F.least(F.greatest((value - lo) / (hi - lo), F.lit(0.0)), F.lit(0.999999))).otherwise(
+        F.lit(0.0)
+    )
+    position = (i + frac) / F.lit(float(QUANTILE_POINTS))
+    return F.least(F.floor(position * F.col(count)).cast("long"), F.col(count) - F.lit(1))
 
 
 def _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order) -> DataFrame:
     if hot_count <= MAX_BROADCAST_HOT_KEYS:
+        # computed once per query and shared by both branches below
         hot = F.broadcast(hot)
+    else:
+        # too large to broadcast: materialise it once in the shared checkpoint
+        # folder, so that both branches see the same (approximate) quantiles
+        checkpoint_root(base.sparkSession)
+        hot = hot.checkpoint(eager=True)
     num = order_number(_col(time_col), time_type)
     tie = _tie_number(base, tie_breakers)
+    joined = base.join(hot, on=keys, how="left")
+    # the bucket lookups are computed once, in their own projection
+    buckets = [F.when(num.isNotNull(), _quantile_bucket(num, "_q")).alias("_qb")]
+    if tie is not None:
+        buckets.append(F.when(num.isNull(), _quantile_bucket(tie, "_bq")).alias("_bb"))
+    joined = joined.select("*", *buckets)
     null_segment = F.col("_nseg")
     if tie is not None:
         # rows with a null tie-breaker sort first among the null-time rows
-        null_segment = null_segment + F.coalesce(_range_index(tie, "_blo", "_bwidth", "_nnseg"), F.lit(0))
-    joined = base.join(hot, on=keys, how="left")
+        null_segment = null_segment + F.coalesce(_quantile_segment(tie, "_bq", "_bb", "_nnseg"), F.lit(0))
     segment = (
-        F.when(F.col("_width").isNull(), F.lit(0))
+        F.when(F.col("_nseg").isNull(), F.lit(0))
         .when(num.isNull(), null_segment)
-        .otherwise(_range_index(num, "_lo", "_width", "_nseg"))
+        .otherwise(_quantile_segment(num, "_q", "_qb", "_nseg"))
     )
     seg = joined.select(
-        "*", segment.cast("long").alias(_SEG), F.col("_width").isNotNull().alias(_HOT)
-    ).drop("_lo", "_width", "_nseg", "_blo", "_bwidth", "_nnseg")
+        "*", segment.cast("long").alias(_SEG), F.col("_nseg").isNotNull().alias(_HOT)
+    ).drop("_nseg", "_q", "_nnseg", "_bq", "_qb", "_bb")
 
     in_segment = seg.withColumn(
         _NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*[_col(k) for k in keys], F.col(_SEG)).orderBy(*order))

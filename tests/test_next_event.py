@@ -95,17 +95,43 @@ def test_hot_key_with_many_null_times(spark, strategy, seg):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, base.collect()))
 
 
-def test_hot_key_is_cut_into_bounded_segments(spark):
+def _segment_sizes(spark, rows, segment_rows):
     from daybridge.operators import next_event as ne
 
-    # key 0 holds a third of 3000 rows, spread over a day; every other key has one row
-    rows = [(0 if i % 3 == 0 else i, i, f"2024-01-01 {i % 24:02d}:{(i * 7) % 60:02d}:00") for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, id long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
-    largest, hot_count = ne._key_profile(df, ["k"], 100)
-    assert (largest, hot_count) == (1000, 1)
-    hot = ne._hot_keys(df, ["k"], "t", df.schema["t"].dataType, ["id"], 100)
+    largest, hot_count = ne._key_profile(df, ["k"], segment_rows)
+    hot = ne._hot_keys(df, ["k"], "t", df.schema["t"].dataType, ["id"], segment_rows, hot_count)
     base = df.withColumn(ne._PAIR, F.struct(F.col("t").alias("t")))
     order = [F.col("t").asc_nulls_last(), F.col("id").asc()]
     linked = ne._split_lead(base, hot, hot_count, ["k"], "t", df.schema["t"].dataType, ["id"], order)
     sizes = [r["count"] for r in linked.where("k = 0").groupBy(ne._SEG).count().collect()]
+    return largest, hot_count, sizes
+
+
+def test_hot_key_is_cut_into_bounded_segments(spark):
+    # key 0 holds a third of 3000 rows, spread over a day; every other key has one row
+    rows = [(0 if i % 3 == 0 else i, i, f"2024-01-01 {i % 24:02d}:{(i * 7) % 60:02d}:00") for i in range(3000)]
+    largest, hot_count, sizes = _segment_sizes(spark, rows, 100)
+    assert (largest, hot_count) == (1000, 1)
     assert len(sizes) >= 8 and max(sizes) <= 250 and sum(sizes) == 1000
+
+
+def test_outlier_and_burst_do_not_collapse_the_hot_key(spark):
+    # one row decades earlier, and most of the key inside one minute of a day
+    rows = [(0, 0, "1970-01-01 00:00:00")]
+    rows += [(0, i, f"2024-01-01 10:00:{i % 60:02d}") for i in range(1, 900)]
+    rows += [(0, i, f"2024-01-01 {i % 24:02d}:30:00") for i in range(900, 1000)]
+    rows += [(i, i, "2024-01-01 00:00:00") for i in range(1000, 1100)]
+    _, _, sizes = _segment_sizes(spark, rows, 100)
+    assert sum(sizes) == 1000 and len(sizes) >= 5 and max(sizes) <= 400
+
+
+def test_hot_key_table_beyond_broadcast_bound_is_checkpointed(spark, monkeypatch):
+    from daybridge.operators import next_event as ne
+
+    monkeypatch.setattr(ne, "MAX_BROADCAST_HOT_KEYS", 0)
+    rows = [(i % 4, i, float((i * 37) % 500), i % 9) for i in range(800)]
+    df = spark.createDataFrame(rows, "k long, id long, t double, v long")
+    base = add_next_event(df, "k", "t", {"v_next": "v"}, ["id"], strategy="window")
+    got = add_next_event(df, "k", "t", {"v_next": "v"}, ["id"], strategy="split", segment_rows=40)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, base.collect()))
