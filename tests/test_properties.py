@@ -66,3 +66,41 @@ def test_flatten_row_count_is_product_of_array_sizes(spark, rows):
     assert inner.count() == sum(len(xs or []) * len(ys) for xs, ys in rows)
     outer = flatten(df, outer=True)
     assert outer.count() == sum(max(len(xs or []), 1) * max(len(ys), 1) for xs, ys in rows)
+
+
+HISTORY = st.lists(
+    st.tuples(
+        st.integers(min_value=0, max_value=5),  # day offset: gaps and idle keys happen
+        st.sampled_from(["A", "A", "B", "C"]),
+        st.integers(min_value=0, max_value=23),  # hour
+        st.integers(min_value=0, max_value=2),  # minute (ties within a key and day)
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=HISTORY)
+def test_bulk_bridge_equals_day_by_day_loads(spark, tmp_path_factory, rows):
+    import uuid
+    from datetime import date, datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from daybridge import BridgeSpec, bulk_bridge, load_day
+
+    spec = BridgeSpec(keys=("k",), time_col="t", carry={"id_next": "id"}, tie_breakers=("id",), partition_col="d")
+    base = date(2024, 1, 1)
+    data = [
+        (i, k, base + timedelta(days=d), datetime.combine(base + timedelta(days=d), datetime.min.time()).replace(hour=h, minute=m))
+        for i, (d, k, h, m) in enumerate(rows)
+    ]
+    df = spark.createDataFrame(data, "id int, k string, d date, t timestamp_ntz")
+    table = f"prop_{uuid.uuid4().hex[:8]}"
+    location = str(tmp_path_factory.mktemp("prop") / table)
+    for day in sorted({r[2] for r in data}):
+        load_day(df.where(F.col("d") == F.lit(day)), table, spec, location=location)
+    loop = {r.id: (r.id_next, r.diff_next) for r in spark.read.table(table).collect()}
+    bulk = {r.id: (r.id_next, r.diff_next) for r in bulk_bridge(df, spec).collect()}
+    assert loop == bulk
