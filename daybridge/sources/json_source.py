@@ -11,6 +11,54 @@ from daybridge.operators.flatten import flatten
 from daybridge.operators.project import ColumnSpec, project_typed
 
 
+def _prune_type(name: str, data_type: T.DataType, needed: set[str], on_map: str) -> T.DataType | None:
+    """The part of one field that flattening + projecting ``needed`` columns can see.
+
+    Scalars survive when their (flattened) name is needed; structs keep the
+    children that survive; arrays always survive because their length decides
+    how many rows the explode produces (an element struct keeps at least one
+    child for that); maps are dropped when flattening drops them.
+    """
+    if isinstance(data_type, T.StructType):
+        kept = []
+        for f in data_type.fields:
+            child = _prune_type(f.name, f.dataType, needed, on_map)
+            if child is not None:
+                kept.append(T.StructField(f.name, child, f.nullable, f.metadata))
+        return T.StructType(kept) if kept else None
+    if isinstance(data_type, T.ArrayType):
+        element = data_type.elementType
+        if isinstance(element, T.StructType):
+            pruned = _prune_type(name, element, needed, on_map)
+            if pruned is None:
+                # nothing inside is needed, but the length still counts: keep one plain field
+                plain = [f for f in element.fields if not isinstance(f.dataType, (T.StructType, T.MapType))]
+                pruned = T.StructType((plain or list(element.fields))[:1])
+            return T.ArrayType(pruned, data_type.containsNull)
+        if isinstance(element, T.ArrayType):
+            return T.ArrayType(_prune_type(name, element, needed, on_map), data_type.containsNull)
+        return data_type
+    if isinstance(data_type, T.MapType):
+        return data_type if on_map == "keep" and name in needed else None
+    return data_type if name in needed else None
+
+
+def prune_schema(schema: T.StructType, columns: Iterable[str], *, on_map: str = "drop") -> T.StructType:
+    """Narrow a JSON read schema to what ``flatten`` + selecting ``columns`` uses.
+
+    Reading with the narrowed schema gives the same rows and values, but the
+    JSON parser skips every other field (Spark does not prune nested JSON
+    fields by itself).
+    """
+    needed = set(columns)
+    kept = []
+    for f in schema.fields:
+        child = _prune_type(f.name, f.dataType, needed, on_map)
+        if child is not None:
+            kept.append(T.StructField(f.name, child, f.nullable, f.metadata))
+    return T.StructType(kept)
+
+
 def read_json(
     spark: SparkSession,
     path: str | list[str],
@@ -47,7 +95,20 @@ def ingest_json(
     outer: bool = False,
     on_map: str = "drop",
     on_error: str = "raise",
+    prune: bool = True,
 ) -> DataFrame:
-    """Read a JSON batch, flatten it and keep the configured, typed columns."""
+    """Read a JSON batch, flatten it and keep the configured, typed columns.
+
+    With ``prune`` (default) the schema (given, or inferred by Spark) is
+    narrowed to the fields the specs need before the data is read, see
+    :func:`prune_schema`.
+    """
+    specs = [s if isinstance(s, ColumnSpec) else ColumnSpec.from_dict(s) for s in specs]
+    if prune:
+        if schema is None:
+            schema = read_json(spark, path, multi_line=multi_line, sampling_ratio=sampling_ratio).schema
+        elif isinstance(schema, str):
+            schema = spark.createDataFrame([], schema).schema
+        schema = prune_schema(schema, [s.name for s in specs], on_map=on_map)
     raw = read_json(spark, path, schema=schema, multi_line=multi_line, sampling_ratio=sampling_ratio)
     return project_typed(flatten(raw, outer=outer, on_map=on_map), specs, on_error=on_error)

@@ -60,3 +60,25 @@ def test_multiline_and_corrupt_lines(spark, tmp_dir):
     got = read_json(spark, str(bad))
     assert "_corrupt_record" in got.columns
     assert got.count() == 2
+
+
+def test_pruned_read_schema_gives_the_same_rows(spark, tmp_dir):
+    from daybridge.sources.json_source import prune_schema
+
+    rows = [
+        {"id": 1, "meta": {"src": "a", "deep": {"x": 1, "y": "u"}}, "tags": ["p", "q"],
+         "items": [{"n": 1, "w": 2.5}, {"n": 2, "w": 3.5}], "unused": {"k": 1}, "m": {"a": 1}},
+        {"id": 2, "meta": {"src": "b", "deep": {"x": 2, "y": "v"}}, "tags": [],
+         "items": [{"n": 3, "w": 1.0}], "unused": {"k": 2}},
+        {"id": 3, "meta": {"src": "c"}, "tags": ["r"], "items": None},
+        {"id": 4, "tags": ["s", "t", "u"], "items": [{"n": 5}, {"n": 6}, {"n": 7}]},
+    ]
+    path = Path(tmp_dir) / "nested.json"
+    path.write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    for names in (["id", "src"], ["id", "x", "w"], ["id"], ["y", "tags"]):
+        specs = [ColumnSpec(n, "string") for n in names]
+        full = ingest_json(spark, str(path), specs, prune=False)
+        pruned = ingest_json(spark, str(path), specs)
+        assert sorted(map(repr, pruned.collect())) == sorted(map(repr, full.collect()))
+    narrow = prune_schema(read_json(spark, str(path)).schema, ["id", "src"])
+    assert narrow.simpleString() == "struct<id:bigint,items:array<struct<n:bigint>>,meta:struct<src:string>,tags:array<string>>"
