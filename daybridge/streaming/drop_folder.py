@@ -17,6 +17,7 @@ from daybridge.operators.project import project_typed
 from daybridge.operators.utc import add_utc_time
 from daybridge.plans.daily import load_day
 from daybridge.plans.pipeline import IngestConfig
+from daybridge.sources.json_source import prune_schema
 from daybridge.sources.scratch import scratch_path
 
 
@@ -36,7 +37,10 @@ def watch_folder(
     several days; ``load_day`` handles them together.
     """
     location = checkpoint_location or scratch_path(spark, "drop-folder-stream")
-    raw = spark.readStream.schema(schema).json(folder)
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    narrow = prune_schema(schema, [c.name for c in config.specs])
+    raw = spark.readStream.schema(narrow).json(folder)
     u = config.utc
 
     def _load(batch: DataFrame, _epoch: int) -> None:
