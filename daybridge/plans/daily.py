@@ -229,11 +229,24 @@ def bulk_load(
     location: str | None = None,
     output_partitions: int | None = None,
 ) -> None:
-    """Write ``bulk_bridge(df)`` into ``table`` (its days replace existing partitions)."""
+    """Write ``bulk_bridge(df)`` into ``table``; its days replace existing partitions.
+
+    When the table already holds earlier days, the ``lookback_days`` partitions
+    before the history's first day are read back and rewritten too, so their
+    last events learn their successors, as a day-by-day load would do. The first
+    day is one aggregate; nothing else reaches the driver.
+    """
     spark = df.sparkSession
     pcol = spec.partition_col
-    out = _file_layout(bulk_bridge(df, spec), pcol, output_partitions, True)
     if table_exists(spark, table):
-        overwrite_partitions(out, table)
+        _check_table_schema(spark.read.table(table), df, spec)
+        first = df.agg(F.min(F.col(_quote(pcol)))).first()[0]
+        if first is not None:
+            back = [first - timedelta(days=k) for k in range(1, spec.lookback_days + 1)]
+            prev = read_partitions(spark, table, pcol, back).select(*[F.col(_quote(c)) for c in df.columns])
+            df = df.unionByName(prev, allowMissingColumns=False)
+        overwrite_partitions(_file_layout(bulk_bridge(df, spec), pcol, output_partitions, True), table)
     else:
-        create_partitioned_table(out, table, pcol, location=location)
+        create_partitioned_table(
+            _file_layout(bulk_bridge(df, spec), pcol, output_partitions, True), table, pcol, location=location
+        )

@@ -138,3 +138,10 @@ def test_lookback_two_days(spark):
     got = {r.id: (r.Airline_next, r.diff_next) for r in bulk_bridge(
         days[D1].unionByName(days[D2]).unionByName(days[D3]), spec2).collect()}
     assert got == _state(spark, table)
+
+
+def test_bulk_load_after_daily_loads_bridges_the_boundary(spark, tmp_dir):
+    days, table = _days(spark), _table()
+    load_day(days[D1], table, SPEC, location=f"{tmp_dir}/{table}")
+    bulk_load(days[D2].unionByName(days[D3]), table, SPEC)
+    assert _state(spark, table) == LOOP_RESULT
