@@ -183,16 +183,16 @@ def _hot_keys(df: DataFrame, keys, time_col, time_type, tie_breakers, segment_ro
         .join(hot_list, on=keys, how="left_semi")
         .groupBy(*kcols)
         .agg(
-            F.percentile_approx("_v", probs, QUANTILE_ACCURACY).alias("_q"),
-            F.percentile_approx("_b", probs, QUANTILE_ACCURACY).alias("_bq"),
+            F.percentile_approx("_v", probs, QUANTILE_ACCURACY).alias("_db_q"),
+            F.percentile_approx("_b", probs, QUANTILE_ACCURACY).alias("_db_bq"),
         )
     )
     return counts.join(quantiles, on=keys, how="inner").select(
         *kcols,
-        F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_nseg"),
-        F.col("_q"),
-        F.greatest(F.ceil(F.col("_nn") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_nnseg"),
-        F.col("_bq"),
+        F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_db_nseg"),
+        F.col("_db_q"),
+        F.greatest(F.ceil(F.col("_nn") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_db_nnseg"),
+        F.col("_db_bq"),
     )
 
 
@@ -238,22 +238,22 @@ def _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, o
     tie = _tie_number(base, tie_breakers)
     joined = base.join(hot, on=keys, how="left")
     # the bucket lookups are computed once, in their own projection
-    buckets = [F.when(num.isNotNull(), _quantile_bucket(num, "_q")).alias("_qb")]
+    buckets = [F.when(num.isNotNull(), _quantile_bucket(num, "_db_q")).alias("_db_qb")]
     if tie is not None:
-        buckets.append(F.when(num.isNull(), _quantile_bucket(tie, "_bq")).alias("_bb"))
+        buckets.append(F.when(num.isNull(), _quantile_bucket(tie, "_db_bq")).alias("_db_bb"))
     joined = joined.select("*", *buckets)
-    null_segment = F.col("_nseg")
+    null_segment = F.col("_db_nseg")
     if tie is not None:
         # rows with a null tie-breaker sort first among the null-time rows
-        null_segment = null_segment + F.coalesce(_quantile_segment(tie, "_bq", "_bb", "_nnseg"), F.lit(0))
+        null_segment = null_segment + F.coalesce(_quantile_segment(tie, "_db_bq", "_db_bb", "_db_nnseg"), F.lit(0))
     segment = (
-        F.when(F.col("_nseg").isNull(), F.lit(0))
+        F.when(F.col("_db_nseg").isNull(), F.lit(0))
         .when(num.isNull(), null_segment)
-        .otherwise(_quantile_segment(num, "_q", "_qb", "_nseg"))
+        .otherwise(_quantile_segment(num, "_db_q", "_db_qb", "_db_nseg"))
     )
     seg = joined.select(
-        "*", segment.cast("long").alias(_SEG), F.col("_nseg").isNotNull().alias(_HOT)
-    ).drop("_nseg", "_q", "_nnseg", "_bq", "_qb", "_bb")
+        "*", segment.cast("long").alias(_SEG), F.col("_db_nseg").isNotNull().alias(_HOT)
+    ).drop("_db_nseg", "_db_q", "_db_nnseg", "_db_bq", "_db_qb", "_db_bb")
 
     in_segment = seg.withColumn(
         _NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*[_col(k) for k in keys], F.col(_SEG)).orderBy(*order))
