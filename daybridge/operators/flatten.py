@@ -6,6 +6,7 @@ Each pass looks at the top-level fields only:
 * an array is exploded under its own name (inner explode: a null or empty array
   drops the row, unless ``outer=True``); sibling arrays multiply;
 * a map is dropped (``on_map="drop"``, the default) or kept as it is (``"keep"``);
+  so is a user-defined type (for example an ML vector), which is stored like one;
 * anything else passes through.
 
 Passes repeat until no struct or array is left. Only the schema is inspected on
@@ -23,6 +24,10 @@ def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _map_like(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.MapType, T.UserDefinedType))
+
+
 def flatten(df: DataFrame, *, outer: bool = False, on_map: str = "drop") -> DataFrame:
     """Flatten ``df`` until every column is a scalar (or a kept map).
 
@@ -36,7 +41,7 @@ def flatten(df: DataFrame, *, outer: bool = False, on_map: str = "drop") -> Data
         fields = df.schema.fields
         arrays = [f for f in fields if isinstance(f.dataType, T.ArrayType)]
         has_struct = any(isinstance(f.dataType, T.StructType) for f in fields)
-        has_dropped_map = on_map == "drop" and any(isinstance(f.dataType, T.MapType) for f in fields)
+        has_dropped_map = on_map == "drop" and any(_map_like(f.dataType) for f in fields)
         if not arrays and not has_struct and not has_dropped_map:
             return df
         # At most one generator per select; the other arrays wait for the next pass.
@@ -52,7 +57,7 @@ def flatten(df: DataFrame, *, outer: bool = False, on_map: str = "drop") -> Data
             elif f.name == exploded:
                 cols.append(explode(ref).alias(f.name))
                 names.append(f.name)
-            elif isinstance(f.dataType, T.MapType) and on_map == "drop":
+            elif _map_like(f.dataType) and on_map == "drop":
                 continue
             else:
                 cols.append(ref)

@@ -38,7 +38,7 @@ def _prune_type(name: str, data_type: T.DataType, needed: set[str], on_map: str)
         if isinstance(element, T.ArrayType):
             return T.ArrayType(_prune_type(name, element, needed, on_map), data_type.containsNull)
         return data_type
-    if isinstance(data_type, T.MapType):
+    if isinstance(data_type, (T.MapType, T.UserDefinedType)):
         return data_type if on_map == "keep" and name in needed else None
     return data_type if name in needed else None
 

@@ -66,3 +66,11 @@ def test_dotted_names(spark):
     out = flatten(df)
     assert out.columns == ["c.d", "e"]
     assert out.collect() == [Row(**{"c.d": 1, "e": 2})]
+
+
+def test_user_defined_types_are_dropped_like_maps(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(1, Vectors.dense([1.0, 2.0]))], ["id", "features"])
+    assert flatten(df).columns == ["id"]
+    assert flatten(df, on_map="keep").columns == ["id", "features"]
