@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from daybridge.plans.daily import bulk_load
 from daybridge.plans.pipeline import IngestConfig, prepare_batch
+from daybridge.sources.scratch import scratch_path
 from daybridge.sources.zones import read_zones
 
 log = logging.getLogger("daybridge.bulk_load")
@@ -25,12 +26,25 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("config", help="JSON config with data_columns and output_table")
     parser.add_argument("data", nargs="+", help="JSON files or folders of the history")
     parser.add_argument("--zones", required=True, help="CSV with iata_code and iana_tz columns")
+    parser.add_argument(
+        "--no-stage",
+        action="store_true",
+        help="read the JSON in every pass instead of staging the prepared history as parquet once",
+    )
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("daybridge-bulk-load").getOrCreate()
     config = IngestConfig.from_file(args.config)
     zones = read_zones(spark, args.zones, key_col=config.utc.zone_key, zone_col=config.utc.zone_col)
     history = prepare_batch(spark, args.data, config, zones)
+    if not args.no_stage:
+        # The bulk load reads its input several times (key profile, main pass,
+        # segment heads). Parse the JSON once and stage the typed history as
+        # parquet in the shared scratch folder; later passes read only the
+        # columns they need, and the staged files survive lost executors.
+        staged = scratch_path(spark, "bulk-history")
+        history.write.parquet(staged)
+        history = spark.read.parquet(staged)
     bulk_load(
         history,
         config.output_table,

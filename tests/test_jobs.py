@@ -126,3 +126,4 @@ def test_bulk_job_equals_daily_job(spark, tmp_path):
     for k, (airline_next, gap) in daily.items():
         assert bulk[k] == ((airline_next, gap) if gap is not None else (None, None)), k
     assert bulk[("DL", "2023-01-01")] == ("B6", 45 * 60)
+    assert column_comments(spark, bulk_table)["Dest"] == "Destination airport IATA code"
