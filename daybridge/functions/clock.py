@@ -55,9 +55,10 @@ def wall_clock_to_instant(local: Column, zone: Column) -> Column:
     """The instant (``timestamp``) of a local wall clock in a per-row IANA zone.
 
     Same gap and overlap rules as :func:`wall_clock_to_utc_ntz`; the result does
-    not depend on ``spark.sql.session.timeZone``.
+    not depend on ``spark.sql.session.timeZone``. The fields come from a valid
+    ``timestamp_ntz`` (or are null), so only an unknown zone name can fail.
     """
-    return F.try_make_timestamp(
+    return F.make_timestamp(
         F.year(local),
         F.month(local),
         F.dayofmonth(local),
