@@ -145,3 +145,11 @@ def test_bulk_load_after_daily_loads_bridges_the_boundary(spark, tmp_dir):
     load_day(days[D1], table, SPEC, location=f"{tmp_dir}/{table}")
     bulk_load(days[D2].unionByName(days[D3]), table, SPEC)
     assert _state(spark, table) == LOOP_RESULT
+
+
+def test_daily_loads_on_the_split_path(spark):
+    days, table = _days(spark), _table()
+    split = BridgeSpec(**{**SPEC.__dict__, "strategy": "split", "segment_rows": 1})
+    for d in (D1, D2, D3):
+        load_day(days[d], table, split)
+    assert _state(spark, table) == LOOP_RESULT
