@@ -82,3 +82,10 @@ def test_pruned_read_schema_gives_the_same_rows(spark, tmp_dir):
         assert sorted(map(repr, pruned.collect())) == sorted(map(repr, full.collect()))
     narrow = prune_schema(read_json(spark, str(path)).schema, ["id", "src"])
     assert narrow.simpleString() == "struct<id:bigint,items:array<struct<n:bigint>>,meta:struct<src:string>,tags:array<string>>"
+
+
+def test_single_line_top_level_array(spark, tmp_dir):
+    path = Path(tmp_dir) / "array.json"
+    path.write_text('[{"a": 1, "s": {"b": "x"}}, {"a": 2, "s": {"b": "y"}}]\n')
+    out = ingest_json(spark, str(path), [ColumnSpec("a", "int"), ColumnSpec("b", "string")])
+    assert sorted(map(tuple, out.collect())) == [(1, "x"), (2, "y")]
