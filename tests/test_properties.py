@@ -104,3 +104,44 @@ def test_bulk_bridge_equals_day_by_day_loads(spark, tmp_path_factory, rows):
     loop = {r.id: (r.id_next, r.diff_next) for r in spark.read.table(table).collect()}
     bulk = {r.id: (r.id_next, r.diff_next) for r in bulk_bridge(df, spec).collect()}
     assert loop == bulk
+
+
+ZONES = ["America/New_York", "Europe/Madrid", "Australia/Sydney", "Asia/Kolkata", "America/Phoenix"]
+# Days with DST transitions in 2023 for the zones above, plus ordinary days.
+TRANSITION_DAYS = ["2023-03-12", "2023-11-05", "2023-03-26", "2023-10-29", "2023-04-02", "2023-10-01", "2023-07-15"]
+
+
+def _python_utc(day, hhmm, zone):
+    """UTC wall clock by zoneinfo: fold=0 moves gap times forward and takes the earlier offset in an overlap."""
+    from datetime import datetime, timezone
+    from zoneinfo import ZoneInfo
+
+    text = str(int(hhmm)).rjust(4, "0")[:4] if hhmm is not None else None
+    if text is None or not text.isdigit():
+        return None
+    hour, minute = int(text[:2]), int(text[2:])
+    if hour > 23 or minute > 59:
+        return None
+    local = datetime.fromisoformat(f"{day} {hour:02d}:{minute:02d}").replace(tzinfo=ZoneInfo(zone), fold=0)
+    return local.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.sampled_from(TRANSITION_DAYS),
+            st.one_of(st.none(), st.integers(min_value=-5, max_value=2600), st.sampled_from([130, 230, 159, 200, 300])),
+            st.sampled_from(ZONES),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_utc_matches_zoneinfo(spark, rows):
+    from daybridge import add_utc_time
+
+    zones = spark.createDataFrame([(z, z) for z in ZONES], "iata_code string, iana_tz string")
+    df = spark.createDataFrame([(i, z, d, h) for i, (d, h, z) in enumerate(rows)], "id int, Origin string, FlightDate string, DepTime int")
+    got = {r.id: r.FlightTime for r in add_utc_time(df, zones, as_ntz=True).collect()}
+    assert got == {i: _python_utc(d, h, z) for i, (d, h, z) in enumerate(rows)}
