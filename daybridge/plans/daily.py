@@ -17,11 +17,11 @@ from datetime import timedelta
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybridge.operators.next_event import DEFAULT_SEGMENT_ROWS, add_next_event
+from daybridge.operators.next_event import _NEXT, _PAIR, DEFAULT_SEGMENT_ROWS, add_next_event
 from daybridge.sources.tables import (
     create_partitioned_table,
     overwrite_partitions,
@@ -84,6 +84,11 @@ def bridge_next_event(df: DataFrame, spec: BridgeSpec) -> DataFrame:
     return linked.select(*[F.col(_quote(c)) for c in df.columns], *kept)
 
 
+# bulk_bridge broadcasts the first null-time row of each (key, union) when the
+# data has at most this many null-time rows (the table has at most one row per
+# null-time row); beyond it the join shuffles.
+MAX_BROADCAST_NULL_ROWS = 1_000_000
+
 # Above this many days per write, rows are regrouped by day first, so that each
 # day is written by a few tasks instead of every task writing a file per day.
 REGROUP_ABOVE_DAYS = 4
@@ -194,31 +199,106 @@ def load_day(
 def bulk_bridge(df: DataFrame, spec: BridgeSpec = BridgeSpec()) -> DataFrame:
     """What loading every day of ``df`` in ascending order gives, in one job.
 
+    A day's rows keep the values of the last load that read them: the load of
+    the latest present day within ``lookback_days`` after it, whose union holds
+    the present days up to ``lookback_days`` before that day. Within such a
+    union, timed rows come first by time (so a row's timed successor is its
+    next timed event at most ``lookback_days`` days later), then null-time rows
+    by the tie-breakers: the last timed row of a key gets the union's first
+    null-time row, and null-time rows chain among themselves.
+
     Exact when, within a key, a later day never holds an earlier time (true
-    when the time is derived from the day, as in the flight and event data)
-    and times are not null. Rows with a null time are kept apart: they get null
-    next-event columns and are nobody's successor (a day-by-day load would
-    chain them within two days in tie-breaker order).
+    when the time is derived from the day). Null-time rows, usually few, are
+    copied into each union that holds their day (at most ``lookback_days + 1``
+    copies); the set of days is collected on the driver (one row per day).
     """
-    timed_flag = "_db_timed"
-    flagged = df.withColumn(timed_flag, F.col(_quote(spec.time_col)).isNotNull())
-    linked = bridge_next_event(
-        flagged,
-        BridgeSpec(
-            keys=[*spec.keys, timed_flag],
-            time_col=spec.time_col,
-            carry=spec.carry,
-            tie_breakers=spec.tie_breakers,
-            partition_col=spec.partition_col,
-            next_time_col=spec.next_time_col,
-            gap_col=spec.gap_col,
-            lookback_days=spec.lookback_days,
-            strategy=spec.strategy,
-            segment_rows=spec.segment_rows,
-        ),
+    spark = df.sparkSession
+    pcol, tcol = spec.partition_col, spec.time_col
+    keys = list(spec.keys)
+    day, time = F.col(_quote(pcol)), F.col(_quote(tcol))
+    per_day = df.groupBy(day).agg(F.count(F.when(time.isNull(), F.lit(1))).alias("n")).collect()
+    days = sorted(r[0] for r in per_day if r[0] is not None)
+    null_rows = sum(r["n"] for r in per_day)
+    present = set(days)
+
+    def window_days(d):
+        return [d + timedelta(days=k) for k in range(spec.lookback_days + 1) if d + timedelta(days=k) in present]
+
+    load_of = {d: max(window_days(d)) for d in days}  # the load whose values a day keeps
+    loads = set(load_of.values())
+    membership = [(e, x, x == load_of[e]) for e in days for x in window_days(e) if x in loads]
+    groups = spark.createDataFrame(membership, f"{_quote(pcol)} date, _db_group date, _db_owner boolean")
+    # one row per day (times lookback_days + 1): small by construction
+    groups = F.broadcast(groups)
+    owners = groups.where(F.col("_db_owner")).select(_quote(pcol), "_db_group")
+
+    # timed rows: next timed event within the horizon, else the union's first null-time row
+    carry = {**spec.carry, _NEXT_DAY: pcol}
+    timed = add_next_event(
+        df.where(time.isNotNull()),
+        keys,
+        tcol,
+        carry,
+        list(spec.tie_breakers),
+        next_time_col=spec.next_col,
+        gap_col=spec.gap_col,
+        strategy=spec.strategy,
+        segment_rows=spec.segment_rows,
+    )
+    has_next = F.col(_NEXT_DAY).isNotNull() & (
+        F.datediff(F.col(_NEXT_DAY), day) <= F.lit(spec.lookback_days)
+    )
+    cols = [F.col(_quote(c)) for c in df.columns]
+    if null_rows == 0:
+        # no null-time rows: the closed form alone, straight from the window stage
+        kept = [F.when(has_next, F.col(_quote(c))).alias(c) for c in spec.added_columns]
+        return timed.select(*cols, *kept)
+
+    # null-time rows: chained per (key, union) by the tie-breakers
+    sources = list(spec.carry.values())
+    pair = F.struct(*[F.col(_quote(src)).alias(f"c{i}") for i, src in enumerate(sources)], F.lit(1).alias("_db_x"))
+    order = [F.col(_quote(c)).asc() for c in spec.tie_breakers] or [F.lit(1)]
+    nulls = df.where(time.isNull())
+    candidates = nulls.join(groups, on=pcol, how="inner").withColumn(_PAIR, pair)
+    per_union = Window.partitionBy(*[F.col(_quote(k)) for k in keys], F.col("_db_group")).orderBy(*order)
+    chained = candidates.withColumn(_NEXT, F.lead(_PAIR, 1).over(per_union)).where(F.col("_db_owner"))
+    rank = F.struct(*[F.col(_quote(c)).alias(f"b{i}") for i, c in enumerate(spec.tie_breakers)], F.lit(1).alias("_db_x"))
+    heads = candidates.groupBy(*[F.col(_quote(k)) for k in keys], F.col("_db_group")).agg(
+        F.min_by(F.col(_PAIR), rank).alias("_db_head")
+    )
+    heads = heads.select(
+        *[F.col(_quote(k)).alias(f"_db_hk{i}") for i, k in enumerate(keys)], F.col("_db_group").alias("_db_hg"), "_db_head"
+    )
+    if null_rows <= MAX_BROADCAST_NULL_ROWS:
+        # at most one head per null-time row: broadcast it rather than shuffle the timed rows again
+        heads = F.broadcast(heads)
+
+    timed = timed.join(owners, on=pcol, how="left")
+    match = [F.col(_quote(k)).eqNullSafe(F.col(f"_db_hk{i}")) for i, k in enumerate(keys)]
+    match.append(F.col("_db_group") == F.col("_db_hg"))
+    timed = timed.join(heads, on=reduce(lambda a, b: a & b, match), how="left")
+    timed_out = [F.when(has_next, F.col(_quote(spec.next_col))).alias(spec.next_col)]
+    timed_out += [
+        F.when(has_next, F.col(_quote(out))).otherwise(F.col("_db_head").getField(f"c{i}")).alias(out)
+        for i, out in enumerate(spec.carry)
+    ]
+    if spec.gap_col:
+        timed_out.append(F.when(has_next, F.col(_quote(spec.gap_col))).alias(spec.gap_col))
+
+    null_out = [F.lit(None).cast(df.schema[tcol].dataType).alias(spec.next_col)]
+    null_out += [F.col(_NEXT).getField(f"c{i}").alias(out) for i, out in enumerate(spec.carry)]
+    if spec.gap_col:
+        null_out.append(F.lit(None).cast("long").alias(spec.gap_col))
+    dateless = [F.lit(None).cast(df.schema[tcol].dataType).alias(spec.next_col)]
+    dateless += [F.lit(None).cast(df.schema[src].dataType).alias(out) for out, src in spec.carry.items()]
+    if spec.gap_col:
+        dateless.append(F.lit(None).cast("long").alias(spec.gap_col))
+
+    return (
+        timed.select(*cols, *timed_out)
+        .unionByName(chained.select(*cols, *null_out))
+        .unionByName(nulls.where(day.isNull()).select(*cols, *dateless))
     )
-    kept = [F.when(F.col(timed_flag), F.col(_quote(c))).alias(c) for c in spec.added_columns]
-    return linked.select(*[F.col(_quote(c)) for c in df.columns], *kept)
 
 
 def bulk_load(

@@ -127,6 +127,8 @@ def test_null_times_in_daily_load_chain_like_the_reference(spark):
     assert st[1] == ("t2", 23 * 3600)
     assert st[3] == ("n1", None)
     assert st[2] == ("n2", None)
+    bulk = {r.id: (r.Airline_next, r.diff_next) for r in bulk_bridge(d1.unionByName(d2), SPEC).collect()}
+    assert bulk == st
 
 
 def test_lookback_two_days(spark):

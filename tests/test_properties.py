@@ -72,7 +72,7 @@ HISTORY = st.lists(
     st.tuples(
         st.integers(min_value=0, max_value=5),  # day offset: gaps and idle keys happen
         st.sampled_from(["A", "A", "B", "C"]),
-        st.integers(min_value=0, max_value=23),  # hour
+        st.one_of(st.none(), st.integers(min_value=0, max_value=23)),  # hour; no time at all
         st.integers(min_value=0, max_value=2),  # minute (ties within a key and day)
     ),
     min_size=1,
@@ -80,7 +80,7 @@ HISTORY = st.lists(
 )
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=HISTORY)
 def test_bulk_bridge_equals_day_by_day_loads(spark, tmp_path_factory, rows):
     import uuid
@@ -93,7 +93,8 @@ def test_bulk_bridge_equals_day_by_day_loads(spark, tmp_path_factory, rows):
     spec = BridgeSpec(keys=("k",), time_col="t", carry={"id_next": "id"}, tie_breakers=("id",), partition_col="d")
     base = date(2024, 1, 1)
     data = [
-        (i, k, base + timedelta(days=d), datetime.combine(base + timedelta(days=d), datetime.min.time()).replace(hour=h, minute=m))
+        (i, k, base + timedelta(days=d),
+         None if h is None else datetime.combine(base + timedelta(days=d), datetime.min.time()).replace(hour=h, minute=m))
         for i, (d, k, h, m) in enumerate(rows)
     ]
     df = spark.createDataFrame(data, "id int, k string, d date, t timestamp_ntz")
