@@ -26,7 +26,7 @@ from daybridge.operators.next_event import add_next_event  # noqa: E402
 from daybridge.operators.project import ColumnSpec, project_typed  # noqa: E402
 from daybridge.operators.utc import add_utc_time  # noqa: E402
 from daybridge.plans.daily import BridgeSpec, bulk_bridge, bulk_load, load_day  # noqa: E402
-from daybridge.plans.pipeline import IngestConfig, UtcSpec, process_file  # noqa: E402
+from daybridge.plans.flight_load import IngestConfig, UtcSpec, process_file  # noqa: E402
 from daybridge.sources.json_source import ingest_json  # noqa: E402
 from daybridge.sources.scratch import scratch_path, unique_table_name  # noqa: E402
 from daybridge.sources.zones import read_zones  # noqa: E402
@@ -41,7 +41,7 @@ ZONE_ROWS = [
     ("4-NOT SPECIFIED", None),
     ("PHX", "America/Phoenix"),
 ]
-# Zone dimension of json_daily_pipeline: the event type plays the airport code.
+# Zone dimension of json_daily_load: the event type plays the airport code.
 EVENT_ZONE_ROWS = [
     ("view", "America/New_York"),
     ("click", "Asia/Tokyo"),
@@ -279,7 +279,7 @@ EVENT_JSON_SPECS = [
 ]
 
 
-def q_json_daily_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_json_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON batch -> flatten -> typed columns -> UTC time -> daily load -> table.
 
     Events play flights: the event type is the airport, the event's wall clock
@@ -340,7 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_bridge": q_daily_bridge,
         "reload_day": q_reload_day,
         "bulk_bridge": q_bulk_bridge,
-        "json_daily_pipeline": q_json_daily_pipeline,
+        "json_daily_load": q_json_daily_load,
     }
 
 
@@ -492,7 +492,7 @@ def oracle_sql() -> dict[str, str]:
         "daily_bridge": _CLOSED_FORM_SQL.format(extra=""),
         "reload_day": _CLOSED_FORM_SQL.format(extra=f" AND NOT (day = DATE '{day}' AND nd > day)"),
         "bulk_bridge": _CLOSED_FORM_SQL.format(extra=""),
-        "json_daily_pipeline": f"""
+        "json_daily_load": f"""
             WITH f AS (
               SELECT event_id, event_type AS Origin, CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS DepTime,
                      user_id, value, CAST(ts AS DATE) AS FlightDate

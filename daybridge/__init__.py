@@ -9,7 +9,7 @@ from daybridge.operators.next_event import add_next_event
 from daybridge.operators.project import ColumnSpec, project_typed
 from daybridge.operators.utc import add_utc_time
 from daybridge.plans.daily import BridgeSpec, bridge_next_event, bulk_bridge, bulk_load, load_day
-from daybridge.plans.pipeline import IngestConfig, UtcSpec, prepare_batch, process_file
+from daybridge.plans.flight_load import IngestConfig, UtcSpec, prepare_batch, process_file
 from daybridge.sources.json_source import ingest_json, read_json
 from daybridge.sources.tables import column_comments, overwrite_partitions, table_exists
 from daybridge.sources.zones import read_zones

@@ -14,7 +14,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from daybridge.plans.daily import bulk_load
-from daybridge.plans.pipeline import IngestConfig, prepare_batch
+from daybridge.plans.flight_load import IngestConfig, prepare_batch
 from daybridge.sources.scratch import scratch_path
 from daybridge.sources.zones import read_zones
 

@@ -13,7 +13,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from daybridge.plans.pipeline import IngestConfig, process_file
+from daybridge.plans.flight_load import IngestConfig, process_file
 
 log = logging.getLogger("daybridge.daily_load")
 

@@ -1 +1 @@
-"""Composite loads built from the operators: daily load, bulk load, file pipeline."""
+"""Composite loads built from the operators: daily load, bulk load, flight file load."""

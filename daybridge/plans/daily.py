@@ -41,7 +41,7 @@ def _quote(name: str) -> str:
 class BridgeSpec:
     """Which rows are chained and how the table is partitioned.
 
-    The defaults are those of the flight pipeline: next departure per origin
+    The defaults are those of the flight load: next departure per origin
     airport, carrying the airline, partitioned by flight date.
     """
 

@@ -1,4 +1,4 @@
-"""The flight pipeline: config file, one JSON batch, UTC times, daily load."""
+"""The flight load: config file, one JSON batch, UTC times, daily load."""
 
 from __future__ import annotations
 

@@ -16,7 +16,7 @@ from daybridge.operators.flatten import flatten
 from daybridge.operators.project import project_typed
 from daybridge.operators.utc import add_utc_time
 from daybridge.plans.daily import load_day
-from daybridge.plans.pipeline import IngestConfig
+from daybridge.plans.flight_load import IngestConfig
 from daybridge.sources.json_source import prune_schema
 from daybridge.sources.scratch import scratch_path
 
