@@ -168,6 +168,7 @@ def load_day(
 
         parts = [batch.withColumn(_ROLE, F.lit(0))]
         written = set(days)
+        ahead: set = set()
         exists = table_exists(spark, table)
         if exists:
             current = spark.read.table(table)
@@ -184,7 +185,13 @@ def load_day(
                 parts.append(nxt.withColumn(_ROLE, F.lit(1)))
 
         union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), parts)
-        linked = bridge_next_event(union, spec)
+        span = written | (ahead if exists else set())
+        if (max(span) - min(span)).days <= spec.lookback_days:
+            # all rows form the union of one daily load: the plain closed form is exact
+            linked = bridge_next_event(union, spec)
+        else:
+            # several daily unions (a multi-day batch): null-time rows chain per union
+            linked = bulk_bridge(union, spec)
         out = linked.where(F.col(_ROLE) == 0).drop(_ROLE)
         out = _file_layout(out, pcol, output_partitions, len(written) > REGROUP_ABOVE_DAYS)
         if exists:

@@ -155,3 +155,18 @@ def test_daily_loads_on_the_split_path(spark):
     for d in (D1, D2, D3):
         load_day(days[d], table, split)
     assert _state(spark, table) == LOOP_RESULT
+
+
+def test_multi_day_batch_with_null_times_equals_daily_loads(spark):
+    days = [
+        _day(spark, D1, [(1, "A", "10:00", "t1"), (2, "A", None, "n1"), (3, "B", None, "n2")]),
+        _day(spark, D2, [(4, "A", "09:00", "t2"), (5, "A", None, "n3")]),
+        _day(spark, D3, [(6, "A", None, "n4"), (7, "B", "08:00", "t3"), (8, "A", "07:00", "t4")]),
+    ]
+    loop, batch = _table(), _table()
+    for d in days:
+        load_day(d, loop, SPEC)
+    load_day(days[0].unionByName(days[1]).unionByName(days[2]), batch, SPEC)
+    assert _state(spark, batch) == _state(spark, loop)
+    # the first null-time row of day 1 is chained within days 1-2 only, not to day 3's
+    assert _state(spark, loop)[2] == ("n3", None)
