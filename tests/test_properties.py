@@ -146,3 +146,32 @@ def test_utc_matches_zoneinfo(spark, rows):
     df = spark.createDataFrame([(i, z, d, h) for i, (d, h, z) in enumerate(rows)], "id int, Origin string, FlightDate string, DepTime int")
     got = {r.id: r.FlightTime for r in add_utc_time(df, zones, as_ntz=True).collect()}
     assert got == {i: _python_utc(d, h, z) for i, (d, h, z) in enumerate(rows)}
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=HISTORY)
+def test_bulk_bridge_equals_daily_loads_with_two_day_lookback(spark, tmp_path_factory, rows):
+    import uuid
+    from datetime import date, datetime, timedelta
+
+    from pyspark.sql import functions as F
+
+    from daybridge import BridgeSpec, bulk_bridge, load_day
+
+    spec = BridgeSpec(
+        keys=("k",), time_col="t", carry={"id_next": "id"}, tie_breakers=("id",), partition_col="d", lookback_days=2
+    )
+    base = date(2024, 1, 1)
+    data = [
+        (i, k, base + timedelta(days=d),
+         None if h is None else datetime.combine(base + timedelta(days=d), datetime.min.time()).replace(hour=h, minute=m))
+        for i, (d, k, h, m) in enumerate(rows)
+    ]
+    df = spark.createDataFrame(data, "id int, k string, d date, t timestamp_ntz")
+    table = f"prop2_{uuid.uuid4().hex[:8]}"
+    location = str(tmp_path_factory.mktemp("prop2") / table)
+    for day in sorted({r[2] for r in data}):
+        load_day(df.where(F.col("d") == F.lit(day)), table, spec, location=location)
+    loop = {r.id: (r.id_next, r.diff_next) for r in spark.read.table(table).collect()}
+    bulk = {r.id: (r.id_next, r.diff_next) for r in bulk_bridge(df, spec).collect()}
+    assert loop == bulk
