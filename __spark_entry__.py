@@ -320,7 +320,35 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_next_event(spark, "/root/testdata/sf0.001")
 
 
+def _added() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the optional subpackage and of the corpus pipeline, where they can be imported."""
+    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    sql: dict[str, str] = {}
+    try:
+        from daybridge.llm import queries as added
+    except ImportError:
+        return found, sql
+    found |= added.queries()
+    sql |= added.oracle_sql()
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | _added()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_sql() | _added()[1]
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "next_event": q_next_event,
         "next_event_nulls": q_next_event_nulls,
@@ -418,7 +446,7 @@ FROM (
 """
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     day = FILTER_DAY.isoformat()
     return {
         "next_event": _NEXT_EVENT_SQL,
