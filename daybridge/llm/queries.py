@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybridge.llm.decontaminate import benchmark_hits
+from daybridge.llm.near_dup import near_duplicates
 from daybridge.llm.packing import pack_documents, with_crc32
 from daybridge.llm.token_counts import count_tokens
 from daybridge.llm.token_files import read_tokens, token_digests, write_tokens
@@ -22,12 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=1)
     return token_digests(read_tokens(spark, path))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), WORD_BPE)
     over = (F.col("n_tokens") > SEQUENCE_TOKENS).alias("over_limit")
@@ -39,8 +49,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(placed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+OPERATORS = (
+    op2_benchmark_decontamination,
+    op5_token_files,
+    op6_near_duplicates,
+    op7_token_counts,
+    op10_best_fit_packing,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_files, op7_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
