@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybridge.llm.byte_cnn import fit_quality, score_quality
 from daybridge.llm.decontaminate import benchmark_hits
 from daybridge.llm.near_dup import near_duplicates
 from daybridge.llm.packing import pack_documents, with_crc32
+from daybridge.llm.text import doc_bucket
 from daybridge.llm.token_counts import count_tokens
 from daybridge.llm.token_files import read_tokens, token_digests, write_tokens
 from daybridge.sources.scratch import scratch_path
@@ -18,6 +20,7 @@ from daybridge.sources.scratch import scratch_path
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE_TOKENS = 2048
+HOLDOUT, KEEP_SCORE = 5, 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,14 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(doc_bucket("doc_id", HOLDOUT) == 0, F.lit(False))
+    model = fit_quality(docs, labels.where(~held_out))
+    predicted = (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted")
+    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=1)
@@ -51,6 +62,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op2_benchmark_decontamination,
+    op4_quality_classifier,
     op5_token_files,
     op6_near_duplicates,
     op7_token_counts,
