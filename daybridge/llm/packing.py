@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybridge.llm.text import column, runs, token_ids
+from daybridge.llm.text import column, load_tokenizer, runs, token_ids
 from daybridge.sources.scratch import scratch_path
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
 PLACED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long"
+#: Ids of small vocabularies take two bytes each on disk and in shuffles; results have four.
+SHORT_IDS = 1 << 16
 #: Pieces of one length that are ranked together by one task.
 RANKED_TOGETHER = 100_000
 
@@ -104,14 +106,30 @@ def place(plan: np.ndarray, lengths: np.ndarray, ranks: np.ndarray) -> tuple[np.
     return row[:, 3] + nth // row[:, 2], row[:, 4] + nth % row[:, 2] * lengths
 
 
+def id_type(tokenizer: str, end_id: int) -> str:
+    return "<u2" if max(load_tokenizer(tokenizer).get_vocab_size(), end_id + 1) <= SHORT_IDS else "<u4"
+
+
+def widened(blob: pa.Array, kind: str) -> pa.Array:
+    """Binary ids of ``kind`` as little-endian unsigned 32-bit integers."""
+    if kind == "<u4":
+        return blob
+    off = np.frombuffer(blob.buffers()[1], dtype=np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64)
+    raw = np.frombuffer(blob.buffers()[2], dtype=kind, count=int(off[-1] - off[0]) // 2, offset=int(off[0]))
+    bounds = ((off - off[0]) * 2).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(blob), [None, pa.py_buffer(bounds), pa.py_buffer(raw.astype("<u4"))])
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str) -> DataFrame:
-    """Pieces of every document: ids with the end id, cut into ``capacity`` tokens, the first piece shorter."""
+    """Pieces of every document: ids (of ``id_type``) with the end id, cut into ``capacity`` tokens, the first shorter."""
+
+    kind = np.dtype(id_type(tokenizer, end_id))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, "text"):
             ids, off = token_ids(column(run, "text"), tokenizer)
             n = len(off) - 1
-            full = np.empty(len(ids) + n, dtype="<u4")
+            full = np.empty(len(ids) + n, dtype=kind)
             ends = off[1:] + np.arange(n)
             inside = np.ones(len(full), dtype=bool)
             inside[ends] = False
@@ -123,7 +141,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
             first = total - (count - 1) * capacity
             start = np.where(nth == 0, 0, first[doc] + (nth - 1) * capacity)
             length = np.where(nth == 0, first[doc], capacity)
-            bounds = np.r_[begin[doc] + start, len(full)].astype(np.int64) * 4
+            bounds = np.r_[begin[doc] + start, len(full)] * kind.itemsize
             blob = pa.Array.from_buffers(
                 pa.large_binary(), len(doc), [None, pa.py_buffer(bounds), pa.py_buffer(full)]
             ).cast(pa.binary())
@@ -161,6 +179,7 @@ def pack_documents(
     rows, also when an executor is lost in between.
     """
     spark = docs.sparkSession
+    kind = id_type(tokenizer, end_id)
     path = scratch_path(spark, "pieces")
     token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col).write.parquet(path)
     pieces = spark.read.schema(PIECE_SCHEMA).parquet(path)
@@ -188,9 +207,11 @@ def pack_documents(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = column(batch, "length").to_numpy(zero_copy_only=False)
+            if not len(lengths):
+                continue
             seq, at = place(plan, lengths, column(batch, "rank").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(seq), pa.array(at)],
+                [*batch.columns[:4], widened(batch.column(4), kind), pa.array(seq), pa.array(at)],
                 names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
             )
 

@@ -12,6 +12,7 @@ from daybridge.llm.byte_cnn import fit_quality, score_quality
 from daybridge.llm.decontaminate import benchmark_hits
 from daybridge.llm.near_dup import near_duplicates
 from daybridge.llm.packing import pack_documents, with_crc32
+from daybridge.llm.shipping import shipped
 from daybridge.llm.text import doc_bucket
 from daybridge.llm.token_counts import count_tokens
 from daybridge.llm.token_files import read_tokens, token_digests, write_tokens
@@ -71,7 +72,7 @@ OPERATORS = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in OPERATORS}
+    return {f.__name__: shipped(f) for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 # The white space that ends a word, as Python/Java pattern text.
 SPACE_CLASS = r"\x20\x09-\x0D"
 #: Rows a task hands to Python at once are cut into runs of about this many text bytes.
-RUN_BYTES = 8 << 20
+RUN_BYTES = 6 << 20
 
 U64 = np.uint64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=U64)
@@ -152,6 +152,10 @@ _ASCII_SPACE = np.zeros(256, dtype=bool)
 _ASCII_SPACE[[32, *range(9, 14)]] = True
 _MAY_START_SPACE = np.zeros(256, dtype=bool)
 _MAY_START_SPACE[[32, *range(9, 14), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, dtype=bool)
+_SIGN[[i for i in range(33, 127) if not chr(i).isalnum() and i != 39]] = True
 
 
 def load_tokenizer(path: str):
@@ -169,8 +173,9 @@ def safe_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
     Both vocabularies split a text before any merge: runs of letters, digits or other signs, with
     one blank before them at most, and runs of white space. So a cut is safe before a blank that a
-    non-space follows (a run of white space gives up just its last blank to the next word), and
-    before a line end that follows a plain non-space character.
+    non-space follows (a run of white space gives up just its last blank to the next word), before
+    a line end that follows a plain non-space character, and between a plain letter and a plain
+    sign other than the apostrophe, which may begin a contraction.
     """
     n = len(data)
     if n == 0:
@@ -180,7 +185,9 @@ def safe_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     after[-1] = True
     before = np.ones(n, dtype=bool)
     before[1:] = _ASCII_SPACE[data[:-1]] | (data[:-1] >= 0x80)
-    cut = ((data == 32) & ~after) | ((data == 10) & ~before)
+    letter = np.zeros(n, dtype=bool)
+    letter[1:] = _LETTER[data[:-1]]
+    cut = ((data == 32) & ~after) | ((data == 10) & ~before) | (_SIGN[data] & letter)
     cut[starts[starts < n]] = True
     return np.flatnonzero(cut)
 
@@ -209,7 +216,9 @@ class PieceTable:
         row = self.row
         fresh = [p for p in pieces if p not in row]
         if fresh:
-            got = [e.ids for e in self.tok.encode_batch(fresh, add_special_tokens=False)]
+            got = []
+            for a in range(0, len(fresh), 5_000):  # an Encoding takes far more memory than its ids
+                got += [e.ids for e in self.tok.encode_batch(fresh[a : a + 5_000], add_special_tokens=False)]
             lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
             n, end = len(row), int(self.offsets[len(row)])
             total = end + int(lens.sum())

@@ -4,9 +4,8 @@ A text of at most ``chunk_chars`` is encoded whole. A longer one is cut into chu
 each chunk is encoded with offsets, and two neighbours are joined at a position of their overlap
 that is proven stable:
 
-* a plain blank or line end begins there whose place between non-spaces makes the splitter of
-  the tokenizer start anew whatever stands before or after (see ``text.safe_cuts``), and no
-  special string can reach over it;
+* the characters around it make the splitter of the tokenizer start anew there whatever stands
+  before or after (see ``text.safe_cuts``), and no special string can reach over it;
 * both encodings have a token boundary there, and agree on all tokens from there to the next
   such position.
 
