@@ -12,6 +12,7 @@ from daybridge.llm.byte_cnn import fit_quality, score_quality
 from daybridge.llm.decontaminate import benchmark_hits
 from daybridge.llm.near_dup import near_duplicates
 from daybridge.llm.packing import pack_documents, with_crc32
+from daybridge.llm.pitman_yor import score_texts
 from daybridge.llm.shipping import shipped
 from daybridge.llm.text import doc_bucket
 from daybridge.llm.token_counts import count_tokens
@@ -21,6 +22,7 @@ from daybridge.sources.scratch import scratch_path
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE_TOKENS = 2048
+LM_FOLDS, LM_HELD_OUT = 7, 2
 HOLDOUT, KEEP_SCORE = 5, 0.3
 
 
@@ -28,6 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), doc_bucket("doc_id", LM_FOLDS) == LM_HELD_OUT)
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +68,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATORS = (
+    op1_lm_scores,
     op2_benchmark_decontamination,
     op4_quality_classifier,
     op5_token_files,
