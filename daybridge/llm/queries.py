@@ -13,6 +13,8 @@ from daybridge.llm.decontaminate import benchmark_hits
 from daybridge.llm.near_dup import near_duplicates
 from daybridge.llm.packing import pack_documents, with_crc32
 from daybridge.llm.pitman_yor import score_texts
+from daybridge.llm.quality_rules import fit_weights, quality_rules
+from daybridge.llm.secrets import find_secrets, span_text
 from daybridge.llm.shipping import shipped
 from daybridge.llm.text import doc_bucket
 from daybridge.llm.token_counts import count_tokens
@@ -38,6 +40,12 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules(docs, fit_weights(docs, trusted))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(doc_bucket("doc_id", HOLDOUT) == 0, F.lit(False))
@@ -62,6 +70,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", over, "n_chunks")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    return found.select(
+        "doc_id",
+        *(count(k) for k in ("assign", "access", "hex")),
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.sort_array(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("bigint").alias("n_entropy"),
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=SEQUENCE_TOKENS)
     return with_crc32(placed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -70,10 +90,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS = (
     op1_lm_scores,
     op2_benchmark_decontamination,
+    op3_quality_rules,
     op4_quality_classifier,
     op5_token_files,
     op6_near_duplicates,
     op7_token_counts,
+    op8_secret_scan,
     op10_best_fit_packing,
 )
 
