@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybridge.llm.byte_cnn import fit_quality, score_quality
+from daybridge.llm.chat import conversation_records, format_records, masked_text, read_chat
 from daybridge.llm.decontaminate import benchmark_hits
 from daybridge.llm.near_dup import near_duplicates
 from daybridge.llm.packing import pack_documents, with_crc32
@@ -82,6 +83,28 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The conversation that the contract adds.
+PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.union(spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string"))
+    out = format_records(conversation_records(rows)).select("conv_id", "layout", "formatted", "loss_spans")
+    turns = read_chat(F.col("formatted"))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    back = out.withColumns({"turns": turns, "loss": masked_text(F.col("formatted"), F.col("loss_spans"))})
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(joined, 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "layout",
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=SEQUENCE_TOKENS)
     return with_crc32(placed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -96,6 +119,7 @@ OPERATORS = (
     op6_near_duplicates,
     op7_token_counts,
     op8_secret_scan,
+    op9_chat_format,
     op10_best_fit_packing,
 )
 
