@@ -255,3 +255,26 @@ def _links_of_rest(
     pairs = pairs.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
     sifted = stored(_sifted(pairs, reps, percent / 100), "sifted")
     return stored(_confirmed(sifted, texts, size, percent), "links")
+
+
+def keep_one_of_each(
+    docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: of each group the smallest id stays.
+
+    Of rows that share an id one stays. Rows without id all stay.
+    """
+    found = stored(near_duplicates(docs, shingle_words, percent, id_col, text_col), "near-duplicates")
+    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    repeated = repeated.select(F.col("doc_id").alias("__gone"))
+
+    def matched(ids: DataFrame, kind: str) -> DataFrame:
+        ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+        return docs.join(ids, docs[id_col].cast("long") == ids["__gone"], kind)
+
+    kept = matched(gone, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    docs = kept
+    return matched(repeated, "left_anti").union(matched(repeated, "left_semi").dropDuplicates([id_col]))
