@@ -118,7 +118,7 @@ def cut_chunks(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     inside = at < end[:, None]
     if len(data) == 0:
         return np.full(at.shape, PAD, dtype=np.int16)
-    return np.where(inside, data[np.minimum(at, len(data) - 1)], PAD).astype(np.int16)
+    return np.where(inside, data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(PAD))
 
 
 def train(samples: list[tuple[bytes, int]]) -> ByteCnn:
