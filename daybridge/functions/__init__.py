@@ -4,7 +4,6 @@ from daybridge.functions.clock import (
     date_text,
     hhmm_text,
     local_wall_clock,
-    order_number,
     seconds_between,
     wall_clock_to_instant,
     wall_clock_to_utc_ntz,
@@ -14,7 +13,6 @@ __all__ = [
     "date_text",
     "hhmm_text",
     "local_wall_clock",
-    "order_number",
     "seconds_between",
     "wall_clock_to_instant",
     "wall_clock_to_utc_ntz",

@@ -80,23 +80,3 @@ def seconds_between(later: Column, earlier: Column, data_type: T.DataType) -> Co
     if isinstance(data_type, T.DateType):
         return F.datediff(later, earlier).cast("long") * F.lit(86400)
     return (later - earlier).cast("long")
-
-
-def order_number(time: Column, data_type: T.DataType) -> Column:
-    """A number that never decreases when ``time`` increases, independent of the session zone.
-
-    Used to cut one key's timeline into contiguous ranges. Timestamps give epoch
-    seconds (floored), dates give epoch days, numbers give themselves.
-    """
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_seconds(time).cast("double")
-    if isinstance(data_type, T.TimestampNTZType):
-        days = F.unix_date(F.to_date(time)).cast("long")
-        return (
-            days * F.lit(86400) + F.hour(time) * F.lit(3600) + F.minute(time) * F.lit(60) + F.second(time)
-        ).cast("double")
-    if isinstance(data_type, T.DateType):
-        return F.unix_date(time).cast("double")
-    if isinstance(data_type, T.NumericType):
-        return time.cast("double")
-    raise TypeError(f"cannot order events by a column of type {data_type.simpleString()}")

@@ -29,11 +29,21 @@ def main(argv: list[str] | None = None) -> list:
         default=0,
         help="when reloading an old day, also read this many later days as successor candidates",
     )
+    parser.add_argument("--merge", action="store_true", help="add the rows to days the table has instead of replacing them")
+    parser.add_argument("--schema", help="read schema as DDL; without it (or one in the config) Spark infers it")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("daybridge-daily-load").getOrCreate()
     config = IngestConfig.from_file(args.config)
-    days = process_file(spark, args.data, config, args.zones, lookahead_days=args.lookahead_days)
+    days = process_file(
+        spark,
+        args.data,
+        config,
+        args.zones,
+        schema=args.schema,
+        lookahead_days=args.lookahead_days,
+        merge=args.merge,
+    )
     log.info("loaded %s into %s", [str(d) for d in days], config.output_table)
     return days
 

@@ -15,10 +15,14 @@ the driver; the work is a chain of Project/Generate nodes, no shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybridge.operators.project import name_key
+
 
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -31,12 +35,13 @@ def _map_like(data_type: T.DataType) -> bool:
 def flatten(df: DataFrame, *, outer: bool = False, on_map: str = "drop") -> DataFrame:
     """Flatten ``df`` until every column is a scalar (or a kept map).
 
-    Raises ``ValueError`` when two columns would end up with the same name,
-    since later selects by name could not tell them apart.
+    Raises ``ValueError`` when two columns would end up with the same name (by
+    the session's rule on case), since later selects by name could not tell them apart.
     """
     if on_map not in ("drop", "keep"):
         raise ValueError(f"on_map must be 'drop' or 'keep', not {on_map!r}")
     explode = F.explode_outer if outer else F.explode
+    fold = name_key(df.sparkSession)
     while True:
         fields = df.schema.fields
         arrays = [f for f in fields if isinstance(f.dataType, T.ArrayType)]
@@ -62,7 +67,8 @@ def flatten(df: DataFrame, *, outer: bool = False, on_map: str = "drop") -> Data
             else:
                 cols.append(ref)
                 names.append(f.name)
-        dupes = sorted({n for n in names if names.count(n) > 1})
+        counted = Counter(map(fold, names))
+        dupes = sorted({n for n in names if counted[fold(n)] > 1})
         if dupes:
             raise ValueError(f"flattening gives duplicate column names: {dupes}")
         df = df.select(*cols)

@@ -1,52 +1,54 @@
 """Next event of the same key: its time, chosen attributes and the gap in seconds.
 
 Order inside a key is ``time`` ascending with nulls last, then the tie-breaker
-columns ascending. Rows with a null time are still chained: the last timed row
-of a key gets the first null-time row as successor (its attributes, a null time
-and a null gap). Without tie-breakers equal times give an arbitrary successor.
+columns ascending, then a 64-bit hash of the whole row. Rows that agree in all
+of these are copies of one another, so every plan and every input layout gives
+the same result, with or without tie-breakers. Rows with a null time are still
+chained: the last timed row of a key gets the first null-time row as successor
+(its attributes, a null time and a null gap).
 
 Two physical shapes, same result:
 
 * ``window``: one ``lead`` over ``Window.partitionBy(keys)``. One shuffle, but a
   key's whole timeline is sorted in one task.
-* ``split``: keys with more than ``segment_rows`` rows are cut into contiguous
-  time ranges ("segments") of about that size, placed by approximate
-  quantiles of the key's own times. ``lead`` runs per
-  (key, segment); the last row of a segment then takes the first row of the
-  next non-empty segment of its key, found on a table with one row per hot
-  segment. A key holding a third of all rows is spread over many tasks.
-
-``auto`` (default) first counts rows per key (an aggregate over the key
-columns with map-side combine; two numbers reach the driver) and takes
-``split`` only when some key has more than ``segment_rows`` rows.
+* ``split``: the rows of keys with more than ``segment_rows`` rows are dealt by
+  ranges of the full order (key, time, tie-breakers, row), so that a range holds
+  about ``segment_rows`` rows however the key's times lie: in bursts, at one
+  instant, or null. ``lead`` runs per (key, range); the last row of a range then
+  takes the first row of the key's next range, found on a table with one row
+  per hot key and range. Other keys take the plain window.
+
+``auto`` (default) and ``split`` first count rows per key (an aggregate over the
+key columns with map-side combine; the hot keys alone are kept, in a scratch
+folder). Without a hot key both are the plain window. The dealt rows of hot
+keys are written to a scratch folder once, so that both later branches see the
+same ranges, also after a lost executor.
 """
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daybridge.functions.clock import order_number, seconds_between
-from daybridge.sources.scratch import checkpoint_root
+from daybridge.functions.clock import seconds_between
+from daybridge.sources.scratch import materialize
 
 DEFAULT_SEGMENT_ROWS = 2_000_000
-# One row per hot key is broadcast. A hot key has more than segment_rows rows,
-# so there are at most total_rows / segment_rows of them; beyond this many the
-# hot-key table is joined with a shuffle instead.
-MAX_BROADCAST_HOT_KEYS = 1_000_000
-# Equal-depth buckets per hot key, and the accuracy of the quantile sketch
-# (relative rank error 1 / QUANTILE_ACCURACY).
-QUANTILE_POINTS = 32
-QUANTILE_ACCURACY = 2000
+# The keys of hot rows are broadcast when there are at most this many; there are
+# at most total_rows / segment_rows of them. Beyond, the joins shuffle.
+MAX_BROADCAST_HOT_KEYS = 100_000
+# Ranges are placed by Spark's sample of about 100 rows each; this many more
+# than rows / segment_rows keep the largest near segment_rows.
+RANGE_SLACK = 1.25
 
 _PAIR = "_db_pair"
 _NEXT = "_db_next"
 _SEG = "_db_seg"
-_HOT = "_db_hot"
+_ROW = "_db_row"
 _TIME = "t"
 
 
@@ -103,23 +105,24 @@ def add_next_event(
         raise ValueError(f"output columns already exist: {clash}")
 
     time_type = df.schema[time_col].dataType
-    order = [_col(time_col).asc_nulls_last(), *[_col(c).asc() for c in tie_breakers]]
     pair = F.struct(
         _col(time_col).alias(_TIME),
         *[_col(src).alias(f"c{i}") for i, src in enumerate(carry.values())],
     )
-    base = df.withColumn(_PAIR, pair)
-
-    window = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
-    if strategy == "window":
+    base = df.withColumn(_ROW, _row_hash(df)).withColumn(_PAIR, pair)
+    order = [_col(time_col).asc_nulls_last(), *[_col(c).asc() for c in tie_breakers], F.col(_ROW).asc()]
+
+    hot = None
+    if strategy != "window":
+        counts = df.groupBy(*[_col(k).alias(f"_db_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
+        hot = materialize(counts.where(F.col("_n") > F.lit(segment_rows)), "hot-keys")
+        hot_count, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if hot is None or hot_count == 0:
+        window = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
         linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
     else:
-        largest, hot_count = _key_profile(df, keys, segment_rows)
-        if strategy == "auto" and largest <= segment_rows:
-            linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
-        else:
-            hot = _hot_keys(df, keys, time_col, time_type, tie_breakers, segment_rows, hot_count)
-            linked = _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order)
+        segments = max(1, round(RANGE_SLACK * hot_rows / segment_rows))
+        linked = _split_lead(base, hot, hot_count, segments, keys, time_col, tie_breakers, order)
 
     nxt = F.col(_NEXT)
     outputs = [nxt.getField(_TIME).alias(next_time_col)]
@@ -129,152 +132,67 @@ def add_next_event(
     return linked.select(*[_col(c) for c in df.columns], *outputs)
 
 
-def _key_profile(df: DataFrame, keys, segment_rows) -> tuple[int, int]:
-    """Rows of the largest key and number of keys above ``segment_rows``.
+def _row_hash(df: DataFrame) -> Column:
+    """64-bit hash over all columns by name; maps and variants, which have no hash, go in as JSON.
 
-    One aggregate over the key columns only; partial aggregation shuffles one
-    row per key and map task, and two numbers reach the driver.
-    """
-    per_key = df.groupBy(*[_col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(
-        F.max("_n").alias("largest"),
-        F.count(F.when(F.col("_n") > F.lit(segment_rows), True)).alias("hot"),
-    ).first()
-    return int(row["largest"] or 0), int(row["hot"] or 0)
-
-
-def _tie_number(df: DataFrame, tie_breakers) -> Column | None:
-    """Order number of the first tie-breaker, when it has an orderable numeric form."""
-    if not tie_breakers:
-        return None
-    try:
-        return order_number(_col(tie_breakers[0]), df.schema[tie_breakers[0]].dataType)
-    except TypeError:
-        return None
-
-
-def _hot_keys(df: DataFrame, keys, time_col, time_type, tie_breakers, segment_rows, hot_count) -> DataFrame:
-    """One row per key with more than ``segment_rows`` rows, describing its segments.
-
-    ``_nseg`` segments of timed rows and ``_nnseg`` segments of null-time rows
-    (which sort after all timed rows, by the tie-breakers). ``_q`` holds
-    ``QUANTILE_POINTS + 1`` approximate quantiles of the key's times (``_bq``
-    of the first tie-breaker among its null-time rows, when that is numeric):
-    segments follow the key's own distribution, so an outlier or a burst does
-    not pile the key back into one task. The table has at most
-    total_rows / segment_rows rows; the quantiles are computed on hot keys'
-    rows only.
+    Columns that the library adds on the way do not count, so that daily and bulk loads agree.
     """
-    kcols = [_col(k) for k in keys]
-    num = order_number(_col(time_col), time_type)
-    tie = _tie_number(df, tie_breakers)
-    null_tie = F.when(num.isNull(), tie) if tie is not None else F.lit(None).cast("double")
-    counts = (
-        df.groupBy(*kcols)
-        .agg(F.count(F.lit(1)).alias("_n"), F.count(num).alias("_nt"), F.count(null_tie).alias("_nn"))
-        .where(F.col("_n") > F.lit(segment_rows))
-    )
-    hot_list = counts.select(*kcols)
-    if hot_count <= MAX_BROADCAST_HOT_KEYS:
-        hot_list = F.broadcast(hot_list)
-    probs = [i / QUANTILE_POINTS for i in range(QUANTILE_POINTS + 1)]
-    quantiles = (
-        df.select(*kcols, num.alias("_v"), null_tie.alias("_b"))
-        .join(hot_list, on=keys, how="left_semi")
-        .groupBy(*kcols)
-        .agg(
-            F.percentile_approx("_v", probs, QUANTILE_ACCURACY).alias("_db_q"),
-            F.percentile_approx("_b", probs, QUANTILE_ACCURACY).alias("_db_bq"),
-        )
-    )
-    return counts.join(quantiles, on=keys, how="inner").select(
-        *kcols,
-        F.greatest(F.ceil(F.col("_nt") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_db_nseg"),
-        F.col("_db_q"),
-        F.greatest(F.ceil(F.col("_nn") / F.lit(segment_rows)), F.lit(1)).cast("long").alias("_db_nnseg"),
-        F.col("_db_bq"),
-    )
+    parts = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        if f.name.startswith("_db_"):
+            continue
+        nested = "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString()
+        if isinstance(f.dataType, T.UserDefinedType):
+            continue
+        parts.append(F.to_json(F.struct(_col(f.name).alias("v"))) if nested else _col(f.name))
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
 
 
-def _quantile_bucket(value: Column, quantiles: str) -> Column:
-    """Bucket in [0, K) of ``value``: how many interior quantiles q_1..q_{K-1} are <= it.
-
-    Written as a sum of plain comparisons, which whole-stage codegen compiles
-    (a lambda over the array would be interpreted for every element).
-    """
-    q = F.col(quantiles)
-    hits = [F.when(F.element_at(q, j + 1) <= value, F.lit(1)).otherwise(F.lit(0)) for j in range(1, QUANTILE_POINTS)]
-    return reduce(operator.add, hits)
+def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right, strict=True)])
 
 
-def _quantile_segment(value: Column, quantiles: str, bucket: str, count: str) -> Column:
-    """Segment in [0, count) of ``value``, never decreasing as ``value`` grows.
+def _ranges(hot_rows: DataFrame, segments: int, keys, time_col, tie_breakers) -> DataFrame:
+    """Rows of hot keys with the number of their range of the full order.
 
-    The value's position between the key's quantiles q_0..q_K is mapped to
-    (i + f) / K, where i is its bucket and f the linear position inside the
-    bucket; the unit interval is then cut into ``count`` equal parts, which
-    hold about equally many rows.
+    Copies of one row are told apart by a running number, so that even a row
+    that occurs more often than a range holds is dealt to several ranges.
     """
-    q, i = F.col(quantiles), F.col(bucket)
-    lo = F.element_at(q, i + 1)
-    hi = F.element_at(q, i + 2)
-    frac = F.when(hi > lo, F.least(F.greatest((value - lo) / (hi - lo), F.lit(0.0)), F.lit(0.999999))).otherwise(
-        F.lit(0.0)
+    dealt = hot_rows.withColumn("_db_copy", F.monotonically_increasing_id()).repartitionByRange(
+        segments,
+        *[_col(k).asc() for k in keys],
+        _col(time_col).asc_nulls_last(),
+        *[_col(c).asc() for c in tie_breakers],
+        F.col(_ROW).asc(),
+        F.col("_db_copy").asc(),
     )
-    position = (i + frac) / F.lit(float(QUANTILE_POINTS))
-    return F.least(F.floor(position * F.col(count)).cast("long"), F.col(count) - F.lit(1))
+    return materialize(dealt.drop("_db_copy").withColumn(_SEG, F.spark_partition_id()), "ranges")
 
 
-def _split_lead(base, hot, hot_count, keys, time_col, time_type, tie_breakers, order) -> DataFrame:
+def _split_lead(base, hot, hot_count, segments, keys, time_col, tie_breakers, order) -> DataFrame:
+    hot_keys = hot.drop("_n")
     if hot_count <= MAX_BROADCAST_HOT_KEYS:
-        # computed once per query and shared by both branches below
-        hot = F.broadcast(hot)
-    else:
-        # too large to broadcast: materialise it once in the shared checkpoint
-        # folder, so that both branches see the same (approximate) quantiles
-        checkpoint_root(base.sparkSession)
-        hot = hot.checkpoint(eager=True)
-    num = order_number(_col(time_col), time_type)
-    tie = _tie_number(base, tie_breakers)
-    joined = base.join(hot, on=keys, how="left")
-    # the bucket lookups are computed once, in their own projection
-    buckets = [F.when(num.isNotNull(), _quantile_bucket(num, "_db_q")).alias("_db_qb")]
-    if tie is not None:
-        buckets.append(F.when(num.isNull(), _quantile_bucket(tie, "_db_bq")).alias("_db_bb"))
-    joined = joined.select("*", *buckets)
-    null_segment = F.col("_db_nseg")
-    if tie is not None:
-        # rows with a null tie-breaker sort first among the null-time rows
-        null_segment = null_segment + F.coalesce(_quantile_segment(tie, "_db_bq", "_db_bb", "_db_nnseg"), F.lit(0))
-    segment = (
-        F.when(F.col("_db_nseg").isNull(), F.lit(0))
-        .when(num.isNull(), null_segment)
-        .otherwise(_quantile_segment(num, "_db_q", "_db_qb", "_db_nseg"))
-    )
-    seg = joined.select(
-        "*", segment.cast("long").alias(_SEG), F.col("_db_nseg").isNotNull().alias(_HOT)
-    ).drop("_db_nseg", "_db_q", "_db_nnseg", "_db_bq", "_db_qb", "_db_bb")
-
-    in_segment = seg.withColumn(
-        _NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*[_col(k) for k in keys], F.col(_SEG)).orderBy(*order))
-    )
-    # First row of every hot segment. The struct orders like the window: a
-    # null time sorts after any time, then the tie-breakers ascending.
+        hot_keys = F.broadcast(hot_keys)
+    kcols = [_col(k) for k in keys]
+    is_hot = _same(kcols, [F.col(f"_db_k{i}") for i in range(len(keys))])
+    cold = base.join(hot_keys, is_hot, "left_anti")
+    cold = cold.withColumn(_NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*kcols).orderBy(*order)))
+
+    seg = _ranges(base.join(hot_keys, is_hot, "left_semi"), segments, keys, time_col, tie_breakers)
+    in_segment = seg.withColumn(_NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*kcols, F.col(_SEG)).orderBy(*order)))
+    # First row of every range of a key. The struct orders like the window: a
+    # null time sorts after any time, then the tie-breakers, then the row hash.
     rank = F.struct(
         _col(time_col).isNull().alias("n"),
         _col(time_col).alias("t"),
         *[_col(c).alias(f"b{i}") for i, c in enumerate(tie_breakers)],
+        F.col(_ROW).alias("r"),
     )
-    heads = (
-        seg.where(F.col(_HOT))
-        .groupBy(*[_col(k) for k in keys], F.col(_SEG))
-        .agg(F.min_by(F.col(_PAIR), rank).alias("_head"))
-    )
-    next_heads = heads.select(
-        *[_col(k) for k in keys],
-        F.col(_SEG),
-        F.lead("_head", 1).over(Window.partitionBy(*[_col(k) for k in keys]).orderBy(F.col(_SEG))).alias("_next_head"),
-    )
-    return in_segment.join(next_heads, on=[*keys, _SEG], how="left").withColumn(
-        _NEXT, F.coalesce(F.col(_NEXT), F.col("_next_head"))
-    )
+    named = [_col(k).alias(f"_db_h{i}") for i, k in enumerate(keys)]
+    heads = seg.groupBy(*named, F.col(_SEG).alias("_db_hseg")).agg(F.min_by(F.col(_PAIR), rank).alias("_head"))
+    hcols = [F.col(f"_db_h{i}") for i in range(len(keys))]
+    following = F.lead("_head", 1).over(Window.partitionBy(*hcols).orderBy(F.col("_db_hseg")))
+    next_heads = heads.select(*hcols, "_db_hseg", following.alias("_next_head"))
+    joined = in_segment.join(next_heads, _same([*kcols, F.col(_SEG)], [*hcols, F.col("_db_hseg")]), "left")
+    linked = joined.withColumn(_NEXT, F.coalesce(F.col(_NEXT), F.col("_next_head")))
+    return cold.unionByName(linked.select(*[_col(c) for c in cold.columns]))

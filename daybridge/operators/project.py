@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,12 @@ class ColumnSpec:
         return cls(name=d["name"], type=d["type"], format=d.get("format"), comment=d.get("comment", ""))
 
 
+def name_key(spark: SparkSession) -> Callable[[str], str]:
+    """How the session compares column names (``spark.sql.caseSensitive``)."""
+    exact = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return str if exact else str.lower
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -54,7 +60,10 @@ def project_typed(df: DataFrame, specs: Iterable[ColumnSpec | Mapping], *, on_er
     if on_error not in ("raise", "null"):
         raise ValueError(f"on_error must be 'raise' or 'null', not {on_error!r}")
     specs = [s if isinstance(s, ColumnSpec) else ColumnSpec.from_dict(s) for s in specs]
-    missing = [s.name for s in specs if s.name not in df.columns]
+    # Names follow the session's rule, as in a select: without regard to case unless it says otherwise.
+    fold = name_key(df.sparkSession)
+    known = {fold(c) for c in df.columns}
+    missing = [s.name for s in specs if fold(s.name) not in known]
     if missing:
         raise ValueError(f"configured columns not found in the data: {missing}")
     return df.select(*[typed_column(s, on_error=on_error) for s in specs])

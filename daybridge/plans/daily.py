@@ -5,8 +5,8 @@ load therefore reads partition D-1 back, unions it with day D, recomputes the
 next event over both days and overwrites exactly partitions D-1 and D.
 
 ``bulk_bridge`` gives, in one job, what loading every day of a history in
-ascending order gives: the next event over the whole history, dropped when it
-lies more than ``lookback_days`` days after the row's day.
+ascending order gives. Both chain rows in the same total order (see
+``add_next_event``), so a day gives the same table from any input layout.
 """
 
 from __future__ import annotations
@@ -21,16 +21,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybridge.operators.next_event import _NEXT, _PAIR, DEFAULT_SEGMENT_ROWS, add_next_event
+from daybridge.operators.next_event import DEFAULT_SEGMENT_ROWS, add_next_event
 from daybridge.sources.tables import (
     create_partitioned_table,
     overwrite_partitions,
+    partition_columns,
     read_partitions,
     table_exists,
 )
 
 _ROLE = "_db_role"  # 0: row is written back, 1: row is only a successor candidate
 _NEXT_DAY = "_db_next_day"
+_GROUP, _OWNER = "_db_group", "_db_owner"
+# The days of a batch are collected on the driver; more than this many (270
+# years) are taken for dirty dates and refused.
+MAX_DAYS = 100_000
 
 
 def _quote(name: str) -> str:
@@ -84,11 +89,6 @@ def bridge_next_event(df: DataFrame, spec: BridgeSpec) -> DataFrame:
     return linked.select(*[F.col(_quote(c)) for c in df.columns], *kept)
 
 
-# bulk_bridge broadcasts the first null-time row of each (key, union) when the
-# data has at most this many null-time rows (the table has at most one row per
-# null-time row); beyond it the join shuffles.
-MAX_BROADCAST_NULL_ROWS = 1_000_000
-
 # Above this many days per write, rows are regrouped by day first, so that each
 # day is written by a few tasks instead of every task writing a file per day.
 REGROUP_ABOVE_DAYS = 4
@@ -105,9 +105,20 @@ def _file_layout(out: DataFrame, pcol: str, output_partitions: int | None, many_
     return out
 
 
-def _check_table_schema(table_df: DataFrame, batch: DataFrame, spec: BridgeSpec) -> None:
-    expected = {f.name: f.dataType for f in batch.schema.fields}
-    actual = {f.name: f.dataType for f in table_df.schema.fields if f.name not in spec.added_columns}
+def _added_types(batch: DataFrame, spec: BridgeSpec) -> dict[str, T.DataType]:
+    types = {spec.next_col: batch.schema[spec.time_col].dataType}
+    types |= {out: batch.schema[src].dataType for out, src in spec.carry.items()}
+    return types | ({spec.gap_col: T.LongType()} if spec.gap_col else {})
+
+
+def _check_table(table: str, batch: DataFrame, spec: BridgeSpec) -> None:
+    """Refuse a batch that the table cannot hold whole, and a table that is not partitioned as the load needs."""
+    spark = batch.sparkSession
+    parts = partition_columns(spark, table)
+    if [p.lower() for p in parts] != [spec.partition_col.lower()]:
+        raise ValueError(f"table {table} must be partitioned by {spec.partition_col!r} alone, not by {parts}")
+    expected = {f.name: f.dataType for f in batch.schema.fields} | _added_types(batch, spec)
+    actual = {f.name: f.dataType for f in spark.read.table(table).schema.fields}
     missing = sorted(set(actual) - set(expected))
     extra = sorted(set(expected) - set(actual))
     changed = sorted(
@@ -121,6 +132,17 @@ def _check_table_schema(table_df: DataFrame, batch: DataFrame, spec: BridgeSpec)
         )
 
 
+def _days_of(batch: DataFrame, spec: BridgeSpec) -> list:
+    """Sorted days of a batch: one row per day reaches the driver. Null and absurdly many days are refused."""
+    pcol = spec.partition_col
+    days = [r[0] for r in batch.select(F.col(_quote(pcol))).distinct().limit(MAX_DAYS + 1).collect()]
+    if None in days:
+        raise ValueError(f"batch has rows with a null {pcol!r}")
+    if len(days) > MAX_DAYS:
+        raise ValueError(f"batch has more than {MAX_DAYS} distinct values of {pcol!r}")
+    return sorted(days)
+
+
 def load_day(
     batch: DataFrame,
     table: str,
@@ -129,11 +151,15 @@ def load_day(
     location: str | None = None,
     lookahead_days: int = 0,
     output_partitions: int | None = None,
+    merge: bool = False,
 ) -> list:
     """Load a batch (one day or several) into ``table`` and repair the day boundary.
 
     * Days are taken from the batch (one small aggregate); an empty batch is a
       no-op and a null partition date is refused.
+    * A batch holds its days whole: rows of these days that the table has are
+      replaced. With ``merge`` they are kept and the batch is added to them (a
+      batch that is merged twice is in the table twice).
     * For each batch day D, partitions D-1 .. D-``lookback_days`` already in the
       table are read back (partition pruning), their old next-event columns
       dropped, and unioned with the batch by column name.
@@ -143,6 +169,8 @@ def load_day(
       the days read back are overwritten (dynamic partition overwrite); other
       partitions are untouched. A new table is created partitioned by the
       partition column, managed or at ``location``.
+    * A batch of several days gives what loading its days one by one in
+      ascending order gives, whatever the times (see ``bulk_bridge``).
     * ``output_partitions`` adds a rebalance step into that many partitions
       by day. Batches of more than ``REGROUP_ABOVE_DAYS`` days are regrouped
       by day anyway; a daily batch is written straight from the window stage.
@@ -150,6 +178,14 @@ def load_day(
     One writer per table at a time. Returns the sorted batch days plus the
     previous days that were read back (a day read back without rows stays absent).
     """
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _load(batch, table, spec, location, lookahead_days, output_partitions, merge)
+    finally:
+        batch.unpersist()
+
+
+def _load(batch, table, spec, location, lookahead_days, output_partitions, merge) -> list:
     spark = batch.sparkSession
     pcol = spec.partition_col
     if not isinstance(batch.schema[pcol].dataType, T.DateType):
@@ -157,155 +193,104 @@ def load_day(
     for c in spec.added_columns:
         if c in batch.columns:
             raise ValueError(f"batch already has output column {c!r}")
+    exists = table_exists(spark, table)
+    if exists:
+        _check_table(table, batch, spec)
+    days = _days_of(batch, spec)
+    if not days:
+        return []
+
+    role = {0: [], 1: []}  # days read from the table: written back, or successor candidates only
+    loads = set(days)
+    if exists:
+        near = lambda n, sign: {d + timedelta(days=sign * k) for d in days for k in range(1, n + 1)}
+        back = near(spec.lookback_days, -1) - loads
+        ahead = near(lookahead_days, 1) - loads - back
+        role = {0: sorted(back | (loads if merge else set())), 1: sorted(ahead)}
+        loads |= ahead
+    parts = [batch.withColumn(_ROLE, F.lit(0))]
+    for r, wanted in role.items():
+        if wanted:
+            stored = read_partitions(spark, table, pcol, wanted).select(*[F.col(_quote(c)) for c in batch.columns])
+            parts.append(stored.withColumn(_ROLE, F.lit(r)))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), parts)
+
+    written = sorted(set(days) | set(role[0]))
+    span = [*written, *role[1]]
+    if (max(span) - min(span)).days <= spec.lookback_days:
+        # All rows form the union of one load.
+        linked = bridge_next_event(union, spec)
+    else:
+        linked = bulk_bridge(union, spec, load_days=sorted(loads), present=sorted(span))
+    out = linked.where(F.col(_ROLE) == 0).drop(_ROLE)
+    many = len(written) > REGROUP_ABOVE_DAYS
+    out = _file_layout(out, pcol, output_partitions, many)
+    if exists:
+        overwrite_partitions(out, table)
+    else:
+        create_partitioned_table(out, table, pcol, location=location, regroup=False)
+    return written
 
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        days = sorted((r[0] for r in batch.select(pcol).distinct().collect()), key=lambda d: (d is None, d))
-        if not days:
-            return []
-        if days[-1] is None:
-            raise ValueError(f"batch has rows with a null {pcol!r}")
-
-        parts = [batch.withColumn(_ROLE, F.lit(0))]
-        written = set(days)
-        ahead: set = set()
-        exists = table_exists(spark, table)
-        if exists:
-            current = spark.read.table(table)
-            _check_table_schema(current, batch, spec)
-            back = {d - timedelta(days=k) for d in days for k in range(1, spec.lookback_days + 1)} - written
-            ahead = {d + timedelta(days=k) for d in days for k in range(1, lookahead_days + 1)} - written - back
-            cols = [F.col(_quote(c)) for c in batch.columns]
-            if back:
-                prev = read_partitions(spark, table, pcol, sorted(back)).select(*cols)
-                parts.append(prev.withColumn(_ROLE, F.lit(0)))
-                written |= back
-            if ahead:
-                nxt = read_partitions(spark, table, pcol, sorted(ahead)).select(*cols)
-                parts.append(nxt.withColumn(_ROLE, F.lit(1)))
-
-        union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), parts)
-        span = written | (ahead if exists else set())
-        if (max(span) - min(span)).days <= spec.lookback_days:
-            # all rows form the union of one daily load: the plain closed form is exact
-            linked = bridge_next_event(union, spec)
-        else:
-            # several daily unions (a multi-day batch): null-time rows chain per union
-            linked = bulk_bridge(union, spec)
-        out = linked.where(F.col(_ROLE) == 0).drop(_ROLE)
-        out = _file_layout(out, pcol, output_partitions, len(written) > REGROUP_ABOVE_DAYS)
-        if exists:
-            overwrite_partitions(out, table)
-        else:
-            create_partitioned_table(out, table, pcol, location=location)
-        return sorted(written)
-    finally:
-        batch.unpersist()
-
-
-def bulk_bridge(df: DataFrame, spec: BridgeSpec = BridgeSpec()) -> DataFrame:
-    """What loading every day of ``df`` in ascending order gives, in one job.
 
-    A day's rows keep the values of the last load that read them: the load of
-    the latest present day within ``lookback_days`` after it, whose union holds
-    the present days up to ``lookback_days`` before that day. Within such a
-    union, timed rows come first by time (so a row's timed successor is its
-    next timed event at most ``lookback_days`` days later), then null-time rows
-    by the tie-breakers: the last timed row of a key gets the union's first
-    null-time row, and null-time rows chain among themselves.
+def _advances(df: DataFrame, spec: BridgeSpec) -> bool:
+    """Whether every row has a time and, within a key, a later day never holds an earlier or equal time.
 
-    Exact when, within a key, a later day never holds an earlier time (true
-    when the time is derived from the day). Null-time rows, usually few, are
-    copied into each union that holds their day (at most ``lookback_days + 1``
-    copies); the set of days is collected on the driver (one row per day).
+    One aggregate by (key, day), then one over its rows; a single row reaches the driver.
+    """
+    keys = [F.col(_quote(k)).alias(f"_db_k{i}") for i, k in enumerate(spec.keys)]
+    time, day = F.col(_quote(spec.time_col)), F.col(_quote(spec.partition_col))
+    per_day = df.groupBy(*keys, day.alias("_db_d")).agg(
+        F.min(time).alias("lo"), F.max(time).alias("hi"), F.count(F.when(time.isNull(), 1)).alias("nulls")
+    )
+    before = F.lag("hi").over(Window.partitionBy(*[f"_db_k{i}" for i in range(len(keys))]).orderBy("_db_d"))
+    bad = per_day.select("lo", "nulls", before.alias("hi")).where("nulls > 0 or hi >= lo")
+    return bad.isEmpty()
+
+
+def bulk_bridge(
+    df: DataFrame, spec: BridgeSpec = BridgeSpec(), *, load_days: list | None = None, present: list | None = None
+) -> DataFrame:
+    """What loading the days of ``df`` in ascending order gives, in one job.
+
+    A day's rows keep the values of the last load that read them: the latest
+    load day within ``lookback_days`` after it. That load's union holds the days
+    up to ``lookback_days`` before it. ``load_days`` are the days that are
+    loaded (default: all days of ``df``, which ``present`` may give).
+
+    If each day is read again by the last load that could read it, all times are
+    there and they advance from day to day within each key (one aggregate
+    decides), every load's chain is a part of the chain over all days: one pass,
+    a successor more than ``lookback_days`` days later dropped. Otherwise each row goes into each load's union that holds its
+    day (``lookback_days + 1`` at most) and each union is chained for itself.
+    Both give the same result. Null dates are refused.
     """
     spark = df.sparkSession
-    pcol, tcol = spec.partition_col, spec.time_col
-    keys = list(spec.keys)
-    day, time = F.col(_quote(pcol)), F.col(_quote(tcol))
-    per_day = df.groupBy(day).agg(F.count(F.when(time.isNull(), F.lit(1))).alias("n")).collect()
-    days = sorted(r[0] for r in per_day if r[0] is not None)
-    null_rows = sum(r["n"] for r in per_day)
-    present = set(days)
-
-    def window_days(d):
-        return [d + timedelta(days=k) for k in range(spec.lookback_days + 1) if d + timedelta(days=k) in present]
-
-    load_of = {d: max(window_days(d)) for d in days}  # the load whose values a day keeps
-    loads = set(load_of.values())
-    membership = [(e, x, x == load_of[e]) for e in days for x in window_days(e) if x in loads]
-    groups = spark.createDataFrame(membership, f"{_quote(pcol)} date, _db_group date, _db_owner boolean")
-    # one row per day (times lookback_days + 1): small by construction
-    groups = F.broadcast(groups)
-    owners = groups.where(F.col("_db_owner")).select(_quote(pcol), "_db_group")
-
-    # timed rows: next timed event within the horizon, else the union's first null-time row
-    carry = {**spec.carry, _NEXT_DAY: pcol}
-    timed = add_next_event(
-        df.where(time.isNotNull()),
-        keys,
-        tcol,
-        carry,
+    pcol = spec.partition_col
+    days = sorted(present) if present is not None else _days_of(df, spec)
+    loads = sorted(load_days) if load_days is not None else days
+    near = {d: [d + timedelta(days=k) for k in range(spec.lookback_days + 1)] for d in days}
+    loaded, have = set(loads), set(days)
+    owner = {d: max((x for x in near[d] if x in loaded), default=d) for d in days}
+    followed = all(owner[d] == max(x for x in near[d] if x in have) for d in days)
+    if followed and _advances(df, spec):
+        return bridge_next_event(df, spec)
+
+    unions = set(owner.values())
+    membership = [(d, x, x == owner[d]) for d in days for x in near[d] if x in unions]
+    groups = spark.createDataFrame(membership, f"_db_day date, {_GROUP} date, {_OWNER} boolean")
+    rows = df.join(F.broadcast(groups), F.col(_quote(pcol)) == F.col("_db_day")).drop("_db_day")  # a row per day and load
+    linked = add_next_event(
+        rows,
+        [*spec.keys, _GROUP],
+        spec.time_col,
+        dict(spec.carry),
         list(spec.tie_breakers),
         next_time_col=spec.next_col,
         gap_col=spec.gap_col,
         strategy=spec.strategy,
         segment_rows=spec.segment_rows,
     )
-    has_next = F.col(_NEXT_DAY).isNotNull() & (
-        F.datediff(F.col(_NEXT_DAY), day) <= F.lit(spec.lookback_days)
-    )
-    cols = [F.col(_quote(c)) for c in df.columns]
-    if null_rows == 0:
-        # no null-time rows: the closed form alone, straight from the window stage
-        kept = [F.when(has_next, F.col(_quote(c))).alias(c) for c in spec.added_columns]
-        return timed.select(*cols, *kept)
-
-    # null-time rows: chained per (key, union) by the tie-breakers
-    sources = list(spec.carry.values())
-    pair = F.struct(*[F.col(_quote(src)).alias(f"c{i}") for i, src in enumerate(sources)], F.lit(1).alias("_db_x"))
-    order = [F.col(_quote(c)).asc() for c in spec.tie_breakers] or [F.lit(1)]
-    nulls = df.where(time.isNull())
-    candidates = nulls.join(groups, on=pcol, how="inner").withColumn(_PAIR, pair)
-    per_union = Window.partitionBy(*[F.col(_quote(k)) for k in keys], F.col("_db_group")).orderBy(*order)
-    chained = candidates.withColumn(_NEXT, F.lead(_PAIR, 1).over(per_union)).where(F.col("_db_owner"))
-    rank = F.struct(*[F.col(_quote(c)).alias(f"b{i}") for i, c in enumerate(spec.tie_breakers)], F.lit(1).alias("_db_x"))
-    heads = candidates.groupBy(*[F.col(_quote(k)) for k in keys], F.col("_db_group")).agg(
-        F.min_by(F.col(_PAIR), rank).alias("_db_head")
-    )
-    heads = heads.select(
-        *[F.col(_quote(k)).alias(f"_db_hk{i}") for i, k in enumerate(keys)], F.col("_db_group").alias("_db_hg"), "_db_head"
-    )
-    if null_rows <= MAX_BROADCAST_NULL_ROWS:
-        # at most one head per null-time row: broadcast it rather than shuffle the timed rows again
-        heads = F.broadcast(heads)
-
-    timed = timed.join(owners, on=pcol, how="left")
-    match = [F.col(_quote(k)).eqNullSafe(F.col(f"_db_hk{i}")) for i, k in enumerate(keys)]
-    match.append(F.col("_db_group") == F.col("_db_hg"))
-    timed = timed.join(heads, on=reduce(lambda a, b: a & b, match), how="left")
-    timed_out = [F.when(has_next, F.col(_quote(spec.next_col))).alias(spec.next_col)]
-    timed_out += [
-        F.when(has_next, F.col(_quote(out))).otherwise(F.col("_db_head").getField(f"c{i}")).alias(out)
-        for i, out in enumerate(spec.carry)
-    ]
-    if spec.gap_col:
-        timed_out.append(F.when(has_next, F.col(_quote(spec.gap_col))).alias(spec.gap_col))
-
-    null_out = [F.lit(None).cast(df.schema[tcol].dataType).alias(spec.next_col)]
-    null_out += [F.col(_NEXT).getField(f"c{i}").alias(out) for i, out in enumerate(spec.carry)]
-    if spec.gap_col:
-        null_out.append(F.lit(None).cast("long").alias(spec.gap_col))
-    dateless = [F.lit(None).cast(df.schema[tcol].dataType).alias(spec.next_col)]
-    dateless += [F.lit(None).cast(df.schema[src].dataType).alias(out) for out, src in spec.carry.items()]
-    if spec.gap_col:
-        dateless.append(F.lit(None).cast("long").alias(spec.gap_col))
-
-    return (
-        timed.select(*cols, *timed_out)
-        .unionByName(chained.select(*cols, *null_out))
-        .unionByName(nulls.where(day.isNull()).select(*cols, *dateless))
-    )
+    return linked.where(F.col(_OWNER)).drop(_GROUP, _OWNER)
 
 
 def bulk_load(
@@ -315,25 +300,12 @@ def bulk_load(
     *,
     location: str | None = None,
     output_partitions: int | None = None,
-) -> None:
-    """Write ``bulk_bridge(df)`` into ``table``; its days replace existing partitions.
+) -> list:
+    """Load a whole history into ``table`` in one job; its days replace existing partitions.
 
-    When the table already holds earlier days, the ``lookback_days`` partitions
-    before the history's first day are read back and rewritten too, so their
-    last events learn their successors, as a day-by-day load would do. The first
-    day is one aggregate; nothing else reaches the driver.
+    Days of the table just before days of the history are read back and rewritten, and days just
+    after them are read as successor candidates, so that a history loaded into the middle of a
+    table joins on both sides. ``df`` is read several times (days, time check, key counts, main
+    pass): hand over stored data, not an expensive plan. Returns the days written.
     """
-    spark = df.sparkSession
-    pcol = spec.partition_col
-    if table_exists(spark, table):
-        _check_table_schema(spark.read.table(table), df, spec)
-        first = df.agg(F.min(F.col(_quote(pcol)))).first()[0]
-        if first is not None:
-            back = [first - timedelta(days=k) for k in range(1, spec.lookback_days + 1)]
-            prev = read_partitions(spark, table, pcol, back).select(*[F.col(_quote(c)) for c in df.columns])
-            df = df.unionByName(prev, allowMissingColumns=False)
-        overwrite_partitions(_file_layout(bulk_bridge(df, spec), pcol, output_partitions, True), table)
-    else:
-        create_partitioned_table(
-            _file_layout(bulk_bridge(df, spec), pcol, output_partitions, True), table, pcol, location=location
-        )
+    return _load(df, table, spec, location, spec.lookback_days, output_partitions, False)

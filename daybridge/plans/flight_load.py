@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +37,39 @@ class UtcSpec:
     as_ntz: bool = False
 
 
+@dataclass(frozen=True)
+class ReadSpec:
+    """How the JSON is read: see ``ingest_json``."""
+
+    schema: str | None = None
+    multi_line: bool = False
+    sampling_ratio: float | None = None
+    outer: bool = False
+    on_map: str = "drop"
+    on_error: str = "raise"
+
+
+def _from_fields(cls, given: Mapping | None, where: str):
+    known = {f.name for f in fields(cls)}
+    unknown = sorted(set(given or {}) - known)
+    if unknown:
+        raise ValueError(f"config: {where} has unknown fields {unknown}; known are {sorted(known)}")
+    return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in (given or {}).items()})
+
+
 @dataclass(frozen=True)
 class IngestConfig:
     """Column specs and target table, as in the JSON config file::
 
         {"data_columns": [{"name": .., "type": .., "format": .., "comment": ..}, ..],
-         "output_table": "default.flights", "output_partitions": 10}
+         "output_table": "default.flights", "output_partitions": 10, "output_path": "..",
+         "utc": {"key_col": "Origin", ..},                    fields of UtcSpec
+         "bridge": {"keys": ["Origin"], "tie_breakers": [..], ..},   fields of BridgeSpec
+         "read": {"schema": "DDL", "multi_line": false, "sampling_ratio": 0.1,
+                  "outer": false, "on_map": "drop", "on_error": "raise"}}
+
+    The last three are optional. A field they do not know is an error; other
+    top-level keys (deployment settings) are ignored.
     """
 
     specs: tuple[ColumnSpec, ...]
@@ -51,6 +78,7 @@ class IngestConfig:
     table_location: str | None = None
     utc: UtcSpec = field(default_factory=UtcSpec)
     bridge: BridgeSpec = field(default_factory=BridgeSpec)
+    read: ReadSpec = field(default_factory=ReadSpec)
 
     @classmethod
     def from_dict(cls, d: Mapping) -> "IngestConfig":
@@ -59,6 +87,9 @@ class IngestConfig:
             output_table=d["output_table"],
             output_partitions=d.get("output_partitions"),
             table_location=d.get("output_path"),
+            utc=_from_fields(UtcSpec, d.get("utc"), "utc"),
+            bridge=_from_fields(BridgeSpec, d.get("bridge"), "bridge"),
+            read=_from_fields(ReadSpec, d.get("read"), "read"),
         )
 
     @classmethod
@@ -76,7 +107,23 @@ def prepare_batch(
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Ingest one JSON batch and add the UTC departure time."""
-    flights = ingest_json(spark, data_path, config.specs, schema=schema)
+    r = config.read
+    flights = ingest_json(
+        spark,
+        data_path,
+        config.specs,
+        schema=schema or r.schema,
+        multi_line=r.multi_line,
+        sampling_ratio=r.sampling_ratio,
+        outer=r.outer,
+        on_map=r.on_map,
+        on_error=r.on_error,
+    )
+    return with_utc(flights, config, zones)
+
+
+def with_utc(flights: DataFrame, config: IngestConfig, zones: DataFrame) -> DataFrame:
+    """Add the UTC departure time as the config says."""
     u = config.utc
     return add_utc_time(
         flights,
@@ -99,11 +146,12 @@ def process_file(
     *,
     schema: T.StructType | str | None = None,
     lookahead_days: int = 0,
+    merge: bool = False,
 ) -> list:
     """Ingest a file, add UTC and next-departure columns, load it into the table.
 
-    ``zones`` is the zone dimension or the path of its CSV file. Returns the
-    days written.
+    ``zones`` is the zone dimension or the path of its CSV file; ``merge`` adds
+    the file's rows to days that the table has. Returns the days written.
     """
     if isinstance(zones, str):
         zones = read_zones(spark, zones, key_col=config.utc.zone_key, zone_col=config.utc.zone_col)
@@ -115,4 +163,5 @@ def process_file(
         location=config.table_location,
         lookahead_days=lookahead_days,
         output_partitions=config.output_partitions,
+        merge=merge,
     )

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from daybridge.operators.flatten import flatten
-from daybridge.operators.project import ColumnSpec, project_typed
+from daybridge.operators.project import ColumnSpec, name_key, project_typed
 
 
-def _prune_type(name: str, data_type: T.DataType, needed: set[str], on_map: str) -> T.DataType | None:
+class _Names:
+    """A set of column names under a rule of comparison."""
+
+    def __init__(self, names: Iterable[str], fold: Callable[[str], str]):
+        self.fold, self.names = fold, {fold(n) for n in names}
+
+    def __contains__(self, name: str) -> bool:
+        return self.fold(name) in self.names
+
+
+def _prune_type(name: str, data_type: T.DataType, needed: _Names, on_map: str) -> T.DataType | None:
     """The part of one field that flattening + projecting ``needed`` columns can see.
 
     Scalars survive when their (flattened) name is needed; structs keep the
@@ -43,14 +53,17 @@ def _prune_type(name: str, data_type: T.DataType, needed: set[str], on_map: str)
     return data_type if name in needed else None
 
 
-def prune_schema(schema: T.StructType, columns: Iterable[str], *, on_map: str = "drop") -> T.StructType:
+def prune_schema(
+    schema: T.StructType, columns: Iterable[str], *, on_map: str = "drop", fold: Callable[[str], str] = str.lower
+) -> T.StructType:
     """Narrow a JSON read schema to what ``flatten`` + selecting ``columns`` uses.
 
     Reading with the narrowed schema gives the same rows and values, but the
     JSON parser skips every other field (Spark does not prune nested JSON
-    fields by itself).
+    fields by itself). ``fold`` says which names are the same; the default, like
+    Spark's, does not regard case.
     """
-    needed = set(columns)
+    needed = _Names(columns, fold)
     kept = []
     for f in schema.fields:
         child = _prune_type(f.name, f.dataType, needed, on_map)
@@ -109,6 +122,6 @@ def ingest_json(
             schema = read_json(spark, path, multi_line=multi_line, sampling_ratio=sampling_ratio).schema
         elif isinstance(schema, str):
             schema = spark.createDataFrame([], schema).schema
-        schema = prune_schema(schema, [s.name for s in specs], on_map=on_map)
+        schema = prune_schema(schema, [s.name for s in specs], on_map=on_map, fold=name_key(spark))
     raw = read_json(spark, path, schema=schema, multi_line=multi_line, sampling_ratio=sampling_ratio)
     return project_typed(flatten(raw, outer=outer, on_map=on_map), specs, on_error=on_error)

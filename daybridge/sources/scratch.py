@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -38,3 +38,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def unique_table_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to a scratch folder and read it back.
+
+    Later readers see the same rows, whatever is computed anew after a lost
+    executor; column comments survive because the schema is handed on.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder made by :func:`scratch_path`; anything else is refused."""
+    root = checkpoint_root(spark).rstrip("/")
+    if not path.startswith(f"{root}/daybridge/"):
+        raise ValueError(f"{path!r} is no scratch folder of this session")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

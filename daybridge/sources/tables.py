@@ -45,6 +45,11 @@ def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, old)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    """Names of the columns a table is partitioned by."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def create_partitioned_table(
     df: DataFrame,
     table: str,
@@ -52,12 +57,18 @@ def create_partitioned_table(
     *,
     location: str | None = None,
     file_format: str = "parquet",
+    regroup: bool = True,
 ) -> None:
     """Create (or replace) a table partitioned by ``partition_col``.
 
     Without ``location`` the table is managed (files under the warehouse);
     with it the files go to that folder. The partition column ends up last.
+    ``regroup`` gathers the rows of a partition first (adaptive execution splits
+    a large one into files of even size): without it every task writes a file
+    for each partition it meets.
     """
+    if regroup:
+        df = df.hint("rebalance", F.col(_quote(partition_col)))
     writer = df.write.mode("overwrite").format(file_format).partitionBy(partition_col)
     if location:
         writer = writer.option("path", location)
@@ -67,13 +78,19 @@ def create_partitioned_table(
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions present in ``df``; keep all others.
 
-    Columns are matched to the table by name (then written by position).
-    Dynamic partition overwrite is switched on for this write only: without it
-    an overwrite of a partitioned table drops every partition. It also lets
-    ``df`` read partitions of ``table`` that it replaces, because new files are
-    staged and old ones removed only when the job commits.
+    Columns are matched to the table by name (then written by position); a
+    column that either side lacks is an error, and so is a table without
+    partitions, of which an overwrite would replace everything. Dynamic
+    partition overwrite is switched on for this write and restored; other
+    threads that write through the same session meanwhile see it too. It also lets ``df`` read partitions of ``table`` that it replaces,
+    because new files are staged and old ones removed only when the job commits.
     """
     spark = df.sparkSession
     cols = spark.read.table(table).columns
+    if not partition_columns(spark, table):
+        raise ValueError(f"table {table} is not partitioned")
+    extra, missing = sorted(set(df.columns) - set(cols)), sorted(set(cols) - set(df.columns))
+    if extra or missing:
+        raise ValueError(f"columns do not match table {table}: not in the table {extra}, missing {missing}")
     with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.select(*[F.col(_quote(c)) for c in cols]).write.mode("overwrite").insertInto(table)

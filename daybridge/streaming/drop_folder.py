@@ -4,21 +4,28 @@ Structured Streaming only discovers the files and tracks which ones were
 processed (in the checkpoint location); each micro-batch is handed to the same
 ``load_day`` as the batch job. With ``available_now=True`` the query processes
 what is there and stops, which suits a scheduled run.
+
+The files of a day may come in several micro-batches. The typed rows of each
+micro-batch are therefore staged, under its number, below the checkpoint
+location; the days it touches are then loaded from all rows staged for them.
+A micro-batch that is replayed after a failure replaces its own staged rows, so
+that every row is in the table once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from daybridge.operators.flatten import flatten
-from daybridge.operators.project import project_typed
-from daybridge.operators.utc import add_utc_time
+from daybridge.operators.project import name_key, project_typed
 from daybridge.plans.daily import load_day
-from daybridge.plans.flight_load import IngestConfig
+from daybridge.plans.flight_load import IngestConfig, with_utc
 from daybridge.sources.json_source import prune_schema
-from daybridge.sources.scratch import scratch_path
+
+_BATCH = "_db_batch"
 
 
 def watch_folder(
@@ -28,44 +35,49 @@ def watch_folder(
     config: IngestConfig,
     zones: DataFrame,
     *,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start a query that loads each new JSON file of ``folder`` into the table.
 
-    A file stream needs an explicit ``schema``. Files of one micro-batch may hold
-    several days; ``load_day`` handles them together.
+    A file stream needs an explicit ``schema``. ``checkpoint_location`` must stay
+    the same from run to run: it holds which files are done and the staged rows.
+    Files of one micro-batch may hold several days; ``load_day`` handles them
+    together. Later days that the table has are read as successor candidates, so
+    that a late file of an old day keeps its tails.
     """
-    location = checkpoint_location or scratch_path(spark, "drop-folder-stream")
+    if not checkpoint_location:
+        raise ValueError("checkpoint_location is required: without it a restart loads every file again")
     if isinstance(schema, str):
         schema = spark.createDataFrame([], schema).schema
-    narrow = prune_schema(schema, [c.name for c in config.specs])
+    narrow = prune_schema(schema, [c.name for c in config.specs], fold=name_key(spark))
     raw = spark.readStream.schema(narrow).json(folder)
-    u = config.utc
+    staged = f"{checkpoint_location.rstrip('/')}/daybridge-rows"
+    pcol = config.bridge.partition_col
 
-    def _load(batch: DataFrame, _epoch: int) -> None:
-        flights = project_typed(flatten(batch), config.specs)
-        enriched = add_utc_time(
-            flights,
-            zones,
-            date_col=u.date_col,
-            hhmm_col=u.hhmm_col,
-            key_col=u.key_col,
-            zone_key=u.zone_key,
-            zone_col=u.zone_col,
-            out_col=u.out_col,
-            as_ntz=u.as_ntz,
-        )
+    def _load(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        typed = project_typed(flatten(batch, outer=config.read.outer, on_map=config.read.on_map), config.specs,
+                              on_error=config.read.on_error)
+        rows = with_utc(typed, config, zones)
+        rows.write.mode("overwrite").parquet(f"{staged}/{_BATCH}={number}")
+        mine = session.read.schema(rows.schema).parquet(f"{staged}/{_BATCH}={number}")
+        days = mine.select(pcol).distinct()
+        everything = session.read.schema(rows.schema).parquet(staged).select(*rows.columns)
+        # a row per day of this micro-batch; null days are left for load_day to refuse
+        touched = everything.join(F.broadcast(days.withColumnRenamed(pcol, "_db_day")),
+                                  F.col(pcol).eqNullSafe(F.col("_db_day"))).drop("_db_day")
         load_day(
-            enriched,
+            touched,
             config.output_table,
             config.bridge,
             location=config.table_location,
+            lookahead_days=config.bridge.lookback_days,
             output_partitions=config.output_partitions,
         )
         # The batch runs in a cloned session; drop the caller's cached file list.
         spark.catalog.refreshTable(config.output_table)
 
-    writer = raw.writeStream.foreachBatch(_load).option("checkpointLocation", location)
+    writer = raw.writeStream.foreachBatch(_load).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

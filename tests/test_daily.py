@@ -170,3 +170,84 @@ def test_multi_day_batch_with_null_times_equals_daily_loads(spark):
     assert _state(spark, batch) == _state(spark, loop)
     # the first null-time row of day 1 is chained within days 1-2 only, not to day 3's
     assert _state(spark, loop)[2] == ("n3", None)
+
+
+def test_multi_day_batch_equals_daily_loads_for_any_times(spark):
+    # a key over two far zones: a later day holds earlier times
+    at = lambda d, h: datetime.fromisoformat(f"{d.isoformat()} 00:00") + timedelta(hours=h)
+    rows = [(1, "A", D1, at(D1, 30), "x"), (2, "A", D2, at(D1, 20), "y"), (3, "A", D3, at(D1, 25), "z"), (4, "A", D3, None, "n")]
+    rows += [(5, "B", D1, at(D1, 9), "p"), (6, "B", D2, at(D1, 9), "q"), (7, None, D1, at(D1, 1), "r"), (8, None, D2, at(D2, 1), "s")]
+    df = spark.createDataFrame(rows, "id long, Origin string, FlightDate date, FlightTime timestamp, Airline string")
+    for spec in (SPEC, BridgeSpec(**{**SPEC.__dict__, "tie_breakers": ()})):
+        loop, batch, bulk = _table(), _table(), _table()
+        for d in (D1, D2, D3):
+            load_day(df.where(F.col("FlightDate") == F.lit(d)), loop, spec)
+        load_day(df, batch, spec)
+        bulk_load(df, bulk, spec)
+        assert _state(spark, batch) == _state(spark, loop) == _state(spark, bulk)
+
+
+def test_layouts_of_a_day_give_one_table(spark):
+    rows = [(i, "A", D1, datetime(2023, 1, 1, i % 3), f"a{i % 5}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, Origin string, FlightDate date, FlightTime timestamp, Airline string")
+    spec = BridgeSpec(**{**SPEC.__dict__, "tie_breakers": (), "carry": {"next_id": "id"}})
+    states = []
+    for parts in (1, 3, 8):
+        table = _table()
+        load_day(df.repartition(parts).orderBy(F.rand(parts)), table, spec)
+        states.append({r.id: r.next_id for r in spark.read.table(table).collect()})
+    assert states[0] == states[1] == states[2]
+
+
+def test_halves_of_a_day_are_merged(spark):
+    days, table = _days(spark), _table()
+    load_day(days[D1].where("id <> 2"), table, SPEC)
+    load_day(days[D2], table, SPEC)
+    load_day(days[D1].where("id = 2"), table, SPEC, merge=True, lookahead_days=1)
+    load_day(days[D3], table, SPEC)
+    assert _state(spark, table) == LOOP_RESULT
+
+
+def test_bulk_load_into_the_middle_joins_both_sides(spark):
+    days, table = _days(spark), _table()
+    load_day(days[D1].unionByName(days[D3]), table, SPEC)
+    bulk_load(days[D2], table, SPEC)
+    assert _state(spark, table) == LOOP_RESULT
+
+
+def test_what_would_be_lost_is_refused(spark, tmp_dir):
+    from daybridge.sources.tables import overwrite_partitions
+
+    days, table = _days(spark), _table()
+    load_day(days[D1], table, SPEC)
+    more = BridgeSpec(**{**SPEC.__dict__, "carry": {"Airline_next": "Airline", "id_next": "id"}})
+    with pytest.raises(ValueError, match="id_next"):
+        load_day(days[D2], table, more)
+    other = BridgeSpec(**{**SPEC.__dict__, "carry": {"Airline_next": "id"}})
+    with pytest.raises(ValueError, match="Airline_next"):
+        load_day(days[D2], table, other)
+    with pytest.raises(ValueError, match="surplus"):
+        overwrite_partitions(spark.read.table(table).withColumn("surplus", F.lit(1)), table)
+    plain = _table()
+    bulk_bridge(days[D1], SPEC).write.saveAsTable(plain)
+    for load in (load_day, bulk_load):
+        with pytest.raises(ValueError, match="partitioned"):
+            load(days[D1], plain, BridgeSpec(**{**SPEC.__dict__, "lookback_days": 0}))
+    assert spark.read.table(plain).count() == 3
+    bad = days[D1].withColumn("FlightDate", F.lit(None).cast("date"))
+    for refused in (lambda: bulk_bridge(bad, SPEC), lambda: bulk_load(bad, _table(), SPEC)):
+        with pytest.raises(ValueError, match="null"):
+            refused()
+
+
+def test_a_day_is_written_as_few_files(spark, tmp_dir):
+    import glob
+
+    rows = [(i, "A", D1 + timedelta(days=i % 6), datetime(2023, 1, 1) + timedelta(days=i % 6, minutes=i), "a") for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, Origin string, FlightDate date, FlightTime timestamp, Airline string")
+    table = _table()
+    bulk_load(df.repartition(12), table, SPEC, location=f"{tmp_dir}/{table}")
+    files = glob.glob(f"{tmp_dir}/{table}/*/part-*")
+    assert len(files) == 6
+    load_day(df.where("id % 6 = 5"), table, SPEC, output_partitions=1)
+    assert len(glob.glob(f"{tmp_dir}/{table}/FlightDate=2023-01-06/part-*")) == 1

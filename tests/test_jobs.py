@@ -6,6 +6,7 @@ import uuid
 from datetime import datetime
 from pathlib import Path
 
+import pytest
 from pyspark.sql import SparkSession
 
 from daybridge import IngestConfig, column_comments
@@ -14,12 +15,12 @@ from daybridge.sources.tables import drop_table, table_exists
 from daybridge.streaming.drop_folder import watch_folder
 
 FLIGHT_COLUMNS = [
-    {"name": "FlightDate", "type": "date", "format": "yyyy-MM-dd", "comment": "Flight date"},
-    {"name": "Reporting_Airline", "type": "string", "comment": "Carrier code"},
-    {"name": "Origin", "type": "string", "comment": "Origin airport IATA code"},
-    {"name": "Dest", "type": "string", "comment": "Destination airport IATA code"},
-    {"name": "DepTime", "type": "int", "comment": "Local departure time hhmm"},
-    {"name": "Cancelled", "type": "boolean", "comment": "Cancelled flight"},
+    {"name": "FlightDate", "type": "date", "format": "yyyy-MM-dd", "comment": "day of departure"},
+    {"name": "Reporting_Airline", "type": "string", "comment": "airline"},
+    {"name": "Origin", "type": "string", "comment": "where it leaves"},
+    {"name": "Dest", "type": "string", "comment": "where it lands"},
+    {"name": "DepTime", "type": "int", "comment": "clock on departure"},
+    {"name": "Cancelled", "type": "boolean", "comment": "did not leave"},
 ]
 
 
@@ -33,6 +34,8 @@ def _flight(date, airline, origin, dest, dep, cancelled=False):
     }
 
 
+# The known example of the flight load - departures at 10:59 and 16:36
+# local time are 15:59Z and 20220 seconds apart.
 DAY1 = [
     _flight("2023-01-01", "9E", "JFK", "BOS", 1059),
     _flight("2023-01-01", "AA", "JFK", "MIA", 1636),
@@ -79,7 +82,7 @@ def test_daily_job_two_days(spark, tmp_path):
     # B6 (last timed JFK row of the two loaded days) chains to the null-time UA row of day 1
     assert rows[("B6", "2023-01-02")].Airline_next == "UA"
     comments = column_comments(spark, table)
-    assert comments["Dest"] == "Destination airport IATA code"
+    assert comments["Dest"] == "where it lands"
     cols = spark.read.table(table).columns
     assert cols[-1] == "FlightDate" and cols[-3:-1] == ["Airline_next", "diff_next"]
     assert table_exists(spark, table)
@@ -107,6 +110,37 @@ def test_drop_folder_stream(spark: SparkSession, tmp_path):
     assert (dl.Airline_next, dl.diff_next) == ("B6", 45 * 60)
 
 
+def test_a_day_in_two_micro_batches_and_a_restart(spark: SparkSession, tmp_path):
+    table, config_path, zones_path = _setup(tmp_path)
+    config = IngestConfig.from_file(config_path)
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    _write_lines(folder / "a.json", DAY1[:2])
+    schema = spark.read.json(str(folder)).schema
+    zones = spark.read.option("header", "true").csv(str(zones_path))
+
+    def run():
+        watch_folder(
+            spark, str(folder), schema, config, zones, checkpoint_location=str(tmp_path / "ckpt")
+        ).awaitTermination(120)
+        return sorted((str(r.FlightDate), r.Reporting_Airline) for r in spark.read.table(table).collect())
+
+    key = lambda rows: sorted((r["FlightDate"], r["carrier"]["Reporting_Airline"]) for r in rows)
+    assert run() == key(DAY1[:2])
+    _write_lines(folder / "b.json", DAY1[2:])
+    assert run() == key(DAY1)
+    _write_lines(folder / "c.json", DAY2)
+    assert run() == key(DAY1 + DAY2)
+    assert run() == key(DAY1 + DAY2)  # nothing new: a restart loads nothing again
+    late = [_flight("2023-01-01", "LH", "JFK", "FRA", 1800)]
+    _write_lines(folder / "late.json", late)
+    assert run() == key(DAY1 + DAY2 + late)
+    last = spark.read.table(table).where("Reporting_Airline = 'DL'").first()
+    assert (last.Airline_next, last.diff_next) == ("B6", 45 * 60)  # the old day keeps its tail
+    with pytest.raises(ValueError, match="checkpoint_location"):
+        watch_folder(spark, str(folder), schema, config, zones, checkpoint_location="")
+
+
 def test_bulk_job_equals_daily_job(spark, tmp_path):
     table, config, zones = _setup(tmp_path)
     d1, d2 = tmp_path / "d1.json", tmp_path / "d2.json"
@@ -124,4 +158,4 @@ def test_bulk_job_equals_daily_job(spark, tmp_path):
     # the one-job load gives the table of the two daily loads, null-time rows included
     assert bulk == daily
     assert bulk[("DL", "2023-01-01")] == ("B6", 45 * 60)
-    assert column_comments(spark, bulk_table)["Dest"] == "Destination airport IATA code"
+    assert column_comments(spark, bulk_table)["Dest"] == "where it lands"
