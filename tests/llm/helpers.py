@@ -1,0 +1,48 @@
+"""Small documents and brute-force versions that the tests compare with."""
+
+import random
+
+from pyspark.sql import types as T
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        # names that operators use for their own columns
+        *(T.StructField(c, T.StringType()) for c in ("block", "bucket", "region", "rep", "slot", "target", "id", "count")),
+    ]
+)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, *["x"] * 8) for i, t in rows], SCHEMA)
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(["red", "blue", "tree", "Stone", "river,", "of", "the", "é", "sky.", "x1"]) + str(rng.randint(0, 40)) for _ in range(n))
+
+
+def edge_rows():
+    """Nulls, empty, blank and very long texts, repeated rows and ids, rows without id."""
+    rng = random.Random(5)
+    base = sentence(rng, 80)
+    return [
+        (1, None),
+        (2, ""),
+        (3, " \n\t "),
+        (4, base),
+        (4, base),
+        (5, base + " tail"),
+        (None, base),
+        (None, None),
+        (6, "one"),
+        (7, sentence(rng, 30_000)),
+        (8, "a" * 50_000),
+        (8, "other text under the same id"),
+        (9, 'x <|endoftext|> y </s> password = "abcdef123" z'),
+    ]

@@ -1,0 +1,76 @@
+import random
+
+from daybridge.llm import near_dup
+from daybridge.llm.graph import connected_components
+from daybridge.llm.near_dup import keep_one_of_each, near_duplicates
+from tests.llm.helpers import edge_rows, frame, sentence, words
+
+
+def brute(rows, size, percent):
+    sets = {}
+    for i, t in rows:
+        w = words(t)
+        sets.setdefault(i, []).append({tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))} if w else set())
+    ids = sorted(sets)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in ids:
+        for j in ids:
+            if i < j and any(a and b and 100 * len(a & b) >= percent * len(a | b) for a in sets[i] for b in sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 150), (7, 7)] + [(300, 300 + i) for i in range(1, 50)]
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 150: 100, 200: 100, **{i: 300 for i in range(300, 350)}}
+
+
+def test_groups_equal_brute_force(spark):
+    rng = random.Random(2)
+    rows, n = [], 0
+    for _ in range(25):
+        base = sentence(rng, rng.randint(3, 120))
+        for _ in range(rng.randint(1, 5)):
+            n += 1
+            rows.append((n, edited(rng, base, rng.choice([0, 0, 1, 2, 4]))))
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), 4, 80).collect()}
+    assert got == brute(rows, 4, 80)
+
+
+def test_large_region_loses_no_link(spark, monkeypatch):
+    rng = random.Random(4)
+    base = sentence(rng, 150)
+    rows = [(i, edited(rng, base, rng.randint(0, 9))) for i in range(1, 120)]
+    monkeypatch.setattr(near_dup, "REGION", 8)
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), 4, 80).collect()}
+    assert got == brute(rows, 4, 80)
+
+
+def test_edges(spark):
+    rows = edge_rows()
+    out = near_duplicates(frame(spark, rows), 4, 80).collect()
+    assert len(out) == len(rows)
+    named = [r for r in out if r.doc_id is not None]
+    expected = brute([r for r in rows if r[0] is not None], 4, 80)
+    assert {(r.doc_id, r.component_id) for r in named} == set(expected.items())
+    assert all(r.component_id is None and r.kept for r in out if r.doc_id is None)
+    kept = keep_one_of_each(frame(spark, rows), 4, 80)
+    assert kept.columns == frame(spark, []).columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 6, 7, 8, 9] and ids.count(None) == 2
+    assert near_duplicates(frame(spark, []), 4, 80).count() == 0

@@ -1,0 +1,84 @@
+import math
+import random
+import re
+from collections import Counter
+
+import xxhash
+
+from daybridge.llm.quality_rules import SCALE, SLOTS, THRESHOLD, fit_weights, quality_rules
+from tests.llm.helpers import edge_rows, frame, sentence
+
+UPPER = {i: i + 32 for i in range(65, 91)}
+
+
+def h(*parts):
+    seed = 42
+    for p in parts:
+        seed = xxhash.xxh64_intdigest(p.encode(), seed)
+    return (seed - (1 << 64) if seed >> 63 else seed) % SLOTS
+
+
+def split(text):
+    return [w for w in re.split("[\x20\x09-\x0d]+", text or "") if w]
+
+
+def slots(text):
+    w = [x.translate(UPPER) for x in split(text)]
+    return [h(x) for x in w] + [h(a, b) for a, b in zip(w, w[1:])]
+
+
+def brute(rows, target):
+    raw, good = Counter(), Counter()
+    for i, t in rows:
+        raw.update(slots(t))
+        if i in target:
+            good.update(slots(t))
+    n, m = sum(raw.values()) + SLOTS, sum(good.values()) + SLOTS
+    weights = [round(SCALE * (math.log2((good[s] + 1) / m) - math.log2((raw[s] + 1) / n))) for s in range(SLOTS)]
+    out = []
+    for i, t in rows:
+        w, x = split(t), t or ""
+        lines = [line for line in x.split("\n") if split(line)]
+        windows = Counter(tuple(w[j : j + 3]) for j in range(len(w) - 2))
+        covered = {k for j in range(len(w) - 2) if windows[tuple(w[j : j + 3])] > 1 for k in (j, j + 1, j + 2)}
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        s = slots(t)
+        total = sum(weights[k] for k in s)
+        kept = not failed and total >= round(THRESHOLD * SCALE) * len(s)
+        counts = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in x), len(lines) - len(set(lines)), len(covered))
+        out.append((i, *counts, failed, total, len(s), kept))
+    return weights, out
+
+
+def test_counts_and_verdict_equal_brute_force(spark):
+    rng = random.Random(6)
+    rows = edge_rows()
+    for i in range(20, 60):
+        if i % 4 == 0:
+            rows.append((i, " ".join(f"{w}&&&" for w in sentence(rng, 90).split())))
+        elif i % 4 == 1:
+            rows.append((i, "same line here\n" * 30 + sentence(rng, 20) + "\n \n|<#"))
+        else:
+            rows.append((i, sentence(rng, rng.randint(40, 150)).upper()))
+    target = {i for i, _ in rows if i and i % 4 > 1}
+    docs = frame(spark, rows)
+    weights = fit_weights(docs, spark.createDataFrame([(i,) for i in target] + [(None,), (2,)], "doc_id long"))
+    expected_weights, expected = brute(rows, target)
+    assert weights == expected_weights
+    key = lambda r: tuple((x is not None, x) for x in r)
+    got = [tuple(r) for r in quality_rules(docs, weights).collect()]
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    verdict = {r[0]: r[-1] for r in got if r[0] and r[0] >= 20}
+    assert not any(verdict[i] for i in verdict if i % 4 < 2) and any(verdict.values())
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long")
+    weights = fit_weights(frame(spark, []), none)
+    assert weights == [0] * SLOTS
+    assert quality_rules(frame(spark, []), weights).count() == 0
+
+
+def test_no_python_on_the_executors(spark):
+    plan = quality_rules(frame(spark, edge_rows()), [0] * SLOTS)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Exchange", plan)
