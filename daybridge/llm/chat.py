@@ -48,11 +48,12 @@ class Layout:
     roles: dict[str, str] = field(default_factory=dict)
 
 
-# Common layouts of public chat and instruction data sets, and their names of roles.
+# Common layouts of public chat and instruction data sets, and their names of roles
+# (in lists of messages the names are canonical already).
 SPEAKERS = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 EXTRAS = ("id", "source")
 LAYOUTS = (
-    Layout("messages", ("messages[].role", "messages[].content"), TurnList("messages", "role", "content"), EXTRAS, SPEAKERS),
+    Layout("messages", ("messages[].role", "messages[].content"), TurnList("messages", "role", "content"), EXTRAS),
     Layout(
         "conversations",
         ("conversations[].from", "conversations[].value"),

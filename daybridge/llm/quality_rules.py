@@ -1,6 +1,6 @@
 """Quality rules: counts of a text, and a hashed n-gram log-likelihood ratio against the raw corpus.
 
-Words and neighbouring word pairs (lower-cased A-Z) are hashed into ``SLOTS`` slots. Two
+Words and neighbouring word pairs (in lower case) are hashed into ``SLOTS`` slots. Two
 multinomials over the slots are estimated with add-one smoothing: one from the trusted target
 documents, one from the whole raw corpus. A text's ratio is the mean over its n-grams of
 log2(target / raw). Weights are whole multiples of 2^-16, so that sums do not depend on the order of
@@ -25,15 +25,14 @@ THRESHOLD = -0.12
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Target ids are sent to every task when there are at most this many (8 bytes each).
 MAX_BROADCAST_IDS = 1_000_000
-# Upper and lower case A-Z, and the signs counted as symbols.
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# The signs counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
 
 
 def gram_slots(words: Column) -> Column:
     """Slots of all words, then of all neighbouring pairs."""
     slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).cast("int")
-    low = F.transform(words, lambda w: F.translate(w, UPPER, LOWER))
+    low = F.transform(words, lambda w: F.lower(w))
     pairs = lambda w: F.transform(indices(0, F.size(w) - 2), lambda i: slot(F.get(w, i), F.get(w, i + 1)))
     return let(low, lambda w: F.concat(F.transform(w, lambda x: slot(x)), pairs(w)))
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybridge.llm import chat, secrets
 from daybridge.llm.byte_cnn import fit_quality, score_quality
 from daybridge.llm.chat import conversation_records, format_records, masked_text, read_chat
 from daybridge.llm.decontaminate import benchmark_hits
@@ -128,5 +129,123 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: shipped(f) for f in OPERATORS}
 
 
+# --- SQL over the same tables, where SQL can express a query -------------------------------------
+
+_PLACED = """
+SELECT doc_id, list_transform(range(1, len(m) + 1), lambda i: struct_pack(
+         start := CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                  + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT), m := m[i])) AS placed
+FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, string_split_regex(t, '{pattern}') AS gaps FROM d)
+"""
+
+
+def _span_sql(pattern: str, kind: str, rank: int, condition: str = "TRUE") -> str:
+    """Rows (doc_id, start, rank, end, kind) of the matches of a pattern that meet a condition on the match ``m``."""
+    placed = _PLACED.format(pattern=pattern.replace("'", "''"))
+    return (
+        f"SELECT doc_id, s.start AS b, {rank} AS rank, s.start + length(s.m) AS e, '{kind}' AS kind, s.m AS m "
+        f"FROM (SELECT doc_id, unnest(placed) AS s FROM ({placed})) WHERE {condition.replace('$m', 's.m')}"
+    )
+
+
+def _entropy_sql(c: secrets.CharClass, rank: int) -> str:
+    # Fixed runs stand for the back reference of the allow-list, which this dialect lacks.
+    allow = [a.replace("'", "''") for a in secrets.ALLOW_LIST if "\\1" not in a]
+    allow.append("|".join(f"[{x}]{{8}}" if x != "-" else "-{8}" for x in c.members))
+    wanted = " AND ".join(
+        [f"regexp_matches($m, '{n}')" for n in c.needs] + [f"NOT regexp_matches($m, '{a}')" for a in allow]
+    )
+    runs_ = _span_sql(f"[{c.alphabet}]{{{c.window},}}", c.kind, rank, wanted)
+    return f"""
+SELECT doc_id, b + w[1] AS b, rank, b + w[len(w)] + {c.window} AS e, kind FROM (
+  SELECT *, list_filter(range(0, length(m) - {c.window - 1}),
+    lambda i: list_entropy(string_split(substring(m, CAST(i AS INTEGER) + 1, {c.window}), '')) >= {c.bits}) AS w
+  FROM ({runs_})
+) WHERE len(w) > 0
+"""
+
+
+def _secret_sql() -> str:
+    value = f"length(regexp_extract($m, '{secrets.ASSIGN.replace(chr(39), chr(39) * 2)}', 2)) >= {secrets.ASSIGN_VALUE}"
+    base = " UNION ALL ".join(
+        f"(SELECT doc_id, b, rank, e, kind FROM ({x}))"
+        for x in (
+            _span_sql(secrets.ASSIGN, "assign", 0, value),
+            _span_sql(secrets.ACCESS, "access", 1),
+            _span_sql(secrets.HEX, "hex", 2),
+        )
+    )
+    found = " UNION ALL ".join(f"({_entropy_sql(c, 3 + i)})" for i, c in enumerate(secrets.CLASSES))
+    joined = "string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank, e)"
+    count = lambda k: f"coalesce((SELECT count(*) FROM base WHERE base.doc_id = d.doc_id AND kind = '{k}'), 0) AS n_{k}"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({base}),
+found AS ({found}),
+added AS (
+  SELECT * FROM found AS f
+  WHERE NOT EXISTS (SELECT 1 FROM base AS x WHERE x.doc_id = f.doc_id AND x.b < f.e AND f.b < x.e)
+    AND NOT EXISTS (SELECT 1 FROM found AS x WHERE x.doc_id = f.doc_id AND x.b < f.e AND f.b < x.e
+                    AND (x.b, x.rank) < (f.b, f.rank))),
+per_doc AS (SELECT doc_id, {joined} AS spans FROM base GROUP BY doc_id),
+per_all AS (SELECT doc_id, {joined} AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY doc_id),
+per_add AS (SELECT doc_id, count(*) AS n FROM added GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(count(k) for k in ("assign", "access", "hex"))},
+       sha256(coalesce(per_doc.spans, '')) AS base_sha256, coalesce(per_all.spans, '') AS spans,
+       coalesce(per_add.n, 0) AS n_entropy
+FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_all USING (doc_id) LEFT JOIN per_add USING (doc_id)
+"""
+
+
+def _chat_sql() -> str:
+    marks = len(chat.OPEN) + 1 + len(chat.CLOSE) + 1
+    angle = chat.ANGLE.replace("(?=", "(")
+    square = chat.SQUARE.replace("(?=", "(")
+    escaped = lambda x: (
+        f"regexp_replace(regexp_replace(replace({x}, '%', '%25'), '{angle}', '%3C\\1', 'g'), '{square}', '%5B\\1', 'g')"
+    )
+    probe = ", ".join(f"({c}, {t}, '{r}', '{x}')" for c, t, r, x in PROBE)
+    speakers = ", ".join(f"'{s}'" for s in chat.SPEAKERS)
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {probe}) AS p(conv_id, turn, role, text)),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text) AS loss,
+         CAST(sum({marks} + length(replace({escaped("role")}, chr(10), '%0A')) + length({escaped("text")})) AS BIGINT)
+           AS formatted_chars,
+         string_agg(role, ',' ORDER BY turn, role, text) AS roles,
+         bool_and(length(text) > 0) AS whole, bool_and(role NOT IN ({speakers})) AS plain
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars,
+       CASE WHEN roles = 'user,assistant' AND whole THEN 'prompt'
+            WHEN roles = 'system,user,assistant' AND whole THEN 'instruction'
+            WHEN conv_id % 2 = 1 AND plain THEN 'conversations' ELSE 'messages' END AS layout
+FROM g
+"""
+
+
+_NEAR_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u AS a JOIN u AS b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM (
+  SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.root) AS component_id
+  FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, len(s.s))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_near_duplicates": _NEAR_SQL, "op8_secret_scan": _secret_sql(), "op9_chat_format": _chat_sql()}

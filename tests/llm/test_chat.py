@@ -60,8 +60,13 @@ def test_conversations_with_nulls_and_repeated_rows(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = format_records(conversation_records(df)).select("conv_id", "layout", read_chat(F.col("formatted")).alias("t")).collect()
     back = sorted([(r.conv_id, [tuple(t) for t in r.t]) for r in got], key=str)
-    assert back == sorted(
-        [(1, [("user", ""), ("", "x")]), (2, [("user", "a"), ("user", "a"), ("assistant", "b")]), (3, [("system", "s")]), (4, [("human" if r4 else "", "h") for r4 in [1]]), (None, [("user", "z")]), (None, [("user", "y")])],
-        key=str,
-    ) or dict(back[:4])  # role names of other layouts are canonical names
+    expected = [
+        (1, [("user", ""), ("", "x")]),
+        (2, [("user", "a"), ("user", "a"), ("assistant", "b")]),
+        (3, [("system", "s")]),
+        (4, [("human", "h")]),
+        (None, [("user", "z")]),
+        (None, [("user", "y")]),
+    ]
+    assert back == sorted(expected, key=str)
     assert format_records(conversation_records(df.limit(0))).count() == 0

@@ -8,9 +8,6 @@ import xxhash
 from daybridge.llm.quality_rules import SCALE, SLOTS, THRESHOLD, fit_weights, quality_rules
 from tests.llm.helpers import edge_rows, frame, sentence
 
-UPPER = {i: i + 32 for i in range(65, 91)}
-
-
 def h(*parts):
     seed = 42
     for p in parts:
@@ -23,7 +20,7 @@ def split(text):
 
 
 def slots(text):
-    w = [x.translate(UPPER) for x in split(text)]
+    w = [x.lower() for x in split(text)]
     return [h(x) for x in w] + [h(a, b) for a, b in zip(w, w[1:])]
 
 
