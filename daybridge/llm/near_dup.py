@@ -11,9 +11,11 @@
    common prefix.
 3. Candidates are sifted by their whole signatures (five standard errors below the threshold) and
    confirmed on the full shingle sets.
-4. Confirmed links give components. A document of a large region that its neighbours did not link
-   to the region's main component is then compared with all documents of the region outside its
-   own component, so that the choice of neighbours loses no link of such documents.
+4. Confirmed links give components. The neighbours of a large region are a choice, so an exact way
+   follows where they left documents outside the region's main component: documents that share
+   large regions form a family, families with such documents are dealt into blocks of about
+   ``BLOCK_DOCS``, and each two blocks of a family are compared by one task, signatures first, then
+   full sets; only links leave the task.
 """
 
 from __future__ import annotations
@@ -32,9 +34,11 @@ from daybridge.llm.text import U64, Words, column, distinct_per_document, mix, r
 TREES, DEPTH, MIN_PREFIX = 24, 6, 4
 REGION = 32
 NEIGHBOURS = 4
+BLOCK_DOCS = 256
 #: Candidate ids are sent to every task when there are at most this many (8 bytes each).
 MAX_BROADCAST_IDS = 1_000_000
 _BLOCK = 1 << 16
+RUN_BYTES = 2 << 20
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
 FOREST_SCHEMA = "rep long, region long, tail long"
@@ -81,7 +85,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, set size, 128-bit set key and signature of each text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, "text"):
+        for run in runs(batches, "text", RUN_BYTES):
             values, off = shingle_sets(column(run, "text"), size)
             k1, k2 = set_keys(values, off)
             sig = minhash(values, off, TREES * DEPTH)
@@ -157,8 +161,7 @@ def _pairs_of_large(rows: DataFrame) -> DataFrame:
 
 def _sifted(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose signatures do not rule the threshold out by five standard errors."""
-    n = TREES * DEPTH
-    least = math.floor(n * threshold - 5 * math.sqrt(n * threshold * (1 - threshold)))
+    least = _least_matches(threshold)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +178,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     """Pairs whose full shingle sets have ``100 * intersection >= percent * union``. ``pairs`` is stored."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, "text_a"):
+        for run in runs(batches, "text_a", RUN_BYTES // 2):
             n = run.num_rows
             both = pa.concat_arrays([column(run, "text_a"), column(run, "text_b")])
             values, off = shingle_sets(both, size)
@@ -241,20 +244,80 @@ def near_duplicates(
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _set_blobs(texts: DataFrame, size: int) -> DataFrame:
+    """rep and the sorted shingle hashes of each text, as 64-bit integers in a binary."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, "text", RUN_BYTES // 2):
+            values, off = shingle_sets(column(run, "text"), size)
+            blobs = [values[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([column(run, "rep"), pa.array(blobs, pa.binary())], names=["rep", "shingles"])
+
+    return texts.mapInArrow(work, "rep long, shingles binary")
+
+
+def _least_matches(threshold: float) -> int:
+    """Equal minima below which a signature rules the threshold out, by five standard errors."""
+    n = TREES * DEPTH
+    return math.floor(n * threshold - 5 * math.sqrt(n * threshold * (1 - threshold)))
+
+
+def _block_links(percent: int):
+    least = _least_matches(percent / 100)
+
+    def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        rep, comp, rest, block = (table.column(c).to_numpy() for c in ("rep", "comp", "rest", "block"))
+        sig = _matrix(table.column("sig").combine_chunks())
+        sets = [np.frombuffer(x.as_buffer(), dtype=U64) for x in table.column("shingles")]
+        one, two = key[1].as_py(), key[2].as_py()
+        rows, others = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        a, b = [], []
+        for i in rows.tolist():
+            far = others[(comp[others] != comp[i]) & (rest[others] | rest[i])]
+            for j in far[(sig[far] == sig[i]).sum(axis=1) >= least].tolist():
+                if one == two and j <= i:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                    a.append(rep[i])
+                    b.append(rep[j])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return work
+
+
 def _links_of_rest(
     large: DataFrame, components: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int
 ) -> DataFrame:
-    """Links of documents in large regions that lie outside the region's main component so far."""
+    """Links between components within families that hold documents outside a region's main component (exact)."""
     placed = large.join(components, F.col("rep") == F.col("id"), "left")
     placed = stored(placed.select("region", "rep", F.coalesce("component", "rep").alias("comp")), "placed")
     sizes = placed.groupBy("region", "comp").count()
     main = sizes.groupBy("region").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    rest = placed.join(main, "region").where("comp != main")
-    others = placed.select("region", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = rest.join(others, "region").where("comp != comp_b")
-    pairs = pairs.select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-    sifted = stored(_sifted(pairs, reps, percent / 100), "sifted")
-    return stored(_confirmed(sifted, texts, size, percent), "links")
+    rest = placed.join(main, "region").groupBy("rep", "comp").agg(F.max(F.expr("comp != main")).alias("rest"))
+
+    # Families: documents joined by their regions. A region gets a name that no document has.
+    region = F.lit(-(1 << 62)) + F.pmod(F.xxhash64("region"), F.lit(1 << 61))
+    members = connected_components(stored(placed.select(F.col("rep").alias("a"), region.alias("b")), "members"))
+    docs = rest.join(members.select(F.col("id").alias("rep"), F.col("component").alias("family")), "rep")
+    docs = stored(docs, "families")
+    open_ = docs.groupBy("family").agg(F.count(F.lit(1)).alias("docs"), F.max("rest").alias("any")).where("any")
+    blocks = F.ceil(F.col("docs") / BLOCK_DOCS).cast("int")
+    dealt = docs.join(open_.select("family", blocks.alias("blocks")), "family").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    )
+    dealt = stored(dealt, "blocks")
+
+    ids = dealt.select("rep")
+    ids = F.broadcast(ids) if dealt.count() <= MAX_BROADCAST_IDS else ids
+    wanted = texts.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi")
+    full = dealt.join(reps.select("rep", "sig"), "rep").join(_set_blobs(wanted, size), "rep")
+    pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    each = full.select("family", "rep", "comp", "rest", "sig", "shingles", "block", pair)
+    one, two = F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")
+    met = each.groupBy("family", one, two).applyInArrow(_block_links(percent), "a long, b long")
+    return stored(met.distinct(), "links")
 
 
 def keep_one_of_each(

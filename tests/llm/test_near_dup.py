@@ -1,6 +1,8 @@
 import random
 
-from daybridge.llm import near_dup
+import pytest
+
+from daybridge.llm import graph, near_dup
 from daybridge.llm.graph import connected_components
 from daybridge.llm.near_dup import keep_one_of_each, near_duplicates
 from tests.llm.helpers import edge_rows, frame, sentence, words
@@ -34,7 +36,9 @@ def edited(rng, text, n):
     return " ".join(w)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [10, 1_000_000])
+def test_components(spark, monkeypatch, per_task):
+    monkeypatch.setattr(graph, "EDGES_PER_TASK", per_task)
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 150), (7, 7)] + [(300, 300 + i) for i in range(1, 50)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 150: 100, 200: 100, **{i: 300 for i in range(300, 350)}}
@@ -57,6 +61,7 @@ def test_large_region_loses_no_link(spark, monkeypatch):
     base = sentence(rng, 150)
     rows = [(i, edited(rng, base, rng.randint(0, 9))) for i in range(1, 120)]
     monkeypatch.setattr(near_dup, "REGION", 8)
+    monkeypatch.setattr(near_dup, "BLOCK_DOCS", 30)
     got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, rows), 4, 80).collect()}
     assert got == brute(rows, 4, 80)
 
