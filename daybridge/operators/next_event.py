@@ -19,8 +19,8 @@ Two physical shapes, same result:
   per hot key and range. Other keys take the plain window.
 
 ``auto`` (default) and ``split`` first count rows per key (an aggregate over the
-key columns with map-side combine; the hot keys alone are kept, in a scratch
-folder). Without a hot key both are the plain window. The dealt rows of hot
+key columns with map-side combine; two numbers reach the driver). Without a hot
+key both are the plain window; hot keys are kept in a scratch folder. The dealt rows of hot
 keys are written to a scratch folder once, so that both later branches see the
 same ranges, also after a lost executor.
 """
@@ -115,13 +115,14 @@ def add_next_event(
     hot = None
     if strategy != "window":
         counts = df.groupBy(*[_col(k).alias(f"_db_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
-        hot = materialize(counts.where(F.col("_n") > F.lit(segment_rows)), "hot-keys")
+        hot = counts.where(F.col("_n") > F.lit(segment_rows))
         hot_count, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if hot is None or hot_count == 0:
         window = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
         linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
     else:
         segments = max(1, round(RANGE_SLACK * hot_rows / segment_rows))
+        hot = materialize(hot, "hot-keys")
         linked = _split_lead(base, hot, hot_count, segments, keys, time_col, tie_breakers, order)
 
     nxt = F.col(_NEXT)

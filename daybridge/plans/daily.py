@@ -12,7 +12,7 @@ ascending order gives. Both chain rows in the same total order (see
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import timedelta
 from functools import reduce
 
@@ -132,15 +132,15 @@ def _check_table(table: str, batch: DataFrame, spec: BridgeSpec) -> None:
         )
 
 
-def _days_of(batch: DataFrame, spec: BridgeSpec) -> list:
-    """Sorted days of a batch: one row per day reaches the driver. Null and absurdly many days are refused."""
+def _days_of(batch: DataFrame, spec: BridgeSpec) -> dict:
+    """Days of a batch in order, with their rows: one row per day reaches the driver. Null and absurdly many days are refused."""
     pcol = spec.partition_col
-    days = [r[0] for r in batch.select(F.col(_quote(pcol))).distinct().limit(MAX_DAYS + 1).collect()]
+    days = dict(batch.groupBy(F.col(_quote(pcol))).count().limit(MAX_DAYS + 1).collect())
     if None in days:
         raise ValueError(f"batch has rows with a null {pcol!r}")
     if len(days) > MAX_DAYS:
         raise ValueError(f"batch has more than {MAX_DAYS} distinct values of {pcol!r}")
-    return sorted(days)
+    return dict(sorted(days.items()))
 
 
 def load_day(
@@ -196,7 +196,8 @@ def _load(batch, table, spec, location, lookahead_days, output_partitions, merge
     exists = table_exists(spark, table)
     if exists:
         _check_table(table, batch, spec)
-    days = _days_of(batch, spec)
+    rows_of = _days_of(batch, spec)
+    days, rows = list(rows_of), sum(rows_of.values())
     if not days:
         return []
 
@@ -212,7 +213,10 @@ def _load(batch, table, spec, location, lookahead_days, output_partitions, merge
     for r, wanted in role.items():
         if wanted:
             stored = read_partitions(spark, table, pcol, wanted).select(*[F.col(_quote(c)) for c in batch.columns])
+            rows += stored.count() if spec.strategy == "auto" and rows <= spec.segment_rows else 0  # from file footers
             parts.append(stored.withColumn(_ROLE, F.lit(r)))
+    if spec.strategy == "auto" and rows <= spec.segment_rows:
+        spec = replace(spec, strategy="window")  # no key can have more rows: need not count them
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), parts)
 
     written = sorted(set(days) | set(role[0]))
@@ -266,7 +270,7 @@ def bulk_bridge(
     """
     spark = df.sparkSession
     pcol = spec.partition_col
-    days = sorted(present) if present is not None else _days_of(df, spec)
+    days = sorted(present) if present is not None else list(_days_of(df, spec))
     loads = sorted(load_days) if load_days is not None else days
     near = {d: [d + timedelta(days=k) for k in range(spec.lookback_days + 1)] for d in days}
     loaded, have = set(loads), set(days)
