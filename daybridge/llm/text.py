@@ -7,9 +7,9 @@ Spark decides what a batch is and moves the data between tasks.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -202,6 +202,7 @@ class PieceTable:
 
     def __init__(self, tok):
         self.tok = tok
+        self.fold = folding(tok)
         self.clear()
 
     def clear(self) -> None:
@@ -216,26 +217,57 @@ class PieceTable:
         row = self.row
         fresh = [p for p in pieces if p not in row]
         if fresh:
-            got = []
-            for a in range(0, len(fresh), 5_000):  # an Encoding takes far more memory than its ids
-                got += [e.ids for e in self.tok.encode_batch(fresh[a : a + 5_000], add_special_tokens=False)]
-            lens = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+            lens, ids = self._encoded(fresh)
             n, end = len(row), int(self.offsets[len(row)])
-            total = end + int(lens.sum())
-            if n + len(got) + 1 > len(self.offsets):
-                self.offsets = np.resize(self.offsets, 2 * (n + len(got) + 1))
+            total = end + len(ids)
+            if n + len(fresh) + 1 > len(self.offsets):
+                self.offsets = np.resize(self.offsets, 2 * (n + len(fresh) + 1))
             if total > len(self.ids):
                 self.ids = np.resize(self.ids, 2 * total)
-            self.offsets[n + 1 : n + 1 + len(got)] = end + np.cumsum(lens)
-            self.ids[end:total] = np.fromiter(chain.from_iterable(got), dtype=np.int32, count=total - end)
+            self.offsets[n + 1 : n + 1 + len(fresh)] = end + np.cumsum(lens)
+            self.ids[end:total] = ids
             row.update(zip(fresh, range(n, n + len(fresh)), strict=True))
         return np.fromiter(map(row.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
 
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each piece, and the ids. Pieces go to the library in lists, as words split already."""
+        lens, ids, step = [], [], 200
+        for a in range(0, len(pieces), 25 * step):  # an Encoding takes far more memory than its ids
+            part = pieces[a : a + 25 * step]
+            lists = [part[i : i + step] for i in range(0, len(part), step)]
+            for e, some in zip(
+                self.tok.encode_batch(lists, is_pretokenized=True, add_special_tokens=False), lists, strict=True
+            ):
+                ids.append(np.array(e.ids, dtype=np.int32))
+                lens.append(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(some)))
+        return np.concatenate(lens), np.concatenate(ids)
+
+
 _TABLES: dict[str, PieceTable] = {}
 
 
-def _pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def folding(tok) -> np.ndarray | None:
+    """Bytes that a tokenizer takes for one another, as a table; None if it keeps all apart.
+
+    One that lower-cases all letters and drops white space gives a word the same ids after a blank
+    or a line end, in either case: its pieces are then alike more often.
+    """
+    spec = json.loads(tok.to_str())
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    lower = any(s["type"] == "Lowercase" for s in steps)
+    blank = any(s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " " for s in steps)
+    splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    dropped = any(s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] for s in splits)
+    if not (lower and blank and dropped):
+        return None
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    table[10] = 32
+    return table
+
+
+def _pieces(texts: pa.Array, fold: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Cut positions over all texts, text offsets, and the pieces between the cuts."""
     plain = pa.concat_arrays([texts])  # a copy whose offsets start at 0
     n = len(plain)
@@ -244,6 +276,7 @@ def _pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     data = np.frombuffer(raw, dtype=np.uint8, count=int(offs[-1])) if raw is not None else np.zeros(0, np.uint8)
     cuts = safe_cuts(data, offs[:-1])
     bounds = np.r_[cuts, len(data)].astype(np.int32)
+    data = data if fold is None else fold[data]
     return cuts, offs, pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
 
@@ -254,11 +287,13 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     ``<|`` may hold a special string, whose neighbourhood splits differently: it is encoded whole.
     """
     tok = load_tokenizer(path)
-    table = _TABLES.setdefault(path, PieceTable(tok))
+    if path not in _TABLES:
+        _TABLES[path] = PieceTable(tok)
+    table = _TABLES[path]
     texts = pc.fill_null(texts, "")
     n = len(texts)
     whole = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False).astype(bool)
-    cuts, offs, pieces = _pieces(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts)
+    cuts, offs, pieces = _pieces(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, table.fold)
     encoded = pieces.dictionary_encode()
     rows = table.rows(encoded.dictionary.to_pylist())[encoded.indices.to_numpy(zero_copy_only=False)]
     at, ends = ragged(table.offsets, rows)
