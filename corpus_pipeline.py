@@ -37,7 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; n_chars follows the text."""
-    clean = redact_secrets(docs)
+    clean = redact_secrets(docs, parts=True)
     if "n_chars" not in docs.columns:
         return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -7,6 +7,11 @@ that the entropy follows from. The candidate's windows that reach the entropy of
 span, from the first to the last of them, unless the candidate matches the allow-list or overlaps
 a base span.
 
+That is the scan the SQL of op8 states. With ``parts`` (``find_secrets``, ``redact_secrets``) spans are
+added that it leaves out, none is taken away: lower-case path parts and runs of equal characters end
+a candidate, groups of windows are spans of their own and each is held against the allow-list by
+itself, and there are classes of lower-case alphanumerics, base32 and letters alone (``PART_CLASSES``).
+
 DataFrame functions alone, nothing is shuffled. Positions are in code points, ends exclusive.
 """
 
@@ -56,6 +61,18 @@ CLASSES = (
 )
 # Candidates that are known not to be secrets (samples, paths, repeated letters).
 ALLOW_LIST = (r"(?i)example|sample|placeholder|changeme", r"^/?(?:[a-z]+/)+", r"(.)\1{7,}")
+# Fixed values of the scan by parts: a lower-case path part up to its slash, all but the last seven of
+# eight or more equal characters, and what is no secret inside one span.
+PATH_PART = r"(?<![A-Za-z0-9+_-])([a-z]+)/"
+EQUAL = r"([A-Za-z0-9+/_-])(?=\1{7})"
+PART_ALLOW = (r"(?i)example|sample|placeholder|changeme",)
+#: Further classes. Instead of three kinds of characters they ask for entropies that words do not reach.
+PART_CLASSES = (
+    *CLASSES,
+    CharClass("lower_alnum", "a-z0-9", "abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.6, ("[0-9][a-z]+[0-9]|[a-z][0-9]+[a-z]",)),
+    CharClass("base32", "A-Z2-7", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 3.1, ("[2-7]",)),
+    CharClass("letters", "A-Za-z", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 24, 4.15),
+)
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 EMPTY = f"array<{SPAN}>"
 
@@ -145,6 +162,90 @@ def high_entropy(candidate: Column, c: CharClass) -> Column:
     return F.aggregate(indices(0, F.length(candidate) - 1), begin, step(candidate), done)
 
 
+def entropy_groups(candidate: Column, c: CharClass) -> Column:
+    """Array of struct(first, last): starts of the first and last of each group of overlapping windows of the class's entropy."""
+    limit = math.floor(c.window * (math.log2(c.window) - c.bits) * (1 << 20))
+    table = F.split(F.lit(",".join(str(_nlogn(n)) for n in range(c.window + 2))), ",").cast("array<bigint>")
+    groups = "array<struct<first:int,last:int>>"
+    begin = F.struct(
+        F.array_repeat(F.lit(0), len(c.members) + 1).alias("n"),
+        F.lit(0).cast("bigint").alias("sum"),
+        F.array().cast(groups).alias("out"),
+    )
+    code = lambda at: F.position(F.substring(candidate, at + 1, F.lit(1)), F.lit(c.members))
+
+    def moved(v: Column, at: Column, by: int) -> Column:
+        counted = F.struct(v["n"].alias("n"), v["sum"].alias("sum"), code(at).alias("c"))
+        return let(
+            counted,
+            lambda u: F.struct(
+                F.transform(u["n"], lambda x, k: F.when(k == u["c"], x + by).otherwise(x)).alias("n"),
+                (u["sum"] + F.get(table, F.get(u["n"], u["c"]) + by) - F.get(table, F.get(u["n"], u["c"]))).alias("sum"),
+            ),
+        )
+
+    def grown(out: Column, at: Column) -> Column:
+        one = lambda first: F.array(F.struct(first.alias("first"), at.alias("last"))).cast(groups)
+        joins = (F.size(out) > 0) & (at - F.get(out, F.size(out) - 1)["last"] < c.window)
+        longer = F.concat(F.slice(out, 1, F.size(out) - 1), one(F.get(out, F.size(out) - 1)["first"]))
+        return F.when(joins, longer).otherwise(F.concat(out, one(at)))
+
+    def step(a: Column, i: Column) -> Column:
+        at = i - (c.window - 1)
+        full = let(moved(a, i, 1), lambda v: F.when(i >= c.window, moved(v, i - c.window, -1)).otherwise(v))
+        return let(
+            full,
+            lambda v: F.struct(
+                v["n"].alias("n"),
+                v["sum"].alias("sum"),
+                F.when((at >= 0) & (v["sum"] <= limit), grown(a["out"], at)).otherwise(a["out"]).alias("out"),
+            ),
+        )
+
+    return F.aggregate(indices(0, F.length(candidate) - 1), begin, step, lambda a: a["out"])
+
+
+def _part_spans(text: Column, c: CharClass, rank: int) -> Column:
+    """Spans of the groups of windows of all candidates of a masked text, each held against the allow-list by itself."""
+    pattern = rf"(?<![{c.alphabet}])[{c.alphabet}]{{{c.window},}}"
+
+    def wanted(m: Column) -> Column:
+        ok = F.lit(True)
+        for need in c.needs:
+            ok = ok & m.rlike(need)
+        return ok
+
+    def of_run(x: Column) -> Column:
+        found = let(F.substring(text, x["start"] + 1, x["end"] - x["start"]), lambda m: entropy_groups(m, c))
+        return F.transform(
+            found,
+            lambda g: F.struct(
+                (x["start"] + g["first"]).alias("start"),
+                x["rank"].alias("rank"),
+                (x["start"] + g["last"] + c.window).alias("end"),
+                x["kind"].alias("kind"),
+            ),
+        ).cast(EMPTY)
+
+    def allowed(x: Column) -> Column:
+        m = F.substring(text, x["start"] + 1, x["end"] - x["start"])
+        ok = wanted(m)
+        for known in PART_ALLOW:
+            ok = ok & ~m.rlike(known)
+        return ok
+
+    runs = _spans(text, pattern, c.kind, rank, wanted)
+    return F.filter(let(runs, lambda found: F.flatten(F.transform(found, of_run))), allowed)
+
+
+def part_spans(text: Column) -> Column:
+    """Spans of the scan by parts. The mask puts a blank for a character, so that positions stay."""
+    masked = F.regexp_replace(F.regexp_replace(text, PATH_PART, "$1 "), EQUAL, " ")
+    return let(
+        masked, lambda m: F.sort_array(F.concat(*(_part_spans(m, c, 3 + i) for i, c in enumerate(PART_CLASSES))))
+    )
+
+
 def _entropy_spans(text: Column, c: CharClass, rank: int, allow: tuple[str, ...]) -> Column:
     pattern = rf"(?<![{c.alphabet}])[{c.alphabet}]{{{c.window},}}"
 
@@ -187,19 +288,29 @@ def secret_spans(text: Column, allow: tuple[str, ...] = ALLOW_LIST) -> tuple[Col
 
 
 def find_secrets(
-    docs: DataFrame, allow: tuple[str, ...] = ALLOW_LIST, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    allow: tuple[str, ...] = ALLOW_LIST,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    parts: bool = False,
 ) -> DataFrame:
     """doc_id, base and added: arrays of spans (start, rank, end, kind) in every row's whole text.
 
     A null or empty text has no spans. One row per input row, whether ids repeat or are null; other
     columns are ignored. An added span that overlaps a base span or an earlier added span is left out.
+    ``parts`` adds the spans of the scan by parts that overlap none of these.
     """
     texts = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
     base, added = secret_spans(F.col("text"), allow)
-    both = texts.select("doc_id", base.alias("base"), added.alias("found"))
-    return both.select("doc_id", "base", _apart(F.col("found"), F.col("base")).alias("added"))
+    more = part_spans(F.col("text")) if parts else F.array().cast(EMPTY)
+    both = texts.select("doc_id", base.alias("base"), added.alias("found"), more.alias("more"))
+    both = both.select("doc_id", "base", _apart(F.col("found"), F.col("base")).alias("added"), "more")
+    if not parts:
+        return both.drop("more")
+    fresh = _apart(F.col("more"), F.concat("base", "added"))
+    return both.select("doc_id", "base", F.sort_array(F.concat("added", fresh)).alias("added"))
 
 
 def _apart(found: Column, base: Column) -> Column:
@@ -219,14 +330,22 @@ def span_text(spans: Column) -> Column:
 
 
 def redact_secrets(
-    docs: DataFrame, mark: str = "[SECRET]", allow: tuple[str, ...] = ALLOW_LIST, text_col: str = "text"
+    docs: DataFrame,
+    mark: str = "[SECRET]",
+    allow: tuple[str, ...] = ALLOW_LIST,
+    text_col: str = "text",
+    parts: bool = False,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, with every span (overlapping ones merged) replaced by ``mark``."""
+    """The rows of ``docs``, all columns, with every span (overlapping ones merged) replaced by ``mark``.
+
+    ``parts`` replaces the spans of the scan by parts too.
+    """
     text = F.col(text_col)
 
     def replaced(t: Column) -> Column:
         base, added = secret_spans(t, allow)
-        spans = F.sort_array(F.concat(base, added))
+        more = [part_spans(t)] if parts else []
+        spans = F.sort_array(F.concat(base, added, *more))
         start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
         def step(a: Column, s: Column) -> Column:

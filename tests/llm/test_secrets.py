@@ -111,3 +111,64 @@ def test_allow_list_and_empty_table(spark):
 def test_no_python_on_the_executors(spark):
     plan = redact_secrets(frame(spark, edge_rows()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def hidden():
+    """Secrets inside runs that match the allow-list, and without three kinds of characters."""
+    key = "Zx81Kq0Lm27Bv93Tn54R"
+    return [
+        ("com/services/T01ABCDEF/B02GHIJKL/" + key, key),
+        ("keys/" + key, key),
+        ("/opt/keys/" + key, key),
+        ("abc/Zx81Kq0Lm27Bv/93Tn54RQw7y", "Zx81Kq0Lm27Bv/93Tn54RQw7y"),
+        ("--------" + key, key),
+        (key + "=" * 9 + "aaaaaaaaaaaaaaaa" + key, key),
+        (key + "_" * 30 + "AnExample4You", key),
+        ("k3j9x0q2mf7w1zt8b5vh", "k3j9x0q2mf7w1zt8b5vh"),
+        ("JBSWY3DPEHPK3PXP", "JBSWY3DPEHPK3PXP"),
+        ("qZtRwYkLmNbVcXsDfGhJpKoU", "qZtRwYkLmNbVcXsDfGhJpKoU"),
+    ]
+
+
+def test_parts_of_allowed_runs_and_further_classes(spark):
+    cases = hidden()
+    plain = [
+        "/usr/local/lib/python/site/packages/numpy/core",
+        "internationalization and counterrevolutionaries",
+        "example/of/a/long/path/to/nowhere",
+        "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY",
+        "= " * 30 + "-" * 80 + "x" * 70 + "_" * 40,
+        "THEQUICKBROWNFOX getElementsByClassName",
+    ]
+    docs = frame(spark, [(i, f"a {t} z") for i, t in enumerate([t for t, _ in cases] + plain)])
+    got = {r.doc_id: r.text for r in redact_secrets(docs, parts=True).collect()}
+    before = {r.doc_id: r.text for r in redact_secrets(docs).collect()}
+    for i, (text, secret) in enumerate(cases):
+        assert secret not in got[i] and "[SECRET]" in got[i], (text, got[i])
+        assert secret in before[i], text
+    for i, text in enumerate(plain, len(cases)):
+        assert got[i] == f"a {text} z"
+
+
+def test_parts_only_add_spans(spark):
+    data = [(i, t) for i, t in rows() if i is not None]
+    less = {(r.doc_id, s) for r in find_secrets(frame(spark, data)).collect() for s in (*r.base, *r.added)}
+    found = find_secrets(frame(spark, data), parts=True).collect()
+    assert less < {(r.doc_id, s) for r in found for s in (*r.base, *r.added)}
+
+
+def test_random_strings_are_found_by_parts(spark):
+    rng = random.Random(4)
+    for letters, n in (("abcdefghijklmnopqrstuvwxyz0123456789", 32), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32)):
+        data = [(i, "x " + "".join(rng.choice(letters) for _ in range(n)) + " y") for i in range(300)]
+        found = find_secrets(frame(spark, data), parts=True).where("size(added) + size(base) > 0").count()
+        assert found >= 297, (letters, found)
+
+
+def test_pipeline_stage_redacts_parts(spark):
+    import corpus_pipeline
+
+    docs = frame(spark, [(i, f"a {t} z") for i, (t, _) in enumerate(hidden())])
+    stage = dict(corpus_pipeline.STAGES)["secret_scan"]
+    got = {r.doc_id: r.text for r in stage(spark, docs, "").collect()}
+    assert all(secret not in got[i] for i, (_, secret) in enumerate(hidden()))
