@@ -23,8 +23,8 @@ from daybridge.llm.text import column, runs
 CHUNK, STEP = 512, 448  # bytes of a chunk, and from one chunk to the next
 WIDTH, STRIDE, VECTOR, FILTERS = 8, 2, 8, 24
 PAD = 256
-#: Bounds of the training sample: documents, and chunks of a document.
-TRAIN_DOCS, TRAIN_CHUNKS = 2_000, 6
+#: Bounds of the training sample: documents, and bytes of text after which no further document is taken.
+TRAIN_DOCS, TRAIN_BYTES = 2_000, 64 << 20
 EPOCHS, BATCH_DOCS, RATE = 10, 32, 0.01
 _BLOCK = 128  # chunks convolved at once
 
@@ -121,18 +121,20 @@ def cut_chunks(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return np.where(inside, data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(PAD))
 
 
+def text_chunks(text: bytes) -> np.ndarray:
+    """All chunks of a text, as it is scored."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    begin = chunk_starts(len(data))
+    return cut_chunks(data, begin, np.full(len(begin), len(data)))
+
+
 def train(samples: list[tuple[bytes, int]]) -> ByteCnn:
-    """Fit on (chunks of ``CHUNK`` bytes joined, label) by Adam on the cross entropy; the same input gives the same weights."""
+    """Fit on (text in bytes, label) by Adam on the cross entropy, over the chunks that scoring cuts; the same input gives the same weights."""
     labels = np.array([y for _, y in samples], dtype=np.float64)
     model = ByteCnn.fresh()
     if not len(samples) or labels.min() == labels.max():
         model.constant = float((labels.sum() + 1) / (len(labels) + 2))
         return model
-    chunks = []
-    for blob, _ in samples:
-        data = np.frombuffer(blob, dtype=np.uint8)
-        begin = np.arange(0, max(1, len(data)), CHUNK)
-        chunks.append(cut_chunks(data, begin, np.full(len(begin), len(data))))
     share = labels.mean()
     model.head_bias[0] = np.log(share / (1 - share))
     weights = [model.embed, model.filters, model.bias, model.head, model.head_bias]
@@ -143,7 +145,8 @@ def train(samples: list[tuple[bytes, int]]) -> ByteCnn:
         rows = order.permutation(len(samples))
         for a in range(0, len(rows), BATCH_DOCS):
             step += 1
-            grads = _gradients(model, [chunks[i] for i in rows[a : a + BATCH_DOCS]], labels[rows[a : a + BATCH_DOCS]])
+            batch = rows[a : a + BATCH_DOCS]
+            grads = _gradients(model, [text_chunks(samples[i][0]) for i in batch], labels[batch])
             for w, g, u, v in zip(weights, grads, m1, m2, strict=True):
                 u += 0.1 * (g - u)
                 v += 0.001 * (g * g - v)
@@ -156,11 +159,14 @@ def _gradients(model: ByteCnn, chunks: list[np.ndarray], labels: np.ndarray) ->
     counts = np.array([len(c) for c in chunks])
     starts = np.cumsum(counts) - counts
     x = np.concatenate(chunks)
-    cols = model.columns(x)
-    y = np.ascontiguousarray(cols).reshape(-1, WIDTH * VECTOR) @ model.filters
-    y = y.reshape(cols.shape[0], cols.shape[1], FILTERS)
-    where = y.argmax(axis=1)  # the position each filter keeps
-    raw = np.take_along_axis(y, where[:, None, :], axis=1)[:, 0] + model.bias
+    where, raw = np.empty((len(x), FILTERS), np.int64), np.empty((len(x), FILTERS), model.filters.dtype)
+    for a in range(0, len(x), _BLOCK):
+        cols = model.columns(x[a : a + _BLOCK])
+        y = np.ascontiguousarray(cols).reshape(-1, WIDTH * VECTOR) @ model.filters
+        y = y.reshape(cols.shape[0], cols.shape[1], FILTERS)
+        at = y.argmax(axis=1)  # the position each filter keeps
+        where[a : a + _BLOCK] = at
+        raw[a : a + _BLOCK] = np.take_along_axis(y, at[:, None, :], axis=1)[:, 0] + model.bias
     pooled = np.maximum(raw, 0)
     features = model.features(pooled, starts).astype(np.float32)
     delta = ((model.probability(features) - labels) / len(labels)).astype(np.float32)
@@ -173,40 +179,46 @@ def _gradients(model: ByteCnn, chunks: list[np.ndarray], labels: np.ndarray) ->
         d_pooled = d_pooled + tied * part[doc] / np.add.reduceat(tied, starts, dtype=np.float32)[doc]
     d_raw = d_pooled * (raw > 0)
     # Only the kept positions of each chunk and filter pass a gradient on.
-    kept = cols[np.arange(len(x))[:, None], where]
-    d_filters = np.einsum("nf,nfk->kf", d_raw, kept, optimize=True)
-    d_kept = d_raw[:, :, None] * model.filters.T
-    d_embed = np.zeros_like(model.embed)
-    at = where[:, :, None] * STRIDE + np.arange(WIDTH)
-    byte = x[np.arange(len(x))[:, None, None], at]
-    np.add.at(d_embed, byte.reshape(-1), d_kept.reshape(-1, VECTOR))
+    d_filters, d_embed = np.zeros_like(model.filters), np.zeros_like(model.embed)
+    for a in range(0, len(x), _BLOCK):
+        part, d = x[a : a + _BLOCK], d_raw[a : a + _BLOCK]
+        at = where[a : a + _BLOCK, :, None] * STRIDE + np.arange(WIDTH)
+        byte = part[np.arange(len(part))[:, None, None], at]
+        kept = model.embed[byte].reshape(len(part), FILTERS, WIDTH * VECTOR)
+        d_filters += np.einsum("nf,nfk->kf", d, kept, optimize=True)
+        np.add.at(d_embed, byte.reshape(-1), (d[:, :, None] * model.filters.T).reshape(-1, VECTOR))
     return [d_embed, d_filters, d_raw.sum(axis=0), delta @ features + 1e-4 * model.head, delta.sum(keepdims=True)]
 
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_docs: int = TRAIN_DOCS
 ) -> list[tuple[bytes, int]]:
-    """Chunks spread evenly over each of the ``max_docs`` labelled documents that come first by the hash of their id."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = []
-            for text in column(batch, "text").to_pylist():
-                data = (text or "").encode()
-                starts = chunk_starts(len(data))
-                pick = np.unique(np.linspace(0, len(starts) - 1, TRAIN_CHUNKS).round().astype(int))
-                blobs.append(b"".join(data[s : s + CHUNK] for s in starts[pick]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(blobs, pa.binary())], names=["doc_id", "y", "chunks"]
-            )
+    """Whole texts of the labelled documents that come first by the hash of their id.
 
+    At most ``max_docs`` labels, and no further document once ``TRAIN_BYTES`` are reached. Of rows that
+    share an id one is taken, the same one in every run.
+    """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    known = known.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-    chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_docs))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(chosen, "doc_id").select("doc_id", "y", "text").mapInArrow(work, "doc_id long, y int, chunks binary")
-    found = sorted((r[0], r[1], bytes(r[2])) for r in rows.limit(2 * max_docs).collect())
-    return [(blob, y) for _, y, blob in found]
+    known = known.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).distinct()
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_docs).collect()
+    ids = list(dict.fromkeys(r.doc_id for r in chosen))
+    spark = docs.sparkSession
+    wanted = F.broadcast(spark.createDataFrame([(i,) for i in ids], "doc_id long"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    )
+    found = texts.join(wanted, "doc_id").select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("hash"))
+    rows = {r.doc_id: r for r in found.groupBy("doc_id").agg(F.min(F.struct("hash", "size")).alias("row")).collect()}
+    taken, size = [], 0
+    for i in ids:
+        if i in rows and size < TRAIN_BYTES:
+            taken.append((i, rows[i].row["hash"]))
+            size += rows[i].row["size"]
+    wanted = F.broadcast(spark.createDataFrame(taken, "doc_id long, hash long"))
+    one = texts.join(wanted, "doc_id").where(F.xxhash64("text") == F.col("hash")).dropDuplicates(["doc_id"])
+    text_of = {r.doc_id: r.text.encode() for r in one.select("doc_id", "text").toLocalIterator()}
+    pairs = sorted((r.doc_id, r.y) for r in chosen if r.doc_id in text_of)
+    return [(text_of[i], y) for i, y in pairs]
 
 
 def fit_quality(
@@ -217,7 +229,7 @@ def fit_quality(
     label_col: str = "quality",
     max_docs: int = TRAIN_DOCS,
 ) -> ByteCnn:
-    """Train on at most ``max_docs`` labels (rows without id or label are left out).
+    """Train on the whole texts of at most ``max_docs`` labels (rows without id or label are left out).
 
     Labels of one class, or none, give a model of constant score: the share of label 1, smoothed.
     """

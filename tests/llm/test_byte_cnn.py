@@ -80,3 +80,16 @@ def test_training_is_deterministic_and_long_texts_score_whole():
     clean, junk = "good text here " * 400, "&&& ### $$$ " * 500
     s = a.scores(pa.array([clean, junk, clean + junk]))
     assert s[0] > 0.9 and s[1] < 0.1 and s[2] != s[0]
+
+
+def test_training_takes_whole_texts_and_one_row_of_an_id(spark, monkeypatch):
+    long = "".join(f"w{i} " for i in range(20_000))
+    docs = frame(spark, [(1, long), (2, "other"), (2, "second"), (2, "second"), (3, None), (4, "not labelled")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 0), (99, 1)], "doc_id long, quality int")
+    found = C.training_sample(docs, labels, "doc_id", "text", "quality")
+    assert [y for _, y in found] == [1, 0, 0] and found[0][0] == long.encode() and found[2][0] == b""
+    assert found[1][0] in (b"other", b"second")
+    again = C.training_sample(docs.repartition(5), labels, "doc_id", "text", "quality")
+    assert again == found
+    monkeypatch.setattr(C, "TRAIN_BYTES", 1)  # whole documents until the bound, not parts of them
+    assert len({b for b, _ in C.training_sample(docs, labels, "doc_id", "text", "quality") if b}) == 1
