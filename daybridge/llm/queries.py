@@ -18,9 +18,12 @@ from daybridge.llm.pitman_yor import score_texts
 from daybridge.llm.quality_rules import fit_weights, quality_rules
 from daybridge.llm.secrets import find_secrets, span_text
 from daybridge.llm.shipping import shipped
+from daybridge.llm.substring_dedup import WINDOW, dedup_substrings
 from daybridge.llm.text import doc_bucket
 from daybridge.llm.token_counts import count_tokens
 from daybridge.llm.token_files import read_tokens, token_digests, write_tokens
+from daybridge.llm.turn_repair import DAMAGE_OF, damaged, repair_turns
+from daybridge.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, code_text, encode_vectors, with_group_sum
 from daybridge.sources.scratch import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -111,6 +114,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(placed).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_vectors(table(spark, sf_dir, "embeddings"), keep=("label",))
+    rows = with_group_sum(coded.rows, "label", "error", "label_error")
+    digest = F.lit(coded.books_sha256()).alias("codebooks_sha256")
+    return rows.select("vec_id", code_text(F.col("code")).alias("code"), "error", "label_error", digest)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_turns(damaged(table(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
 OPERATORS = (
     op1_lm_scores,
     op2_benchmark_decontamination,
@@ -122,6 +141,9 @@ OPERATORS = (
     op8_secret_scan,
     op9_chat_format,
     op10_best_fit_packing,
+    op11_vector_codes,
+    op12_substring_dedup,
+    op13_turn_repair,
 )
 
 
@@ -247,5 +269,141 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM (
 """
 
 
+def _codes_sql() -> str:
+    xs = [f"x{i}" for i in range(64 // PARTS)]
+    part = ", ".join(f"v[(p * {len(xs)}) + {i + 1}] AS {x}" for i, x in enumerate(xs))
+    gap = " + ".join(f"(d.{x} - b.{x}) * (d.{x} - b.{x})" for x in xs)
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {SCALE}) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+d AS MATERIALIZED (SELECT vec_id, label, p, {part} FROM kept, (SELECT unnest(range(0, {PARTS})) AS p)),
+b0 AS MATERIALIZED (
+  SELECT p, e, {", ".join(xs)}
+  FROM d JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {ENTRIES}) USING (vec_id))"""
+    ]
+    near = (
+        "SELECT vec_id, p, any_value(label) AS label, min_by(e, g * 100 + e) AS e, min(g) AS g FROM ("
+        f"SELECT d.vec_id, d.label, d.p, b.e, {gap} AS g FROM d JOIN b{{k}} AS b USING (p)) GROUP BY vec_id, p"
+    )
+    for k in range(ROUNDS):
+        mean = ", ".join(
+            f"CASE WHEN n IS NULL THEN b.{x} ELSE CAST((s_{x} - ((s_{x} % n) + n) % n) // n AS BIGINT) END AS {x}" for x in xs
+        )
+        sums = ", ".join(f"CAST(sum({x}) AS BIGINT) AS s_{x}" for x in xs)
+        steps.append(f"a{k} AS MATERIALIZED ({near.format(k=k)})")
+        steps.append(
+            f"b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, {mean} FROM b{k} AS b LEFT JOIN ("
+            f"SELECT p, e, CAST(count(*) AS BIGINT) AS n, {sums} FROM a{k} JOIN d USING (vec_id, p) GROUP BY p, e) "
+            "AS s ON s.p = b.p AND s.e = b.e)"
+        )
+    steps.append(f"last AS MATERIALIZED ({near.format(k=ROUNDS)})")
+    comma = " || ',' || ".join(xs)
+    return f"""
+WITH {", ".join(steps)},
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(g) AS BIGINT) AS error
+  FROM last GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg({comma}, ',' ORDER BY p, e)) FROM b{ROUNDS}) AS codebooks_sha256
+FROM coded
+"""
+
+
+_REPEATS_SQL = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w)),
+r AS (SELECT doc_id, i FROM g WHERE h IN (SELECT h FROM g GROUP BY h HAVING count(*) > 1)),
+c AS (
+  SELECT doc_id, i, x, max(r.i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w) AS p LEFT JOIN r USING (doc_id, i))
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM w LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(x, ' ' ORDER BY i) FILTER (NOT gone) AS k FROM c GROUP BY doc_id
+) USING (doc_id)
+"""
+
+
+def _repair_sql() -> str:
+    # crc32, a bit at a time; its polynomial is the fixed value 0xEDB88320.
+    bits = "list_reduce(list_concat([{0}], range(0, 8)), lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    byte = "(xor(c, CAST(b AS BIGINT)) % 256)"
+    crc = (
+        "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+        f"lambda c, b: xor(c // 256, {bits.format(byte)})), 4294967295)"
+    )
+    # A finish is a text: its cost in ten digits, the edits, a separator that sorts before any letter, and the repaired lines.
+    more = lambda v, cost, edit, line: (
+        f"lpad(CAST(CAST(substr({v}, 1, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || '{edit}' "
+        f"|| replace(substr({v}, 11), chr(1), chr(1) || {line})"
+    )
+    line = lambda role, text: f"{role} || ':' || {text} || chr(10)"
+    due = {0: (2, "'user'"), 1: (2, "'user'"), 2: (3, "'assistant'"), 3: (2, "'user'")}
+    may = {0: "role LIKE 's%' OR role LIKE 'u%'", 1: "role LIKE 'u%'", 2: "role LIKE 'a%'", 3: "role LIKE 'u%'"}
+    goes = {0: "CASE WHEN role LIKE 's%' THEN v1 ELSE v2 END", 1: "v2", 2: "v3", 3: "v2"}
+    cut = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+    row = []
+    for s in range(4):
+        must = "fault IN ('blank', 'duplicate')"
+        given = more(f"v{due[s][0]}", f"1 + {cut}", "R", line(due[s][1], "text"))
+        keep = more(f"({goes[s]})", cut, "K", line("role", "text"))
+        drop = f"lpad(CAST(CAST(substr(v{s}, 1, 10) AS BIGINT) + 2 AS VARCHAR), 10, '0') || 'D' || substr(v{s}, 11)"
+        row.append(f"least({drop}, CASE WHEN {must} THEN '~' ELSE {given} END, CASE WHEN {must} OR NOT ({may[s]}) THEN '~' ELSE {keep} END) AS w{s}")
+    ins = lambda v, role: more(v, 5, "I", line(role, "''"))
+    end = {2: "0000000005I' || chr(1) || 'assistant:' || chr(10)", 1: "0000000010II' || chr(1) || 'user:' || chr(10) || 'assistant:' || chr(10)"}
+    return f"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+dealt AS (SELECT * EXCLUDE (name), {crc} % {DAMAGE_OF} AS action FROM named),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN action = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN action = 1 THEN '' WHEN action = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM dealt, (SELECT unnest([0, 1]) AS copy) WHERE action <> 0 AND (copy = 0 OR action = 3)),
+placed AS (
+  SELECT *, row_number() OVER w AS i, lag(role) OVER w AS role_before FROM rows_
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+faulty AS MATERIALIZED (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (role_before IS NOT NULL AND left(role_before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal,
+         max(i) AS n
+  FROM faulty GROUP BY conv_id),
+dp(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n, '0000000000' || chr(1), '{end[1]}, '{end[2]}, '0000000000' || chr(1) FROM figures
+  UNION ALL
+  SELECT conv_id, i, least(w0, {ins("u2", "'user'")}), least(w1, {ins("u2", "'user'")}), u2, u3
+  FROM (
+    SELECT *, least(w2, {ins("w3", "'assistant'")}) AS u2, least(w3, {ins("w2", "'user'")}) AS u3 FROM (
+      SELECT dp.conv_id, dp.i - 1 AS i, {", ".join(row)}
+      FROM dp JOIN faulty AS f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i))),
+best AS (SELECT conv_id, v0, strpos(v0, chr(1)) AS p FROM dp WHERE i = 0)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(CAST(substr(v0, 1, 10) AS BIGINT), 0) AS cost, coalesce(substr(v0, 11, p - 11), '') AS audit,
+       sha256(coalesce(substr(v0, p + 1, greatest(length(v0) - p - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN figures AS f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best AS b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_duplicates": _NEAR_SQL, "op8_secret_scan": _secret_sql(), "op9_chat_format": _chat_sql()}
+    return {
+        "op6_near_duplicates": _NEAR_SQL,
+        "op8_secret_scan": _secret_sql(),
+        "op9_chat_format": _chat_sql(),
+        "op11_vector_codes": _codes_sql(),
+        "op12_substring_dedup": _REPEATS_SQL,
+        "op13_turn_repair": _repair_sql(),
+    }

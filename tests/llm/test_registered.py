@@ -8,10 +8,10 @@ from daybridge.llm import queries as Q
 from tests.llm.helpers import SF
 
 
-def test_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
