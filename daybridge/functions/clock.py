@@ -80,3 +80,17 @@ def seconds_between(later: Column, earlier: Column, data_type: T.DataType) -> Co
     if isinstance(data_type, T.DateType):
         return F.datediff(later, earlier).cast("long") * F.lit(86400)
     return (later - earlier).cast("long")
+
+
+def ticks(time: Column, data_type: T.DataType) -> Column | None:
+    """The time as a whole number in the same order, whatever the session zone; None for types without one."""
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(time)
+    if isinstance(data_type, T.TimestampNTZType):
+        seconds = F.unix_date(F.to_date(time)).cast("long") * 86400 + F.hour(time) * 3600 + F.minute(time) * 60
+        return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("long")
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(time).cast("long")
+    if isinstance(data_type, T.IntegralType):
+        return time.cast("long")
+    return None

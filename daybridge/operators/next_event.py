@@ -105,11 +105,7 @@ def add_next_event(
         raise ValueError(f"output columns already exist: {clash}")
 
     time_type = df.schema[time_col].dataType
-    pair = F.struct(
-        _col(time_col).alias(_TIME),
-        *[_col(src).alias(f"c{i}") for i, src in enumerate(carry.values())],
-    )
-    base = df.withColumn(_ROW, _row_hash(df)).withColumn(_PAIR, pair)
+    base = df.withColumn(_ROW, _row_hash(df)).withColumn(_PAIR, event_pair(time_col, carry))
     order = [_col(time_col).asc_nulls_last(), *[_col(c).asc() for c in tie_breakers], F.col(_ROW).asc()]
 
     hot = None
@@ -149,6 +145,26 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
 
 
+def event_pair(time_col: str, carry: Mapping[str, str]) -> Column:
+    """What a row hands to its predecessor: its time and the carried columns, in ``carry`` order."""
+    return F.struct(_col(time_col).alias(_TIME), *[_col(src).alias(f"c{i}") for i, src in enumerate(carry.values())])
+
+
+def event_rank(time_col: str, tie_breakers: Sequence[str], row: Column) -> Column:
+    """A struct that orders like the chain: a null time after any time, then the tie-breakers, then the row hash."""
+    return F.struct(
+        _col(time_col).isNull().alias("n"),
+        _col(time_col).alias("t"),
+        *[_col(c).alias(f"b{i}") for i, c in enumerate(tie_breakers)],
+        row.alias("r"),
+    )
+
+
+def row_hash(df: DataFrame) -> Column:
+    """The last resort of the chain's order: a hash over all columns of ``df``."""
+    return _row_hash(df)
+
+
 def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right, strict=True)])
 
@@ -181,14 +197,8 @@ def _split_lead(base, hot, hot_count, segments, keys, time_col, tie_breakers, or
 
     seg = _ranges(base.join(hot_keys, is_hot, "left_semi"), segments, keys, time_col, tie_breakers)
     in_segment = seg.withColumn(_NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*kcols, F.col(_SEG)).orderBy(*order)))
-    # First row of every range of a key. The struct orders like the window: a
-    # null time sorts after any time, then the tie-breakers, then the row hash.
-    rank = F.struct(
-        _col(time_col).isNull().alias("n"),
-        _col(time_col).alias("t"),
-        *[_col(c).alias(f"b{i}") for i, c in enumerate(tie_breakers)],
-        F.col(_ROW).alias("r"),
-    )
+    # First row of every range of a key, in the order of the window.
+    rank = event_rank(time_col, tie_breakers, F.col(_ROW))
     named = [_col(k).alias(f"_db_h{i}") for i, k in enumerate(keys)]
     heads = seg.groupBy(*named, F.col(_SEG).alias("_db_hseg")).agg(F.min_by(F.col(_PAIR), rank).alias("_head"))
     hcols = [F.col(f"_db_h{i}") for i in range(len(keys))]

@@ -11,18 +11,21 @@ ascending order gives. Both chain rows in the same total order (see
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import timedelta
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybridge.operators.next_event import DEFAULT_SEGMENT_ROWS, add_next_event
+from daybridge.plans.heads import bridge_by_heads, find_ends, heads_apply, plain_session
+from daybridge.sources.scratch import free, scratch_path
 from daybridge.sources.tables import (
+    FileLayout,
+    by_files,
     create_partitioned_table,
     overwrite_partitions,
     partition_columns,
@@ -132,10 +135,7 @@ def _check_table(table: str, batch: DataFrame, spec: BridgeSpec) -> None:
         )
 
 
-def _days_of(batch: DataFrame, spec: BridgeSpec) -> dict:
-    """Days of a batch in order, with their rows: one row per day reaches the driver. Null and absurdly many days are refused."""
-    pcol = spec.partition_col
-    days = dict(batch.groupBy(F.col(_quote(pcol))).count().limit(MAX_DAYS + 1).collect())
+def _checked_days(days: dict, pcol: str) -> dict:
     if None in days:
         raise ValueError(f"batch has rows with a null {pcol!r}")
     if len(days) > MAX_DAYS:
@@ -143,6 +143,43 @@ def _days_of(batch: DataFrame, spec: BridgeSpec) -> dict:
     return dict(sorted(days.items()))
 
 
+def _days_of(batch: DataFrame, spec: BridgeSpec) -> dict:
+    """Days of a batch in order, with their rows: one row per day reaches the driver. Null and absurdly many days are refused."""
+    pcol = spec.partition_col
+    return _checked_days(dict(batch.groupBy(F.col(_quote(pcol))).count().limit(MAX_DAYS + 1).collect()), pcol)
+
+
+@dataclass
+class Staged:
+    """A batch written below the checkpoint folder, with what the writing tasks saw of it."""
+
+    rows: DataFrame
+    path: str
+    days: list
+    count: int
+
+
+def stage(batch: DataFrame, spec: BridgeSpec) -> Staged:
+    """Write a batch once, as Parquet in the shared scratch folder, and note its days and rows on the way: one job.
+
+    Whatever reads the batch later reads these files, also after lost executors, so that its source is parsed once.
+    """
+    spark, pcol = batch.sparkSession, F.col(_quote(spec.partition_col))
+    seen, path = Observation("batch"), scratch_path(spark, "batch")
+    counted = batch.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(pcol.isNull()).alias("undated"), F.collect_set(pcol).alias("days")
+    )
+    counted.write.parquet(path)
+    got = seen.get
+    days = dict.fromkeys(got["days"], 0) | ({None: 0} if got["undated"] else {})
+    try:
+        days = _checked_days(days, spec.partition_col)
+    except ValueError:
+        free(spark, path)
+        raise
+    return Staged(spark.read.schema(batch.schema).parquet(path), path, list(days), got["rows"])
+
+
 def load_day(
     batch: DataFrame,
     table: str,
@@ -151,12 +188,17 @@ def load_day(
     location: str | None = None,
     lookahead_days: int = 0,
     output_partitions: int | None = None,
+    files: FileLayout | None = None,
     merge: bool = False,
+    before_commit: Callable[[], None] | None = None,
 ) -> list:
     """Load a batch (one day or several) into ``table`` and repair the day boundary.
 
-    * Days are taken from the batch (one small aggregate); an empty batch is a
-      no-op and a null partition date is refused.
+    * The batch is written to the scratch folder once and read from there (its
+      days are noted on the way); the files go after the commit. An empty batch
+      is a no-op and a null partition date is refused.
+    * A batch of one day meets the day before by its first row per key
+      (see ``plans/heads.py``): D-1 is not sorted again. Five jobs run.
     * A batch holds its days whole: rows of these days that the table has are
       replaced. With ``merge`` they are kept and the batch is added to them (a
       batch that is merged twice is in the table twice).
@@ -174,32 +216,61 @@ def load_day(
     * ``output_partitions`` adds a rebalance step into that many partitions
       by day. Batches of more than ``REGROUP_ABOVE_DAYS`` days are regrouped
       by day anyway; a daily batch is written straight from the window stage.
+    * ``files`` sets the number of files of every day written instead, by bytes
+      or rows (see ``FileLayout``).
+    * ``before_commit`` runs when the batch has been read whole and nothing is
+      written yet; what it raises ends the load.
 
     One writer per table at a time. Returns the sorted batch days plus the
     previous days that were read back (a day read back without rows stays absent).
     """
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    _check_batch(batch, table, spec)
+    staged = stage(batch, spec)
     try:
-        return _load(batch, table, spec, location, lookahead_days, output_partitions, merge)
+        if before_commit:
+            before_commit()
+        return _load(staged, table, spec, location, lookahead_days, output_partitions, files, merge)
     finally:
-        batch.unpersist()
+        free(batch.sparkSession, staged.path)
 
 
-def _load(batch, table, spec, location, lookahead_days, output_partitions, merge) -> list:
-    spark = batch.sparkSession
+def _check_batch(batch: DataFrame, table: str, spec: BridgeSpec) -> None:
     pcol = spec.partition_col
     if not isinstance(batch.schema[pcol].dataType, T.DateType):
         raise TypeError(f"partition column {pcol!r} must be a date")
     for c in spec.added_columns:
         if c in batch.columns:
             raise ValueError(f"batch already has output column {c!r}")
-    exists = table_exists(spark, table)
-    if exists:
+    if table_exists(batch.sparkSession, table):
         _check_table(table, batch, spec)
-    rows_of = _days_of(batch, spec)
-    days, rows = list(rows_of), sum(rows_of.values())
+
+
+def _load_by_heads(staged: Staged, table: str, spec: BridgeSpec) -> tuple[DataFrame, str]:
+    """One day and the day before, chained by the first rows of the day; and the scratch folder that this reads."""
+    batch, spark, pcol = staged.rows, staged.rows.sparkSession, spec.partition_col
+    day = staged.days[0]
+    quiet = plain_session(spark)
+    read = lambda s, back: read_partitions(s, table, pcol, [day - timedelta(days=back)])
+    ends = find_ends(quiet.read.schema(batch.schema).parquet(staged.path), read(quiet, 1), read(quiet, 2), spec)
+    fits = spec.strategy == "auto" and staged.count + ends.broken_rows <= spec.segment_rows
+    return bridge_by_heads(batch, read(spark, 1), ends, spec, "window" if fits else spec.strategy), ends.path
+
+
+def _load(staged: Staged, table, spec, location, lookahead_days, output_partitions, files, merge) -> list:
+    batch, days, rows = staged.rows, staged.days, staged.count
+    spark, pcol = batch.sparkSession, spec.partition_col
+    exists = table_exists(spark, table)
     if not days:
         return []
+    alone = exists and len(days) == 1 and spec.lookback_days == 1 and not lookahead_days and not merge
+    if alone and heads_apply(batch, spec):
+        out, path = _load_by_heads(staged, table, spec)
+        before = days[0] - timedelta(days=1)
+        try:
+            _write(out, staged, table, spec, [before, *days], True, location, output_partitions, files)
+        finally:
+            free(spark, path)
+        return [before, *days]
 
     role = {0: [], 1: []}  # days read from the table: written back, or successor candidates only
     loads = set(days)
@@ -227,13 +298,21 @@ def _load(batch, table, spec, location, lookahead_days, output_partitions, merge
     else:
         linked = bulk_bridge(union, spec, load_days=sorted(loads), present=sorted(span))
     out = linked.where(F.col(_ROLE) == 0).drop(_ROLE)
-    many = len(written) > REGROUP_ABOVE_DAYS
-    out = _file_layout(out, pcol, output_partitions, many)
+    _write(out, staged, table, spec, written, exists, location, output_partitions, files)
+    return written
+
+
+def _write(out, staged, table, spec, written, exists, location, output_partitions, files) -> None:
+    pcol = spec.partition_col
+    if files:
+        ordered = out.select(*[F.col(_quote(c)) for c in out.columns if c != pcol], F.col(_quote(pcol)))
+        out = by_files(ordered, pcol, files, staged.path, staged.count)
+    else:
+        out = _file_layout(out, pcol, output_partitions, len(written) > REGROUP_ABOVE_DAYS)
     if exists:
         overwrite_partitions(out, table)
     else:
         create_partitioned_table(out, table, pcol, location=location, regroup=False)
-    return written
 
 
 def _advances(df: DataFrame, spec: BridgeSpec) -> bool:
@@ -304,6 +383,7 @@ def bulk_load(
     *,
     location: str | None = None,
     output_partitions: int | None = None,
+    files: FileLayout | None = None,
 ) -> list:
     """Load a whole history into ``table`` in one job; its days replace existing partitions.
 
@@ -312,4 +392,7 @@ def bulk_load(
     table joins on both sides. ``df`` is read several times (days, time check, key counts, main
     pass): hand over stored data, not an expensive plan. Returns the days written.
     """
-    return _load(df, table, spec, location, spec.lookback_days, output_partitions, False)
+    _check_batch(df, table, spec)
+    rows_of = _days_of(df, spec)
+    given = Staged(df, "", list(rows_of), sum(rows_of.values()))
+    return _load(given, table, spec, location, spec.lookback_days, output_partitions, files, False)

@@ -51,11 +51,43 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, by the file system's own summary."""
+    target, fs = _file_system(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    target, fs = _file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of the one that is there."""
+    target, fs = _file_system(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def free(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder made by :func:`scratch_path`; anything else is refused."""
     root = checkpoint_root(spark).rstrip("/")
     if not path.startswith(f"{root}/daybridge/"):
         raise ValueError(f"{path!r} is no scratch folder of this session")
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, fs = _file_system(spark, path)
+    fs.delete(target, True)

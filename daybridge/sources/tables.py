@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+import json
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybridge.sources.scratch import folder_bytes, materialize
+
 
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -28,26 +31,29 @@ def read_partitions(spark: SparkSession, table: str, partition_col: str, values:
 
 def column_comments(spark: SparkSession, table: str) -> dict[str, str | None]:
     """Column name -> catalog comment."""
-    return {c.name: c.description for c in spark.catalog.listColumns(table)}
+    return {f.name: f.metadata.get("comment") for f in spark.read.table(table).schema.fields}
+
 
+def _described(spark: SparkSession, table: str) -> dict:
+    """What the catalog says of a table. A command, not a job: a listing of columns runs several."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").collect()[0][0])
 
-@contextmanager
-def session_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Set a session conf for the duration of a block and restore it afterwards."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+
+def describe_table(spark: SparkSession, table: str) -> DataFrame:
+    """A row per column: column_name, data_type, column_comment, is_partition, and the table's provider, kind and location."""
+    told = _described(spark, table)
+    parts, whole = set(partition_columns(spark, table)), (told.get("provider"), told.get("type"), told.get("location"))
+    rows = [
+        (f.name, f.dataType.simpleString(), f.metadata.get("comment"), f.name in parts, *whole)
+        for f in spark.read.table(table).schema.fields
+    ]
+    names = "column_name string, data_type string, column_comment string, is_partition boolean"
+    return spark.createDataFrame(rows, f"{names}, provider string, table_kind string, location string")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     """Names of the columns a table is partitioned by."""
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return list(_described(spark, table).get("partition_columns") or [])
 
 
 def create_partitioned_table(
@@ -80,9 +86,9 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
 
     Columns are matched to the table by name (then written by position); a
     column that either side lacks is an error, and so is a table without
-    partitions, of which an overwrite would replace everything. Dynamic
-    partition overwrite is switched on for this write and restored; other
-    threads that write through the same session meanwhile see it too. It also lets ``df`` read partitions of ``table`` that it replaces,
+    partitions, of which an overwrite would replace everything. The dynamic mode
+    is an option of this one statement: no setting of the session changes, so
+    that other threads' overwrites are what they ask for. It also lets ``df`` read partitions of ``table`` that it replaces,
     because new files are staged and old ones removed only when the job commits.
     """
     spark = df.sparkSession
@@ -92,5 +98,47 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     extra, missing = sorted(set(df.columns) - set(cols)), sorted(set(cols) - set(df.columns))
     if extra or missing:
         raise ValueError(f"columns do not match table {table}: not in the table {extra}, missing {missing}")
-    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        df.select(*[F.col(_quote(c)) for c in cols]).write.mode("overwrite").insertInto(table)
+    rows = df.select(*[F.col(_quote(c)) for c in cols])
+    spark.sql(f"INSERT OVERWRITE {table} WITH ('partitionOverwriteMode' = 'dynamic') SELECT * FROM {{rows}}", rows=rows)
+
+
+@dataclass(frozen=True)
+class FileLayout:
+    """How many files each written day gets: by the bytes a file should hold, or by its rows.
+
+    Bytes are measured on the staged batch, as Parquet, and turned into rows per file.
+    """
+
+    file_bytes: int | None = None
+    file_rows: int | None = None
+
+    def rows_per_file(self, batch_bytes: int, batch_rows: int) -> int:
+        if self.file_rows:
+            return self.file_rows
+        if not self.file_bytes:
+            raise ValueError("a file layout needs file_bytes or file_rows")
+        return max(1, int(self.file_bytes * batch_rows / max(1, batch_bytes)))
+
+
+def by_files(df: DataFrame, partition_col: str, layout: FileLayout, staged_path: str, staged_rows: int) -> DataFrame:
+    """Rows dealt so that every day is written as ceil(rows / rows per file) files of even size.
+
+    Rows get a running number within their task, so that neither few distinct rows nor a hot key make a file larger, and
+    go straight to the task of their file (``repartitionById``), which adaptive execution leaves as it is. The rows are
+    written to the scratch folder first: the days are counted there.
+    """
+    spark, day = df.sparkSession, F.col(_quote(partition_col))
+    size = folder_bytes(spark, staged_path) if layout.file_bytes else 0
+    per_file = layout.rows_per_file(size, staged_rows)
+    rows = materialize(df, "layout")
+    files, first = [], 0
+    for value, n in sorted(rows.groupBy(day).count().collect()):
+        files.append((value, first, -(-n // per_file)))
+        first += files[-1][2]
+    if not files:
+        return df
+    dealt = spark.createDataFrame(files, f"_db_day {df.schema[partition_col].dataType.simpleString()}, _db_first int, _db_files int")
+    numbered = rows.withColumn("_db_at", F.monotonically_increasing_id())
+    met = numbered.join(F.broadcast(dealt), day == F.col("_db_day"))
+    slot = F.col("_db_first") + F.pmod(F.col("_db_at"), F.col("_db_files")).cast("int")
+    return met.repartitionById(first, slot).drop("_db_day", "_db_first", "_db_files", "_db_at")

@@ -1,0 +1,158 @@
+"""The day boundary by heads: same table as the window over both days, few jobs, no sort of the day before."""
+
+import uuid
+from datetime import date, datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from daybridge import BridgeSpec, load_day
+from daybridge.plans import daily, heads
+
+BASE = date(2024, 1, 1)
+SPEC = BridgeSpec(keys=("k",), time_col="t", carry={"id_next": "id", "v_next": "v"}, tie_breakers=("id",), partition_col="d")
+
+
+def _frame(spark, rows, kind="timestamp_ntz"):
+    """rows: (id, key, day offset, hours after the first day or None, v)."""
+    start = datetime.combine(BASE, datetime.min.time())
+    data = [(i, k, BASE + timedelta(days=d), None if h is None else start + timedelta(hours=h), v) for i, k, d, h, v in rows]
+    df = spark.createDataFrame(data, "id int, k string, d date, t timestamp_ntz, v string")
+    return df.withColumn("t", F.unix_date(F.to_date("t")).cast("long") if kind == "bigint" else F.col("t").cast(kind))
+
+
+def _table():
+    return f"heads_{uuid.uuid4().hex[:8]}"
+
+
+def _rows(spark, table):
+    return sorted(map(repr, spark.read.table(table).select("id", "t", "t_next", "id_next", "v_next", "diff_next", "d").collect()))
+
+
+def _jobs(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def _history(days, keys, per_day):
+    return [
+        (1000 * d + 10 * i + k, f"k{k}", d, 24 * d + (i * 24) / per_day, f"v{i % 3}")
+        for d in range(days)
+        for k in range(keys)
+        for i in range(per_day)
+    ]
+
+
+def test_a_load_runs_at_most_five_jobs(spark):
+    df, table = _frame(spark, _history(4, 9, 6)), _table()
+    for d in range(4):
+        batch = df.where(F.col("d") == F.lit(BASE + timedelta(days=d)))
+        before = _jobs(spark)
+        load_day(batch, table, SPEC)
+        assert _jobs(spark) - before <= 5
+
+
+def test_the_day_before_passes_no_sort_and_no_shuffle(spark, monkeypatch):
+    df, table = _frame(spark, _history(3, 9, 6)), _table()
+    plans = []
+    real = daily.bridge_by_heads
+
+    def kept(*args):
+        out = real(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(daily, "bridge_by_heads", kept)
+    for d in range(3):
+        load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, SPEC)
+    assert len(plans) == 2
+    for plan in plans:
+        stored, batch = plan.split("Union", 1)[1].split("Window", 1)
+        assert "Sort" not in stored and "Exchange hash" not in stored and "PartitionFilters: [isnotnull(d" in stored
+        assert batch.count("Sort [") == 1 and batch.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "bigint"])
+def test_every_time_type_and_unsettled_keys(spark, kind, monkeypatch):
+    rows = _history(3, 3, 2) + [
+        (1, "late", 0, 40, "a"), (2, "late", 1, 30, "b"), (3, "late", 1, 41, "c"),  # times that do not advance
+        (4, "null", 0, None, "a"), (5, "null", 0, 3, "b"), (6, "null", 1, None, "c"), (7, "null", 1, 30, "d"), (8, "null", 2, None, "e"),
+        (9, None, 0, 5, "a"), (10, None, 1, 25, "b"), (11, None, 2, 49, "c"),  # a key without name
+        (12, "gap", 0, 5, "a"), (13, "gap", 2, 49, "b"),
+        (14, "tie", 1, 30, "a"), (15, "tie", 1, 30, "b"), (16, "tie", 2, 50, "c"), (17, "tie", 2, 50, "d"),
+        (18, "copy", 1, 30, "a"), (18, "copy", 1, 30, "a"), (19, "copy", 2, 50, "a"),
+    ]
+    df, tables = _frame(spark, rows, kind), [_table(), _table()]
+    for table, on in zip(tables, (True, False)):
+        with monkeypatch.context() as m:
+            if not on:
+                m.setattr(daily, "heads_apply", lambda *_: False)
+            for d in (0, 1, 2, 1, 2):
+                load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, SPEC)
+    assert _rows(spark, tables[0]) == _rows(spark, tables[1])
+
+
+LOADS = st.lists(
+    st.tuples(
+        st.integers(0, 3),
+        st.sampled_from(["A", "A", "B", None]),
+        st.one_of(st.none(), st.integers(-2, 26)),  # hours within the day, and beyond it
+        st.sampled_from(["x", "y"]),
+    ),
+    min_size=4,
+    max_size=24,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=LOADS, order=st.lists(st.integers(0, 3), min_size=3, max_size=5), ties=st.booleans())
+def test_any_order_of_loads_gives_the_same_table(spark, rows, order, ties):
+    df = _frame(spark, [(i, k, d, None if h is None else 24 * d + h, v) for i, (d, k, h, v) in enumerate(rows)])
+    spec = SPEC if ties else BridgeSpec(**{**SPEC.__dict__, "tie_breakers": ()})
+    tables = [_table(), _table()]
+    for table, on in zip(tables, (True, False)):
+        with pytest.MonkeyPatch.context() as m:
+            if not on:
+                m.setattr(daily, "heads_apply", lambda *_: False)
+            for d in order:
+                load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, spec)
+    if spark.catalog.tableExists(tables[0]):
+        assert _rows(spark, tables[0]) == _rows(spark, tables[1])
+
+
+def test_many_keys_meet_without_a_broadcast(spark, monkeypatch):
+    df, tables = _frame(spark, _history(3, 5, 4)), [_table(), _table()]
+    for table, most in zip(tables, (heads.MAX_BROADCAST_HEADS, 0)):
+        monkeypatch.setattr(heads, "MAX_BROADCAST_HEADS", most)
+        for d in range(3):
+            load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, SPEC)
+    assert _rows(spark, tables[0]) == _rows(spark, tables[1])
+
+
+def test_a_lost_source_is_not_read_twice(spark, tmp_path):
+    """The batch is staged: what it came from may be gone once the load has read it."""
+    df, table = _frame(spark, _history(1, 3, 4)), _table()
+    path = tmp_path / "rows.json"
+    df.coalesce(1).write.json(str(path))
+    source = spark.read.schema(df.schema).json(str(path))
+    reads = []
+
+    def gone():
+        for f in path.glob("part-*"):
+            reads.append(f)
+            f.unlink()
+
+    load_day(source, table, SPEC, before_commit=gone)
+    assert reads and spark.read.table(table).count() == 12
+
+
+def test_what_before_commit_raises_ends_the_load(spark):
+    df, table = _frame(spark, _history(1, 3, 4)), _table()
+
+    def refuse():
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        load_day(df, table, SPEC, before_commit=refuse)
+    assert not spark.catalog.tableExists(table)
