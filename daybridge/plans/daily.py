@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from daybridge.operators.next_event import DEFAULT_SEGMENT_ROWS, add_next_event
 from daybridge.plans.heads import bridge_by_heads, find_ends, heads_apply, plain_session
-from daybridge.sources.scratch import free, scratch_path
+from daybridge.sources.scratch import folder_bytes, free, scratch_path
 from daybridge.sources.tables import (
     FileLayout,
     by_files,
@@ -31,6 +31,7 @@ from daybridge.sources.tables import (
     partition_columns,
     read_partitions,
     table_exists,
+    table_location,
 )
 
 _ROLE = "_db_role"  # 0: row is written back, 1: row is only a successor candidate
@@ -63,6 +64,8 @@ class BridgeSpec:
     lookback_days: int = 1
     strategy: str = "auto"
     segment_rows: int = DEFAULT_SEGMENT_ROWS
+    #: Bytes of the day before from which on a daily load leaves its chain as it is and bridges it by heads.
+    heads_from_bytes: int = 64 << 20
 
     @property
     def next_col(self) -> str:
@@ -197,8 +200,10 @@ def load_day(
     * The batch is written to the scratch folder once and read from there (its
       days are noted on the way); the files go after the commit. An empty batch
       is a no-op and a null partition date is refused.
-    * A batch of one day meets the day before by its first row per key
-      (see ``plans/heads.py``): D-1 is not sorted again. Five jobs run.
+    * A batch of one day meets a large day before by its first row per key
+      (see ``plans/heads.py``): D-1 is not sorted again. A day before of less than
+      ``spec.heads_from_bytes`` is chained anew with the batch, which is quicker;
+      the table is the same. Five jobs run either way.
     * A batch holds its days whole: rows of these days that the table has are
       replaced. With ``merge`` they are kept and the batch is added to them (a
       batch that is merged twice is in the table twice).
@@ -245,6 +250,11 @@ def _check_batch(batch: DataFrame, table: str, spec: BridgeSpec) -> None:
         _check_table(table, batch, spec)
 
 
+def _day_bytes(spark, table: str, pcol: str, day) -> int:
+    """Bytes of the table's folder of the day before ``day``."""
+    return folder_bytes(spark, f"{table_location(spark, table)}/{pcol}={day - timedelta(days=1)}")
+
+
 def _load_by_heads(staged: Staged, table: str, spec: BridgeSpec) -> tuple[DataFrame, str]:
     """One day and the day before, chained by the first rows of the day; and the scratch folder that this reads."""
     batch, spark, pcol = staged.rows, staged.rows.sparkSession, spec.partition_col
@@ -263,7 +273,7 @@ def _load(staged: Staged, table, spec, location, lookahead_days, output_partitio
     if not days:
         return []
     alone = exists and len(days) == 1 and spec.lookback_days == 1 and not lookahead_days and not merge
-    if alone and heads_apply(batch, spec):
+    if alone and heads_apply(batch, spec) and _day_bytes(spark, table, pcol, days[0]) >= spec.heads_from_bytes:
         out, path = _load_by_heads(staged, table, spec)
         before = days[0] - timedelta(days=1)
         try:

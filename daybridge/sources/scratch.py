@@ -57,9 +57,9 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of all files below a folder, by the file system's own summary."""
+    """Bytes of all files below a folder, by the file system's own summary; 0 if there is no such folder."""
     target, fs = _file_system(spark, path)
-    return fs.getContentSummary(target).getLength()
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -51,6 +51,10 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame(rows, f"{names}, provider string, table_kind string, location string")
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table)["location"].rstrip("/")
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     """Names of the columns a table is partitioned by."""
     return list(_described(spark, table).get("partition_columns") or [])

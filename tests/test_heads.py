@@ -12,7 +12,8 @@ from daybridge import BridgeSpec, load_day
 from daybridge.plans import daily, heads
 
 BASE = date(2024, 1, 1)
-SPEC = BridgeSpec(keys=("k",), time_col="t", carry={"id_next": "id", "v_next": "v"}, tie_breakers=("id",), partition_col="d")
+SPEC = BridgeSpec(keys=("k",), time_col="t", carry={"id_next": "id", "v_next": "v"}, tie_breakers=("id",), partition_col="d", heads_from_bytes=1)
+UNION = BridgeSpec(**{**SPEC.__dict__, "heads_from_bytes": 1 << 60})
 
 
 def _frame(spark, rows, kind="timestamp_ntz"):
@@ -44,12 +45,13 @@ def _history(days, keys, per_day):
     ]
 
 
-def test_a_load_runs_at_most_five_jobs(spark):
+@pytest.mark.parametrize("spec", [SPEC, UNION])
+def test_a_load_runs_at_most_five_jobs(spark, spec):
     df, table = _frame(spark, _history(4, 9, 6)), _table()
     for d in range(4):
         batch = df.where(F.col("d") == F.lit(BASE + timedelta(days=d)))
         before = _jobs(spark)
-        load_day(batch, table, SPEC)
+        load_day(batch, table, spec)
         assert _jobs(spark) - before <= 5
 
 
@@ -74,7 +76,7 @@ def test_the_day_before_passes_no_sort_and_no_shuffle(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "bigint"])
-def test_every_time_type_and_unsettled_keys(spark, kind, monkeypatch):
+def test_every_time_type_and_unsettled_keys(spark, kind):
     rows = _history(3, 3, 2) + [
         (1, "late", 0, 40, "a"), (2, "late", 1, 30, "b"), (3, "late", 1, 41, "c"),  # times that do not advance
         (4, "null", 0, None, "a"), (5, "null", 0, 3, "b"), (6, "null", 1, None, "c"), (7, "null", 1, 30, "d"), (8, "null", 2, None, "e"),
@@ -84,12 +86,9 @@ def test_every_time_type_and_unsettled_keys(spark, kind, monkeypatch):
         (18, "copy", 1, 30, "a"), (18, "copy", 1, 30, "a"), (19, "copy", 2, 50, "a"),
     ]
     df, tables = _frame(spark, rows, kind), [_table(), _table()]
-    for table, on in zip(tables, (True, False)):
-        with monkeypatch.context() as m:
-            if not on:
-                m.setattr(daily, "heads_apply", lambda *_: False)
-            for d in (0, 1, 2, 1, 2):
-                load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, SPEC)
+    for table, spec in zip(tables, (SPEC, UNION)):
+        for d in (0, 1, 2, 1, 2):
+            load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, spec)
     assert _rows(spark, tables[0]) == _rows(spark, tables[1])
 
 
@@ -105,18 +104,15 @@ LOADS = st.lists(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=LOADS, order=st.lists(st.integers(0, 3), min_size=3, max_size=5), ties=st.booleans())
 def test_any_order_of_loads_gives_the_same_table(spark, rows, order, ties):
     df = _frame(spark, [(i, k, d, None if h is None else 24 * d + h, v) for i, (d, k, h, v) in enumerate(rows)])
-    spec = SPEC if ties else BridgeSpec(**{**SPEC.__dict__, "tie_breakers": ()})
     tables = [_table(), _table()]
-    for table, on in zip(tables, (True, False)):
-        with pytest.MonkeyPatch.context() as m:
-            if not on:
-                m.setattr(daily, "heads_apply", lambda *_: False)
-            for d in order:
-                load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, spec)
+    for table, base in zip(tables, (SPEC, UNION)):
+        spec = base if ties else BridgeSpec(**{**base.__dict__, "tie_breakers": ()})
+        for d in order:
+            load_day(df.where(F.col("d") == F.lit(BASE + timedelta(days=d))), table, spec)
     if spark.catalog.tableExists(tables[0]):
         assert _rows(spark, tables[0]) == _rows(spark, tables[1])
 
