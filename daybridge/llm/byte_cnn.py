@@ -25,7 +25,9 @@ WIDTH, STRIDE, VECTOR, FILTERS = 8, 2, 8, 24
 PAD = 256
 #: Bounds of the training sample: documents, and bytes of text after which no further document is taken.
 TRAIN_DOCS, TRAIN_BYTES = 2_000, 64 << 20
-EPOCHS, BATCH_DOCS, RATE = 10, 32, 0.01
+#: Passes over the sample and optimiser steps, both at least: few labels get more passes.
+EPOCHS, STEPS = 10, 300
+BATCH_DOCS, RATE = 16, 0.01
 _BLOCK = 128  # chunks convolved at once
 
 
@@ -140,8 +142,9 @@ def train(samples: list[tuple[bytes, int]]) -> ByteCnn:
     weights = [model.embed, model.filters, model.bias, model.head, model.head_bias]
     m1, m2 = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     order, step = np.random.default_rng(11), 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH_DOCS // len(samples)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         rows = order.permutation(len(samples))
         for a in range(0, len(rows), BATCH_DOCS):
             step += 1
