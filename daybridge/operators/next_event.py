@@ -11,18 +11,24 @@ Two physical shapes, same result:
 
 * ``window``: one ``lead`` over ``Window.partitionBy(keys)``. One shuffle, but a
   key's whole timeline is sorted in one task.
-* ``split``: the rows of keys with more than ``segment_rows`` rows are dealt by
-  ranges of the full order (key, time, tie-breakers, row), so that a range holds
-  about ``segment_rows`` rows however the key's times lie: in bursts, at one
-  instant, or null. ``lead`` runs per (key, range); the last row of a range then
+* ``split``: keys with more than ``segment_rows`` rows are cut into segments of
+  about that many, and ``lead`` runs per (key, segment).
+
+  Where the time counts (see ``clock.ticks``), a quantile sketch per hot key
+  gives the segments' first times, which are times of rows. The rows of such a
+  time go into the segment before as well, as candidates: its last row finds
+  its successor there, and the candidates are dropped. One shuffle, nothing is
+  written, the input is read three times: counts, sketches, rows.
+
+  Where one instant or the null times hold more rows than a segment, or the
+  time is of another type, the rows of hot keys are dealt by ranges of the full
+  order (key, time, tie-breakers, row) and written once; the last row of a range
   takes the first row of the key's next range, found on a table with one row
   per hot key and range. Other keys take the plain window.
 
 ``auto`` (default) and ``split`` first count rows per key (an aggregate over the
-key columns with map-side combine; two numbers reach the driver). Without a hot
-key both are the plain window; hot keys are kept in a scratch folder. The dealt rows of hot
-keys are written to a scratch folder once, so that both later branches see the
-same ranges, also after a lost executor.
+key columns with map-side combine). Without a hot key both are the plain window;
+hot keys and first times are kept in a scratch folder, so that a retried task sees the same.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybridge.functions.clock import seconds_between
+from daybridge.functions.clock import seconds_between, ticks
 from daybridge.sources.scratch import materialize
 
 DEFAULT_SEGMENT_ROWS = 2_000_000
@@ -44,6 +50,9 @@ MAX_BROADCAST_HOT_KEYS = 100_000
 # Ranges are placed by Spark's sample of about 100 rows each; this many more
 # than rows / segment_rows keep the largest near segment_rows.
 RANGE_SLACK = 1.25
+# Sketched segments are half as long; an instant that fills more than two of them in a row is dealt by ranges.
+# The rank error of a sketch of size k is about 2.3 / k ** 0.9; it may be half such a segment at most.
+LONGEST_SKETCH = 65_535
 
 _PAIR = "_db_pair"
 _NEXT = "_db_next"
@@ -111,14 +120,16 @@ def add_next_event(
     hot = None
     if strategy != "window":
         counts = df.groupBy(*[_col(k).alias(f"_db_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.where(F.col("_n") > F.lit(segment_rows))
-        hot_count, hot_rows = hot.agg(F.count(F.lit(1)), F.sum("_n")).first()
-    if hot is None or hot_count == 0:
+        hot = materialize(counts.where(F.col("_n") > F.lit(segment_rows)), "hot-keys")
+        hot_count, hot_rows, most = hot.agg(F.count(F.lit(1)), F.sum("_n"), F.max("_n")).first()
+    starts = _starts(df, hot, hot_count, most, keys, time_col, segment_rows) if hot is not None and hot_count else None
+    if starts is not None:
+        linked = _segment_lead(base, starts, keys, ticks(_col(time_col), time_type), order)
+    elif hot is None or hot_count == 0:
         window = Window.partitionBy(*[_col(k) for k in keys]).orderBy(*order)
         linked = base.withColumn(_NEXT, F.lead(_PAIR, 1).over(window))
     else:
         segments = max(1, round(RANGE_SLACK * hot_rows / segment_rows))
-        hot = materialize(hot, "hot-keys")
         linked = _split_lead(base, hot, hot_count, segments, keys, time_col, tie_breakers, order)
 
     nxt = F.col(_NEXT)
@@ -169,6 +180,55 @@ def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right, strict=True)])
 
 
+def _starts(df, hot, hot_count, most, keys, time_col, segment_rows) -> DataFrame | None:
+    """First times of the segments of every hot key, stored; None where times alone cannot cut a key evenly."""
+    time = ticks(_col(time_col), df.schema[time_col].dataType)
+    pieces = -(-2 * most // segment_rows)
+    size = int((2.3 * 2 * pieces) ** (1 / 0.9)) + 8
+    if time is None or size > LONGEST_SKETCH or hot_count > MAX_BROADCAST_HOT_KEYS:
+        return None
+    named = [F.col(f"_db_k{i}") for i in range(len(keys))]
+    rows = df.join(F.broadcast(hot), _same([_col(k) for k in keys], named))
+    sketched = rows.groupBy(*named, "_n").agg(
+        F.kll_sketch_agg_bigint(time, F.lit(size)).alias("sketch"), F.count_if(time.isNull()).alias("untimed")
+    )
+    # Ranks must be constants: those of the largest key, of which a smaller one takes every so many.
+    ranks = F.lit([i / (pieces + 1) for i in range(1, pieces + 1)])
+    quantiles = F.when(F.col("untimed") < F.col("_n"), F.kll_sketch_get_quantile_bigint("sketch", ranks))
+    own = F.ceil(F.col("_n") * 2 / segment_rows).cast("int")
+    picked = F.transform(
+        F.sequence(F.lit(1), own), lambda i: F.col("all_cuts")[F.round(i * (pieces + 1) / (own + 1)).cast("int") - 1]
+    )
+    found = sketched.select(*named, "_n", "untimed", quantiles.alias("all_cuts"))
+    found = found.select(*named, "untimed", F.when(F.col("all_cuts").isNotNull(), picked).otherwise(F.array().cast("array<long>")).alias("cuts"))
+    found = materialize(found, "segment-starts")
+    # three equal cuts in a row: one time holds more than a segment
+    crowded = F.exists(F.sequence(F.lit(2), F.size("cuts") - 1), lambda i: F.col("cuts")[i] == F.col("cuts")[i - 2])
+    crowded = F.coalesce((F.size("cuts") > 2) & crowded, F.lit(False)) | (F.col("untimed") > segment_rows)
+    if not found.where(crowded).isEmpty():
+        return None
+    return found.select(*named, F.array_distinct("cuts").alias("_db_starts"))
+
+
+def _segment_lead(base, starts, keys, time, order) -> DataFrame:
+    """Lead per (key, segment); rows of a segment's first time, and null times, are candidates of the one before."""
+    named = [F.col(f"_db_k{i}") for i in range(len(keys))]
+    kcols = [_col(k) for k in keys]
+    met = base.withColumn("_db_time", time).join(F.broadcast(starts), _same(kcols, named), "left")
+    met = met.withColumn(
+        _SEG,
+        F.expr(
+            "CASE WHEN _db_starts IS NULL THEN 0 WHEN _db_time IS NULL THEN size(_db_starts) + 1"
+            " ELSE size(filter(_db_starts, s -> s <= _db_time)) END"
+        ),
+    )
+    first = F.col("_db_starts").isNotNull() & (F.col("_db_time").isNull() | F.array_contains("_db_starts", F.col("_db_time")))
+    places = F.when(F.coalesce(first, F.lit(False)), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    placed = met.withColumn("_db_ahead", F.explode(places)).withColumn(_SEG, F.col(_SEG) - F.col("_db_ahead"))
+    linked = placed.withColumn(_NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*kcols, F.col(_SEG)).orderBy(*order)))
+    return linked.where("_db_ahead = 0").select(*[_col(c) for c in base.columns], F.col(_NEXT))
+
+
 def _ranges(hot_rows: DataFrame, segments: int, keys, time_col, tie_breakers) -> DataFrame:
     """Rows of hot keys with the number of their range of the full order.
 

@@ -156,3 +156,60 @@ def test_hot_keys_beyond_the_broadcast_bound(spark, monkeypatch):
     base = add_next_event(df, "k", "t", {"v_next": "v"}, ["id"], strategy="window")
     got = add_next_event(df, "k", "t", {"v_next": "v"}, ["id"], strategy="split", segment_rows=40)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, base.collect()))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint"])
+def test_sketched_segments_give_the_window(spark, kind):
+    rows = [(None if i % 3 == 0 else i % 5, i, (i * 7919) % 3600, i % 7) for i in range(3000)]
+    rows += [(1, 3000 + i, None, i) for i in range(40)] + [(2, 5000, 17, 1)] * 3
+    df = spark.createDataFrame(rows, "k long, id long, s long, v long")
+    t = F.col("s") if kind == "bigint" else F.timestamp_seconds(F.col("s") * 86_400 + F.col("s")).cast(kind)
+    df = df.withColumn("t", t).drop("s")
+    for ties in (["id"], []):
+        base = add_next_event(df, "k", "t", {"v_next": "v"}, ties, strategy="window")
+        for parts, seg in ((3, 50), (5, 200)):
+            got = add_next_event(df.repartition(parts), "k", "t", {"v_next": "v"}, ties, segment_rows=seg)
+            assert "sequence" not in got._jdf.queryExecution().optimizedPlan().toString()
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, base.collect()))
+
+
+@pytest.mark.parametrize("case", BURSTS)
+def test_segments_stay_near_their_rows_whatever_the_times(spark, case):
+    from daybridge.operators import next_event as ne
+
+    df = spark.createDataFrame(BURSTS[case], "k long, id long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    hot = df.groupBy(F.col("k").alias("_db_k0")).agg(F.count("*").alias("_n"))
+    starts = ne._starts(df, hot, 1, 2000, ["k"], "t", 200)
+    assert (starts is None) == (case in ("one time", "null times", "copies"))
+    if starts is None:
+        return
+    seen = {}
+    real = ne.Window.partitionBy
+
+    def kept(*cols):
+        seen["cols"] = cols
+        return real(*cols)
+
+    base = df.withColumn(ne._ROW, ne._row_hash(df)).withColumn(ne._PAIR, F.struct("t"))
+    linked = ne._segment_lead(base, starts, ["k"], ne.ticks(F.col("t"), df.schema["t"].dataType), [F.col("t").asc_nulls_last()])
+    assert linked.count() == 2000
+    cuts = [r for r in starts.first()._db_starts]
+    ticks = [r[0] for r in df.select(ne.ticks(F.col("t"), df.schema["t"].dataType)).collect()]
+    sizes = [sum((a is None or t >= a) and (b is None or t < b) for t in ticks) for a, b in zip([None, *cuts], [*cuts, None])]
+    assert sum(sizes) == 2000 and max(sizes) <= 400 and len(sizes) >= 10
+
+
+def test_the_split_reads_its_input_three_times(spark, tmp_dir):
+    rows = [(i % 2, i, f"2024-01-{1 + i % 28:02d} {i % 24:02d}:{i % 60:02d}:00") for i in range(4000)]
+    path = f"{tmp_dir}/rows"
+    spark.createDataFrame(rows, "k long, id long, t string").withColumn("t", F.col("t").cast("timestamp_ntz")).write.parquet(path)
+    df = spark.read.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(it):
+        for batch in it:
+            reads.add(batch.num_rows)
+            yield batch
+
+    out = add_next_event(df.mapInArrow(seen, df.schema), "k", "t", {"n": "id"}, ["id"], segment_rows=300)
+    assert out.count() == 4000 and reads.value <= 3 * 4000
