@@ -13,6 +13,7 @@ import json
 import sys
 import tempfile
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +26,17 @@ if _HERE not in sys.path:
 
 from daybridge.operators.flatten import flatten  # noqa: E402
 from daybridge.operators.next_event import add_next_event  # noqa: E402
+from daybridge.operators.order import order_faults  # noqa: E402
 from daybridge.operators.project import ColumnSpec, project_typed  # noqa: E402
 from daybridge.operators.utc import add_utc_time  # noqa: E402
 from daybridge.jobs import daily_load  # noqa: E402
 from daybridge.plans.daily import BridgeSpec, bulk_bridge, bulk_load, load_day  # noqa: E402
-from daybridge.sources.json_source import ingest_json  # noqa: E402
-from daybridge.sources.scratch import scratch_path, unique_table_name  # noqa: E402
+from daybridge.sources.json_source import Rescue, ingest_json  # noqa: E402
+from daybridge.sources.scratch import materialize, scratch_path, unique_table_name  # noqa: E402
 from daybridge.sources.tables import (  # noqa: E402
-    column_comments,
+    FileLayout,
     create_partitioned_table,
+    describe_table,
     drop_table,
     overwrite_partitions,
     table_exists,
@@ -60,10 +63,15 @@ EVENT_ZONE_ROWS = [
 FILTER_DAY = dt.date(2024, 1, 15)  # day selected / replaced / reloaded in the event queries
 SPLIT_DAY = dt.date(2024, 1, 16)  # first day of the second half in union_days
 HOT_SEGMENT_ROWS = 500  # segment size of next_event_hot_keys (every event type is a hot key)
+HEADS_FROM = dt.date(2024, 1, 25)  # first day that daily_heads loads by itself
+BROKEN = 50  # every such event is a broken line in json_rescue
+FILE_ROWS = 250  # rows of a file in files_per_day
 TOP_USER = 1  # user of top1_next_event
 ONE_ORIGIN = "2-HIGH"  # airport of first_departure and departures_sorted
 LATE_CLOCK = 1200  # departures_sorted keeps clocks from here on
 BACKFILL = (dt.date(2024, 1, 11), dt.date(2024, 1, 20))  # days of bulk_backfill that come last
+# Further rows of the zone dimension of zone_guard; none of their zones comes before the first one by name.
+ZONES_AGAIN = [("1-URGENT", "Europe/Madrid"), ("2-HIGH", "Asia/Tokyo"), ("2-HIGH", "Europe/Madrid"), (None, "UTC")]
 # Hours by which batch_any_times moves the events of a type, as far zones do.
 SHIFT_HOURS = {"view": -10, "click": 13, "error": 5, "purchase": 0}
 # ---------------------------------------------------------------------------
@@ -206,6 +214,30 @@ def q_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_json(spark, path, LINE_SPECS)
 
 
+RESCUE_SPECS = [
+    ColumnSpec("event_id", "bigint", comment="event id"),
+    ColumnSpec("user_id", "bigint", comment="user"),
+    ColumnSpec("event_type", "string", comment="kind of event"),
+    ColumnSpec("value", "double", comment="event value"),
+]
+
+
+def q_json_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of which every 50th is cut in half: the rows of the good ones, and how many lines were put apart."""
+    ev = _t(spark, sf_dir, "events")
+    line = F.to_json(F.struct("event_id", "user_id", F.struct("event_type", "value").alias("detail")))
+    half = F.substring(line, F.lit(1), (F.length(line) / 2).cast("int"))
+    path, apart = scratch_path(spark, "json-broken"), scratch_path(spark, "json-quarantine")
+    ev.select(F.when(F.col("event_id") % BROKEN == 0, half).otherwise(line).alias("value")).write.text(path)
+    rescue = Rescue(apart, max_share=0.1)
+    rows = materialize(ingest_json(spark, path, RESCUE_SPECS, schema=RESCUE_SCHEMA, rescue=rescue), "rescued")
+    rescue.settle()
+    lines = spark.read.parquet(apart).agg(F.count("line").alias("lines_apart"))
+    return rows.withColumn("bad_lines", F.lit(rescue.bad).cast("long")).crossJoin(F.broadcast(lines))  # a single row
+
+
+RESCUE_SCHEMA = "event_id bigint, user_id bigint, detail struct<event_type:string,value:double>"
+
 ORDER_SPECS = [
     ColumnSpec("o_orderkey", "bigint", comment="order key"),
     ColumnSpec("o_custkey", "int", comment="customer key"),
@@ -262,6 +294,18 @@ def q_utc_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_utc_time(_order_departures(spark, sf_dir), _zones(spark), as_ntz=True)
 
 
+def q_zone_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone dimension that lists airports twice doubles no departure: the zone that comes first by name counts."""
+    twice = spark.createDataFrame([*ZONE_ROWS, *ZONES_AGAIN], "iata_code string, iana_tz string")
+    return add_utc_time(_order_departures(spark, sf_dir), twice, as_ntz=True, on_duplicate="first")
+
+
+def q_departures_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of a global sort, nulls last: no row of all departures stands behind a later one."""
+    out = q_utc_next_departure(spark, sf_dir).sort(F.col("Origin").asc_nulls_last(), F.col("FlightTime").asc_nulls_last())
+    return order_faults(out, ["Origin", "FlightTime"], nulls_first=False).select("n_rows", "inversions")
+
+
 def q_null_time_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_utc_enrich(spark, sf_dir).where("FlightTime IS NULL").agg(F.count(F.lit(1)).alias("null_times"))
 
@@ -392,17 +436,35 @@ def q_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments of a table made from orders, with the number of values of each column."""
+    """The catalog's description of a table made from orders, with the number of values of each column."""
     typed = q_typed_projection(spark, sf_dir)
     table, location = _scratch_table(spark, "orders_commented")
-    create_partitioned_table(typed, table, "o_orderdate", location=location)
-    comments = spark.createDataFrame(
-        list(column_comments(spark, table).items()), "column_name string, column_comment string"
-    )
+    create_partitioned_table(typed, table, "o_orderpriority", location=location)
     stored = spark.read.table(table)
     counts = stored.select(*(F.count(c).alias(c) for c in stored.columns))
     counts = counts.unpivot([], stored.columns, "column_name", "n_values")
-    return comments.join(counts, "column_name")
+    return describe_table(spark, table).drop("location").join(counts, "column_name")
+
+
+def q_daily_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history, then day by day: each day's first rows go to the open ends of the day before, which is not sorted."""
+    ev = _events_by_day(spark, sf_dir)
+    table, location = _scratch_table(spark, "events_heads")
+    spec = replace(EVENT_SPEC, heads_from_bytes=1)
+    bulk_load(ev.where(F.col("day") < F.lit(HEADS_FROM)), table, spec, location=location)
+    late = ev.where(F.col("day") >= F.lit(HEADS_FROM))
+    for day in [r[0] for r in late.select("day").distinct().orderBy("day").collect()]:
+        load_day(late.where(F.col("day") == F.lit(day)), table, spec)
+    return spark.read.table(table)
+
+
+def q_files_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and rows of every day after a load with a set number of rows per file."""
+    table, location = _scratch_table(spark, "events_files")
+    ev = _events_by_day(spark, sf_dir)
+    load_day(ev, table, EVENT_SPEC, location=location, files=FileLayout(file_rows=FILE_ROWS))
+    placed = spark.read.table(table).select("day", F.input_file_name().alias("file"))
+    return placed.groupBy("day").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n_rows"))
 
 
 def q_dropped_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -517,6 +579,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "next_event_ties": q_next_event_ties,
         "next_event_null_key": q_next_event_null_key,
         "top1_next_event": q_top1_next_event,
+        "daily_heads": q_daily_heads,
+        "files_per_day": q_files_per_day,
+        "json_rescue": q_json_rescue,
+        "zone_guard": q_zone_guard,
+        "departures_order": q_departures_order,
         "flatten_array": q_flatten_array,
         "flatten_nested": q_flatten_nested,
         "json_ingest": q_json_ingest,
@@ -753,10 +820,23 @@ def _own_sql() -> dict[str, str]:
         "batch_any_times": _UNIONS_SQL,
         "dropped_table": "SELECT COUNT(*) AS n_rows, FALSE AS still_there FROM events",
         "table_comments": "SELECT * FROM (" + " UNION ALL ".join(
-            f"SELECT '{c.name}' AS column_name, {c.comment!r} AS column_comment, "
+            f"SELECT '{c.name}' AS column_name, '{c.type}' AS data_type, {c.comment!r} AS column_comment, "
+            f"{c.name == 'o_orderpriority'} AS is_partition, 'parquet' AS provider, 'EXTERNAL' AS table_kind, "
             f"COUNT({'o_orderstatus' if c.name == 'o_fulfilled' else c.name}) AS n_values FROM orders"
             for c in ORDER_SPECS
         ) + ")",
+        "daily_heads": _CLOSED_FORM_SQL.format(extra=""),
+        "files_per_day": f"""
+            SELECT CAST(ts AS DATE) AS day, (COUNT(*) + {FILE_ROWS} - 1) // {FILE_ROWS} AS files, COUNT(*) AS n_rows
+            FROM events GROUP BY 1
+        """,
+        "json_rescue": f"""
+            SELECT event_id, user_id, event_type, value, n AS bad_lines, n AS lines_apart
+            FROM events, (SELECT COUNT(*) AS n FROM events WHERE event_id % {BROKEN} = 0)
+            WHERE event_id % {BROKEN} <> 0
+        """,
+        "zone_guard": _UTC_SQL,
+        "departures_order": f"SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS inversions FROM ({_UTC_NEXT_SQL})",
         "json_daily_load": f"""
             WITH f AS (
               SELECT event_id, event_type AS Origin, CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS DepTime,

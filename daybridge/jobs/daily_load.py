@@ -14,6 +14,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from daybridge.plans.flight_load import IngestConfig, process_file
+from daybridge.sources.json_source import Rescue
 
 log = logging.getLogger("daybridge.daily_load")
 
@@ -30,11 +31,16 @@ def main(argv: list[str] | None = None) -> list:
         help="when reloading an old day, also read this many later days as successor candidates",
     )
     parser.add_argument("--merge", action="store_true", help="add the rows to days the table has instead of replacing them")
+    parser.add_argument("--quarantine", help="folder for lines that cannot be read (they are rows of nulls if no option says otherwise)")
+    parser.add_argument("--max-bad-rows", type=int, help="fail, and write nothing, if more lines than this cannot be read")
+    parser.add_argument("--max-bad-share", type=float, help="the same, as a share of all lines")
     parser.add_argument("--schema", help="read schema as DDL; without it (or one in the config) Spark infers it")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("daybridge-daily-load").getOrCreate()
     config = IngestConfig.from_file(args.config)
+    given = (args.quarantine, args.max_bad_rows, args.max_bad_share)
+    rescue = config.read.rescue() if given == (None, None, None) else Rescue(*given)
     days = process_file(
         spark,
         args.data,
@@ -43,8 +49,11 @@ def main(argv: list[str] | None = None) -> list:
         schema=args.schema,
         lookahead_days=args.lookahead_days,
         merge=args.merge,
+        rescue=rescue,
     )
     log.info("loaded %s into %s", [str(d) for d in days], config.output_table)
+    if rescue is not None:
+        log.info("%s of %s lines could not be read", rescue.bad, rescue.total)
     return days
 
 

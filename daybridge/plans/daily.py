@@ -233,7 +233,7 @@ def load_day(
     staged = stage(batch, spec)
     try:
         if before_commit:
-            before_commit()
+            before_commit()  # also for an empty batch: all its lines may be bad
         return _load(staged, table, spec, location, lookahead_days, output_partitions, files, merge)
     finally:
         free(batch.sparkSession, staged.path)

@@ -62,6 +62,19 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, modification time in ms, bytes) of a file, or of the files below a folder that are no hidden ones."""
+    target, fs = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    found, out = fs.listFiles(target, True), []
+    while found.hasNext():
+        f = found.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            out.append((f.getPath().toString(), f.getModificationTime(), f.getLen()))
+    return out
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text; None if there is none."""
     target, fs = _file_system(spark, path)
