@@ -157,13 +157,13 @@ _PLACED = """
 SELECT doc_id, list_transform(range(1, len(m) + 1), lambda i: struct_pack(
          start := CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT), m := m[i])) AS placed
-FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, string_split_regex(t, '{pattern}') AS gaps FROM d)
+FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, string_split_regex(t, '{pattern}') AS gaps FROM {table})
 """
 
 
-def _span_sql(pattern: str, kind: str, rank: int, condition: str = "TRUE") -> str:
+def _span_sql(pattern: str, kind: str, rank: int, condition: str = "TRUE", table: str = "d") -> str:
     """Rows (doc_id, start, rank, end, kind) of the matches of a pattern that meet a condition on the match ``m``."""
-    placed = _PLACED.format(pattern=pattern.replace("'", "''"))
+    placed = _PLACED.format(pattern=pattern.replace("'", "''"), table=table)
     return (
         f"SELECT doc_id, s.start AS b, {rank} AS rank, s.start + length(s.m) AS e, '{kind}' AS kind, s.m AS m "
         f"FROM (SELECT doc_id, unnest(placed) AS s FROM ({placed})) WHERE {condition.replace('$m', 's.m')}"
@@ -171,19 +171,22 @@ def _span_sql(pattern: str, kind: str, rank: int, condition: str = "TRUE") -> st
 
 
 def _entropy_sql(c: secrets.CharClass, rank: int) -> str:
-    # Fixed runs stand for the back reference of the allow-list, which this dialect lacks.
-    allow = [a.replace("'", "''") for a in secrets.ALLOW_LIST if "\\1" not in a]
-    allow.append("|".join(f"[{x}]{{8}}" if x != "-" else "-{8}" for x in c.members))
-    wanted = " AND ".join(
-        [f"regexp_matches($m, '{n}')" for n in c.needs] + [f"NOT regexp_matches($m, '{a}')" for a in allow]
-    )
-    runs_ = _span_sql(f"[{c.alphabet}]{{{c.window},}}", c.kind, rank, wanted)
+    needs = " AND ".join(["TRUE", *(f"regexp_matches($m, '{n}')" for n in c.needs)])
+    allowed = " AND ".join(f"NOT regexp_matches($m, '{a}')" for a in secrets.ALLOW_LIST)
+    candidates = _span_sql(f"[{c.alphabet}]{{{c.window},}}", c.kind, rank, needs, "masked")
     return f"""
-SELECT doc_id, b + w[1] AS b, rank, b + w[len(w)] + {c.window} AS e, kind FROM (
-  SELECT *, list_filter(range(0, length(m) - {c.window - 1}),
-    lambda i: list_entropy(string_split(substring(m, CAST(i AS INTEGER) + 1, {c.window}), '')) >= {c.bits}) AS w
-  FROM ({runs_})
-) WHERE len(w) > 0
+SELECT doc_id, b + lo AS b, rank, b + hi + {c.window} AS e, kind FROM (
+  SELECT doc_id, b, rank, kind, m, min(w) AS lo, max(w) AS hi,
+         substring(m, CAST(min(w) AS INTEGER) + 1, CAST(max(w) - min(w) AS INTEGER) + {c.window}) AS part
+  FROM (
+    SELECT *, sum(CASE WHEN w - before < {c.window} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, b ORDER BY w) AS part_no
+    FROM (
+      SELECT *, lag(w) OVER (PARTITION BY doc_id, b ORDER BY w) AS before FROM (
+        SELECT doc_id, b, rank, kind, m, unnest(list_filter(range(0, length(m) - {c.window - 1}),
+          lambda i: list_entropy(string_split(substring(m, CAST(i AS INTEGER) + 1, {c.window}), '')) >= {c.bits})) AS w
+        FROM ({candidates}))))
+  GROUP BY doc_id, b, rank, kind, m, part_no
+) WHERE {needs.replace("$m", "part")} AND {allowed.replace("$m", "part")}
 """
 
 
@@ -198,24 +201,35 @@ def _secret_sql() -> str:
         )
     )
     found = " UNION ALL ".join(f"({_entropy_sql(c, 3 + i)})" for i, c in enumerate(secrets.CLASSES))
-    joined = "string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank, e)"
-    count = lambda k: f"coalesce((SELECT count(*) FROM base WHERE base.doc_id = d.doc_id AND kind = '{k}'), 0) AS n_{k}"
+    # This dialect has neither look-behind nor back references. A path part may follow the slash of the one before, which a
+    # match would use up, hence two passes; equal characters are compared one by one, in texts that hold a run of them.
+    path = "(^|[^A-Za-z0-9+_-])([a-z]+)/"
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_/"
+    n = secrets.EQUAL_RUN
+    runs = "|".join([*(f"{x}{{{n}}}" for x in signs), f"[+]{{{n}}}", f"[-]{{{n}}}"])
+    equal = (
+        f"array_to_string(list_transform(range(1, len(c) + 1), lambda i: CASE WHEN i + {n - 1} <= len(c) "
+        f"AND len(list_distinct(c[i:i + {n - 1}])) = 1 AND regexp_matches(c[i], '[{secrets.EQUAL_SIGNS}]') THEN ' ' ELSE c[i] END), '')"
+    )
+    one = "struct_pack(b := b, rank := rank, e := e, kind := kind)"
+    text = lambda x: f"array_to_string(list_transform({x}, lambda s: s.kind || ':' || s.b || ':' || s.e), ',')"
+    count = lambda k: f"CAST(len(list_filter(base, lambda s: s.kind = '{k}')) AS BIGINT) AS n_{k}"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-base AS ({base}),
-found AS ({found}),
-added AS (
-  SELECT * FROM found AS f
-  WHERE NOT EXISTS (SELECT 1 FROM base AS x WHERE x.doc_id = f.doc_id AND x.b < f.e AND f.b < x.e)
-    AND NOT EXISTS (SELECT 1 FROM found AS x WHERE x.doc_id = f.doc_id AND x.b < f.e AND f.b < x.e
-                    AND (x.b, x.rank) < (f.b, f.rank))),
-per_doc AS (SELECT doc_id, {joined} AS spans FROM base GROUP BY doc_id),
-per_all AS (SELECT doc_id, {joined} AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY doc_id),
-per_add AS (SELECT doc_id, count(*) AS n FROM added GROUP BY doc_id)
-SELECT d.doc_id, {", ".join(count(k) for k in ("assign", "access", "hex"))},
-       sha256(coalesce(per_doc.spans, '')) AS base_sha256, coalesce(per_all.spans, '') AS spans,
-       coalesce(per_add.n, 0) AS n_entropy
-FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_all USING (doc_id) LEFT JOIN per_add USING (doc_id)
+parted AS (SELECT doc_id, regexp_replace(regexp_replace(t, '{path}', '\\1\\2 ', 'g'), '{path}', '\\1\\2 ', 'g') AS t FROM d),
+masked AS (
+  SELECT doc_id, t FROM parted WHERE NOT regexp_matches(t, '{runs}')
+  UNION ALL SELECT doc_id, {equal} AS t FROM (SELECT doc_id, string_split(t, '') AS c FROM parted WHERE regexp_matches(t, '{runs}'))),
+base AS (SELECT doc_id, list({one} ORDER BY b, rank, e) AS base FROM ({base}) GROUP BY doc_id),
+found AS (SELECT doc_id, list({one} ORDER BY b, rank, e) AS found FROM ({found}) GROUP BY doc_id),
+both_ AS (
+  SELECT d.doc_id, coalesce(base, []) AS base, list_reduce(
+           list_concat([coalesce(base, [])], list_transform(coalesce(found, []), lambda s: [s])),
+           lambda a, x: CASE WHEN len(list_filter(a, lambda y: y.b < x[1].e AND x[1].b < y.e)) = 0 THEN list_concat(a, x) ELSE a END) AS kept
+  FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id))
+SELECT doc_id, {", ".join(count(k) for k in ("assign", "access", "hex"))}, sha256({text("base")}) AS base_sha256,
+       {text("list_sort(kept)")} AS spans, CAST(len(kept) - len(base) AS BIGINT) AS n_entropy
+FROM both_
 """
 
 

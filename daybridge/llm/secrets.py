@@ -1,16 +1,11 @@
 """Secret scan: patterns, and sliding-window Shannon entropy per character class.
 
-Base kinds are patterns (``BASE``). Beyond them, every maximal run of the characters of a class
-(``CLASSES``) that is long enough is a candidate: a window slides over it while the counts of its
-characters are kept up to date, one character in and one out, and with them the sum of n log2 n
-that the entropy follows from. The candidate's windows that reach the entropy of its class make a
-span, from the first to the last of them, unless the candidate matches the allow-list or overlaps
-a base span.
-
-That is the scan the SQL of op8 states. With ``parts`` (``find_secrets``, ``redact_secrets``) spans are
-added that it leaves out, none is taken away: lower-case path parts and runs of equal characters end
-a candidate, groups of windows are spans of their own and each is held against the allow-list by
-itself, and there are classes of lower-case alphanumerics, base32 and letters alone (``PART_CLASSES``).
+Base kinds are patterns. Beyond them, every maximal run of the characters of a class (``CLASSES``)
+that is long enough is a candidate: a window slides over it while the counts of its characters are
+kept up to date, one character in and one out, and with them the sum of n log2 n that the entropy
+follows from. Overlapping windows that reach the entropy of the class make a span, from the first to
+the last of them, unless the span matches the allow-list or overlaps a base span. Lower-case path
+parts and runs of equal characters end a candidate, so that a secret beside them is a candidate of its own.
 
 DataFrame functions alone, nothing is shuffled. Positions are in code points, ends exclusive.
 """
@@ -47,7 +42,8 @@ class CharClass:
     needs: tuple[str, ...] = ()
 
 
-# Character classes; thresholds lie between those of text and of random strings.
+# Character classes; thresholds lie between those of text and of random strings. The last
+# three do not ask for three kinds of characters, but for entropies that words do not reach.
 CLASSES = (
     CharClass("upper_hex", "0-9A-F", "0123456789ABCDEF", 24, 2.9, ("[0-9]", "[A-F]")),
     CharClass(
@@ -58,21 +54,16 @@ CLASSES = (
         3.75,
         ("[0-9]", "[a-z]", "[A-Z]"),
     ),
-)
-# Candidates that are known not to be secrets (samples, paths, repeated letters).
-ALLOW_LIST = (r"(?i)example|sample|placeholder|changeme", r"^/?(?:[a-z]+/)+", r"(.)\1{7,}")
-# Fixed values of the scan by parts: a lower-case path part up to its slash, all but the last seven of
-# eight or more equal characters, and what is no secret inside one span.
-PATH_PART = r"(?<![A-Za-z0-9+_-])([a-z]+)/"
-EQUAL = r"([A-Za-z0-9+/_-])(?=\1{7})"
-PART_ALLOW = (r"(?i)example|sample|placeholder|changeme",)
-#: Further classes. Instead of three kinds of characters they ask for entropies that words do not reach.
-PART_CLASSES = (
-    *CLASSES,
     CharClass("lower_alnum", "a-z0-9", "abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.6, ("[0-9][a-z]+[0-9]|[a-z][0-9]+[a-z]",)),
     CharClass("base32", "A-Z2-7", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 3.1, ("[2-7]",)),
     CharClass("letters", "A-Za-z", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 24, 4.15),
 )
+# Spans that are known not to be secrets; and what ends a candidate: a lower-case path part
+# up to its slash, and all but the last seven of eight or more equal characters.
+ALLOW_LIST = (r"(?i)example|sample|placeholder|changeme",)
+PATH_PART = r"(?<![A-Za-z0-9+_-])([a-z]+)/"
+EQUAL_SIGNS, EQUAL_RUN = "A-Za-z0-9+/_-", 8
+EQUAL = rf"([{EQUAL_SIGNS}])(?=\1{{{EQUAL_RUN - 1}}})"
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 EMPTY = f"array<{SPAN}>"
 
@@ -111,61 +102,14 @@ def _nlogn(n: int) -> int:
     return round(n * math.log2(n) * (1 << 20)) if n else 0
 
 
-def high_entropy(candidate: Column, c: CharClass) -> Column:
-    """struct(first, last): starts of the first and last window that reaches the class's entropy; -1 if none.
+def entropy_groups(candidate: Column, c: CharClass) -> Column:
+    """Array of struct(first, last): starts of the first and last of each group of overlapping windows of the class's entropy.
 
     H = log2 W - sum(n log2 n) / W, so a window qualifies if its sum of n log2 n, kept in whole
     multiples of 2^-20, is at most W (log2 W - bits).
     """
     limit = math.floor(c.window * (math.log2(c.window) - c.bits) * (1 << 20))
     table = F.split(F.lit(",".join(str(_nlogn(n)) for n in range(c.window + 2))), ",").cast("array<bigint>")
-    zeros = F.array_repeat(F.lit(0), len(c.members) + 1)
-    begin = F.struct(
-        zeros.alias("n"), F.lit(0).cast("bigint").alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last")
-    )
-
-    def moved(count: Column, total: Column, code: Column, by: int) -> tuple[Column, Column]:
-        n = F.get(count, code)
-        new = F.transform(count, lambda x, k: F.when(k == code, x + by).otherwise(x))
-        return new, total + F.get(table, n + by) - F.get(table, n)
-
-    def step(s: Column):
-        def one(a: Column, i: Column) -> Column:
-            code = lambda at: F.position(F.substring(s, at + 1, F.lit(1)), F.lit(c.members))
-            into = let(
-                F.struct(a["n"].alias("n"), a["sum"].alias("sum"), code(i).alias("c")),
-                lambda v: F.struct(*(x.alias(y) for x, y in zip(moved(v["n"], v["sum"], v["c"], 1), ("n", "sum"), strict=True))),
-            )
-            out = lambda v: F.when(
-                i >= c.window,
-                let(
-                    F.struct(v["n"].alias("n"), v["sum"].alias("sum"), code(i - c.window).alias("c")),
-                    lambda u: F.struct(
-                        *(x.alias(y) for x, y in zip(moved(u["n"], u["sum"], u["c"], -1), ("n", "sum"), strict=True))
-                    ),
-                ),
-            ).otherwise(v)
-            at = i - (c.window - 1)
-            return let(
-                let(into, out),
-                lambda v: F.struct(
-                    v["n"].alias("n"),
-                    v["sum"].alias("sum"),
-                    F.when((a["first"] < 0) & (at >= 0) & (v["sum"] <= limit), at).otherwise(a["first"]).alias("first"),
-                    F.when((at >= 0) & (v["sum"] <= limit), at).otherwise(a["last"]).alias("last"),
-                ),
-            )
-
-        return one
-
-    done = lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last"))
-    return F.aggregate(indices(0, F.length(candidate) - 1), begin, step(candidate), done)
-
-
-def entropy_groups(candidate: Column, c: CharClass) -> Column:
-    """Array of struct(first, last): starts of the first and last of each group of overlapping windows of the class's entropy."""
-    limit = math.floor(c.window * (math.log2(c.window) - c.bits) * (1 << 20))
-    table = F.split(F.lit(",".join(str(_nlogn(n)) for n in range(c.window + 2))), ",").cast("array<bigint>")
     groups = "array<struct<first:int,last:int>>"
     begin = F.struct(
         F.array_repeat(F.lit(0), len(c.members) + 1).alias("n"),
@@ -205,7 +149,7 @@ def entropy_groups(candidate: Column, c: CharClass) -> Column:
     return F.aggregate(indices(0, F.length(candidate) - 1), begin, step, lambda a: a["out"])
 
 
-def _part_spans(text: Column, c: CharClass, rank: int) -> Column:
+def _entropy_spans(text: Column, c: CharClass, rank: int, allow: tuple[str, ...]) -> Column:
     """Spans of the groups of windows of all candidates of a masked text, each held against the allow-list by itself."""
     pattern = rf"(?<![{c.alphabet}])[{c.alphabet}]{{{c.window},}}"
 
@@ -230,7 +174,7 @@ def _part_spans(text: Column, c: CharClass, rank: int) -> Column:
     def allowed(x: Column) -> Column:
         m = F.substring(text, x["start"] + 1, x["end"] - x["start"])
         ok = wanted(m)
-        for known in PART_ALLOW:
+        for known in allow:
             ok = ok & ~m.rlike(known)
         return ok
 
@@ -238,79 +182,37 @@ def _part_spans(text: Column, c: CharClass, rank: int) -> Column:
     return F.filter(let(runs, lambda found: F.flatten(F.transform(found, of_run))), allowed)
 
 
-def part_spans(text: Column) -> Column:
-    """Spans of the scan by parts. The mask puts a blank for a character, so that positions stay."""
+def entropy_spans(text: Column, allow: tuple[str, ...]) -> Column:
+    """Spans of all classes. What ends a candidate is masked by a blank, so that positions stay."""
     masked = F.regexp_replace(F.regexp_replace(text, PATH_PART, "$1 "), EQUAL, " ")
     return let(
-        masked, lambda m: F.sort_array(F.concat(*(_part_spans(m, c, 3 + i) for i, c in enumerate(PART_CLASSES))))
+        masked, lambda m: F.sort_array(F.concat(*(_entropy_spans(m, c, 3 + i, allow) for i, c in enumerate(CLASSES))))
     )
 
 
-def _entropy_spans(text: Column, c: CharClass, rank: int, allow: tuple[str, ...]) -> Column:
-    pattern = rf"(?<![{c.alphabet}])[{c.alphabet}]{{{c.window},}}"
-
-    def wanted(m: Column) -> Column:
-        ok = F.lit(True)
-        for need in c.needs:
-            ok = ok & m.rlike(need)
-        for known in allow:
-            ok = ok & ~m.rlike(known)
-        return ok
-
-    def narrowed(spans: Column) -> Column:
-        windows = F.transform(
-            spans,
-            lambda x: F.struct(
-                x.alias("x"), high_entropy(F.substring(text, x["start"] + 1, x["end"] - x["start"]), c).alias("w")
-            ),
-        )
-        return F.transform(
-            F.filter(windows, lambda y: y["w"]["first"] >= 0),
-            lambda y: F.struct(
-                (y["x"]["start"] + y["w"]["first"]).alias("start"),
-                y["x"]["rank"].alias("rank"),
-                (y["x"]["start"] + y["w"]["last"] + c.window).alias("end"),
-                y["x"]["kind"].alias("kind"),
-            ),
-        ).cast(EMPTY)
-
-    return let(_spans(text, pattern, c.kind, rank, wanted), narrowed)
-
-
 def secret_spans(text: Column, allow: tuple[str, ...] = ALLOW_LIST) -> tuple[Column, Column]:
-    """Base spans and added spans of a non-null text column, each sorted by start, then kind as listed."""
+    """Base spans and entropy spans of a non-null text column, each sorted by start, then kind as listed."""
     value = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= ASSIGN_VALUE
     base = F.concat(
         _spans(text, ASSIGN, "assign", 0, value), _spans(text, ACCESS, "access", 1), _spans(text, HEX, "hex", 2)
     )
-    added = F.concat(*(_entropy_spans(text, c, 3 + i, allow) for i, c in enumerate(CLASSES)))
-    return F.sort_array(base), F.sort_array(added)
+    return F.sort_array(base), entropy_spans(text, allow)
 
 
 def find_secrets(
-    docs: DataFrame,
-    allow: tuple[str, ...] = ALLOW_LIST,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    parts: bool = False,
+    docs: DataFrame, allow: tuple[str, ...] = ALLOW_LIST, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, base and added: arrays of spans (start, rank, end, kind) in every row's whole text.
 
     A null or empty text has no spans. One row per input row, whether ids repeat or are null; other
     columns are ignored. An added span that overlaps a base span or an earlier added span is left out.
-    ``parts`` adds the spans of the scan by parts that overlap none of these.
     """
     texts = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    base, added = secret_spans(F.col("text"), allow)
-    more = part_spans(F.col("text")) if parts else F.array().cast(EMPTY)
-    both = texts.select("doc_id", base.alias("base"), added.alias("found"), more.alias("more"))
-    both = both.select("doc_id", "base", _apart(F.col("found"), F.col("base")).alias("added"), "more")
-    if not parts:
-        return both.drop("more")
-    fresh = _apart(F.col("more"), F.concat("base", "added"))
-    return both.select("doc_id", "base", F.sort_array(F.concat("added", fresh)).alias("added"))
+    base, found = secret_spans(F.col("text"), allow)
+    both = texts.select("doc_id", base.alias("base"), found.alias("found"))
+    return both.select("doc_id", "base", _apart(F.col("found"), F.col("base")).alias("added"))
 
 
 def _apart(found: Column, base: Column) -> Column:
@@ -334,18 +236,16 @@ def redact_secrets(
     mark: str = "[SECRET]",
     allow: tuple[str, ...] = ALLOW_LIST,
     text_col: str = "text",
-    parts: bool = False,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, with every span (overlapping ones merged) replaced by ``mark``.
 
-    ``parts`` replaces the spans of the scan by parts too.
+    A null text stays null. Rows are treated one by one, repeated or not; an empty table stays empty.
     """
     text = F.col(text_col)
 
     def replaced(t: Column) -> Column:
         base, added = secret_spans(t, allow)
-        more = [part_spans(t)] if parts else []
-        spans = F.sort_array(F.concat(base, added, *more))
+        spans = F.sort_array(F.concat(base, added))
         start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
         def step(a: Column, s: Column) -> Column:
