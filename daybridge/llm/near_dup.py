@@ -325,19 +325,31 @@ def keep_one_of_each(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, without near duplicates: of each group the smallest id stays.
 
-    Of rows that share an id one stays. Rows without id all stay.
+    A document is an id with a text. Where rows share an id but not the text, each text is a document of its
+    own, under a number drawn from both (below all ids), so that none goes for another's sake. Of rows alike in id and text one
+    stays, the same in every run. Rows without id all stay. Null and empty texts are near nothing.
     """
-    found = stored(near_duplicates(docs, shingle_words, percent, id_col, text_col), "near-duplicates")
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    repeated = repeated.select(F.col("doc_id").alias("__gone"))
-
-    def matched(ids: DataFrame, kind: str) -> DataFrame:
-        ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-        return docs.join(ids, docs[id_col].cast("long") == ids["__gone"], kind)
-
-    kept = matched(gone, "left_anti")
-    if repeated.isEmpty():
-        return kept
-    docs = kept
-    return matched(repeated, "left_anti").union(matched(repeated, "left_semi").dropDuplicates([id_col]))
+    cols, sid = docs.columns, "__document"
+    own, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    ids = docs.where(F.col(id_col).isNotNull()).select(own.alias("__id"), F.xxhash64(text).alias("__h")).groupBy("__id")
+    ids = ids.agg(F.count("*").alias("__n"), (F.min("__h") != F.max("__h")).alias("__clash")).where("__n > 1")
+    ids = stored(ids.select("__id", "__clash"), "repeated-ids")
+    repeated = not ids.isEmpty()
+
+    def matched(rows: DataFrame, by: str, keys: DataFrame, kind: str) -> DataFrame:
+        keys = F.broadcast(keys) if keys.count() <= MAX_BROADCAST_IDS else keys
+        return rows.join(keys, rows[by] == keys["__id"], kind).drop("__id")
+
+    named = docs.withColumn(sid, own)
+    if repeated:
+        number = -1 - F.pmod(F.xxhash64(own, text), F.lit(1 << 62))
+        named = matched(named, sid, ids, "left").withColumn(sid, F.when(F.col("__clash"), number).otherwise(own))
+    found = near_duplicates(named.select(sid, F.col(text_col)), shingle_words, percent, sid, text_col)
+    found = stored(found, "near-duplicates")
+    kept = matched(named, sid, found.where("not kept").select(F.col("doc_id").alias("__id")).distinct(), "left_anti")
+    if not repeated:
+        return kept.select(*[F.col(f"`{c}`") for c in cols])
+    once = kept.where("__clash is null").select(*[F.col(f"`{c}`") for c in cols])
+    order = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) for c in cols])
+    rows = kept.where("__clash is not null").groupBy(sid).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), order).alias("row"))
+    return once.union(rows.select("row.*"))

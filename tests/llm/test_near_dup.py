@@ -77,5 +77,27 @@ def test_edges(spark):
     kept = keep_one_of_each(frame(spark, rows), 4, 80)
     assert kept.columns == frame(spark, []).columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 6, 7, 8, 9] and ids.count(None) == 2
+    assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 6, 7, 8, 8, 9] and ids.count(None) == 2
     assert near_duplicates(frame(spark, []), 4, 80).count() == 0
+
+
+def test_clashing_ids_keep_every_unrelated_text(spark):
+    rng = random.Random(6)
+    texts = [sentence(rng, 90) for _ in range(6)]
+    rows = [
+        (5, texts[0]), (5, texts[1]), (5, texts[1] + " x"),  # the last two are near copies
+        (7, texts[2]), (7, texts[3]), (7, texts[3]),  # a repeated row
+        (8, texts[0] + " y"),  # near a text of 5
+        (9, texts[4]), (10, texts[4] + " z"), (11, None), (11, ""), (None, texts[5]), (None, texts[5]),
+    ]
+    runs = []
+    for parts in (1, 4):
+        kept = keep_one_of_each(frame(spark, rows).repartition(parts))
+        assert kept.columns == frame(spark, []).columns
+        runs.append(sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr))
+    assert runs[0] == runs[1]
+    groups = [{texts[0], texts[0] + " y"}, {texts[1], texts[1] + " x"}, {texts[2]}, {texts[3]}, {texts[4], texts[4] + " z"}]
+    for group in groups:
+        assert sum(t in group for _, t in runs[0]) == 1, group
+    assert (9, texts[4]) in runs[0] and [t for i, t in runs[0] if i is None] == [texts[5]] * 2
+    assert sum(i == 11 for i, _ in runs[0]) == 1  # null and empty are one text

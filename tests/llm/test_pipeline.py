@@ -1,6 +1,8 @@
+import random
+
 import corpus_pipeline
 from daybridge.llm.graph import stored
-from tests.llm.helpers import SF
+from tests.llm.helpers import SF, edge_rows, frame, sentence
 
 
 def test_stages(spark):
@@ -26,3 +28,23 @@ def test_empty_documents(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_edge_rows_pass_all_stages(spark):
+    """Nulls, repeated ids and rows, blank and very long texts, columns that operators use themselves."""
+    docs = frame(spark, edge_rows())
+    columns, before = docs.columns, len(edge_rows())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), name)
+        assert docs.columns == columns and docs.count() <= before
+        before = docs.count()
+    placed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert placed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_near_duplicates_keep_unrelated_texts_of_one_id(spark):
+    rng = random.Random(3)
+    texts = [sentence(rng, 60) for _ in range(4)]
+    docs = frame(spark, [(5, texts[0]), (5, texts[1]), (7, texts[2]), (7, texts[3])])
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF)
+    assert sorted(r.text for r in kept.collect()) == sorted(texts)
