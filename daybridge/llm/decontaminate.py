@@ -7,9 +7,12 @@ agree in some block up to ``RADIUS // BLOCKS`` bits, so looking up each block's
 values that near yields every item within the radius. What is found is confirmed by the exact
 weighted Jaccard similarity (sum of least over sum of greatest shingle counts).
 
-A pair with similarity 0.8 has a cosine of about 0.89, so that 9.7 of 64 bits differ on average
-with a standard deviation of 2.9; the radius of 19 lies more than three deviations above. Windows
-that share no shingle with any item have similarity 0; their fingerprints are not computed.
+Of distinct shingles, a pair with similarity 0.8 has a cosine of about 0.89, so that 9.7 of 64 bits
+differ on average with a standard deviation of 2.9; the radius of 19 lies more than three deviations
+above. Where a shingle repeats (a copy cut short and filled with one word), the cosine can be lower at
+the same similarity. So the shingles that a window shares with an item are counted too, and windows with as many
+as the threshold needs are confirmed whatever their fingerprint. Windows that share no shingle with any
+item have similarity 0; their fingerprints are not computed.
 """
 
 from __future__ import annotations
@@ -85,7 +88,9 @@ class ItemIndex:
         pairs = np.unique(np.concatenate(found))
         return pairs // len(self.ids), pairs % len(self.ids)
 
-    def hits(self, shingles: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, float]]:
+    def hits(
+        self, shingles: np.ndarray, offsets: np.ndarray, threshold: float = 0.8
+    ) -> list[tuple[int, int, int, int, float]]:
         """(document, item, first word, words, similarity) of the best window of each document and item."""
         at = np.flatnonzero(self.filter[shingles & U64((1 << 22) - 1)])
         place = np.minimum(np.searchsorted(self.known, shingles[at]), len(self.known) - 1)
@@ -107,6 +112,7 @@ class ItemIndex:
             low = np.minimum(low, high)
             starts = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in set(zip(low, high, strict=True))]))
             self._windows(shingles, offsets, starts, int(length), best)
+            self._counted(shingles, offsets, starts, int(length), d, item[mine], p, threshold, best)
         return [(d, i, s, w, sim) for (d, i), (sim, s, w) in best.items()]
 
     def _windows(self, shingles, offsets, starts, length, best) -> None:
@@ -129,15 +135,38 @@ class ItemIndex:
         wanted = self.words[item] - self.size + 1 == length
         for i in np.unique(item[wanted]):
             w = window[wanted & (item == i)]
-            counts = Counter(self.shingles[i].tolist())
-            for k in w.tolist():
-                s, e, d = int(starts[k]), int(ends[k]), int(doc[k])
-                mine = Counter(shingles[s:e].tolist())
-                common = sum(min(c, counts[h]) for h, c in mine.items() if h in counts)
-                sim = common / (e - s + length - common)
-                key = (d, int(i))
-                if key not in best or sim > best[key][0]:
-                    best[key] = (sim, s - int(offsets[d]), e - s + self.size - 1)
+            self._confirm(shingles, offsets, starts[w], ends[w], doc[w], int(i), length, best)
+
+    def _confirm(self, shingles, offsets, starts, ends, doc, i, length, best) -> None:
+        """Exact similarity of windows to an item; the most similar, then first, window of each document stays."""
+        counts = Counter(self.shingles[i].tolist())
+        for s, e, d in zip(starts.tolist(), ends.tolist(), doc.tolist(), strict=True):
+            mine = Counter(shingles[s:e].tolist())
+            common = sum(min(c, counts[h]) for h, c in mine.items() if h in counts)
+            sim, key = common / (e - s + length - common), (d, i)
+            if key not in best or (sim, -(s - int(offsets[d]))) > (best[key][0], -best[key][1]):
+                best[key] = (sim, s - int(offsets[d]), e - s + self.size - 1)
+
+    def _counted(self, shingles, offsets, starts, length, doc, item, place, threshold, best) -> None:
+        """Confirm every window that shares as many shingles with an item as the threshold needs.
+
+        At most as many shingles are common as there are positions of the window whose shingle the item has. ``doc``, ``item`` and
+        ``place`` list these positions.
+        """
+        order = np.lexsort((place, item, doc))
+        doc, item, place = doc[order], item[order], place[order]
+        head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
+        tail = np.r_[head[1:], len(doc)]
+        room = np.minimum(offsets[doc[head] + 1] - offsets[doc[head]], length)
+        share = threshold / (1 + threshold)
+        for k in np.flatnonzero(tail - head >= np.floor(share * (room + length))):
+            d, i, at = int(doc[head[k]]), int(item[head[k]]), place[head[k] : tail[k]]
+            own = starts[np.searchsorted(starts, offsets[d]) : np.searchsorted(starts, offsets[d + 1])]
+            ends = np.minimum(own + length, offsets[d + 1])
+            shared = np.searchsorted(at, ends) - np.searchsorted(at, own)
+            some = shared >= np.floor(share * (ends - own + length))
+            if some.any():
+                self._confirm(shingles, offsets, own[some], ends[some], np.full(int(some.sum()), d), i, length, best)
 
 
 def item_blocks(spark: SparkSession, items: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[list]:
@@ -166,7 +195,7 @@ def _run_hits(texts: pa.Array, indexes: list[ItemIndex], threshold: float) -> li
     found = []
     for index in indexes:
         shingles, off = shingle_hashes(hashes, words.offsets, index.size)
-        for d, i, first, n, sim in index.hits(shingles, off):
+        for d, i, first, n, sim in index.hits(shingles, off, threshold):
             if sim >= threshold:
                 found.append((d, int(index.ids[i]), first, n, sim))
     return sorted(found)

@@ -74,3 +74,31 @@ def test_empty_tables(spark):
     assert benchmark_hits(docs, none).count() == 0
     assert benchmark_hits(frame(spark, []), items_frame(spark, [(1, "a b c")])).count() == 0
     assert remove_contaminated(docs, none).count() == docs.count()
+
+
+def test_long_items_cut_short_and_filled_are_all_found(spark):
+    """Fingerprints of a window with a run of one word lie outside the radius at similarity 0.8 and above."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for j, n in enumerate([60, 200, 200, 400, 800] * 6):
+        w = [f"w{rng.randint(0, 3000)}" for _ in range(n)]
+        items.append((j, " ".join(w)))
+        cut = int(n * rng.choice([0.09, 0.10, 0.105, 0.11, 0.13]))
+        kind = rng.choice(["filled", "edited", "repeated"])
+        if kind == "filled":
+            w[n - cut :] = ["filler"] * cut
+        elif kind == "repeated":
+            w[n - cut :] = w[: cut // 2] * 3
+        else:
+            for _ in range(max(1, n // 60)):
+                w[rng.randrange(n)] = "edited"
+        around = [f"x{rng.randint(0, 3000)}" for _ in range(30)]
+        docs.append((j, " ".join(around + w + ["filler"] * rng.choice([0, 40]) + around)))
+    got = {(r.doc_id, r.item_id) for r in benchmark_hits(frame(spark, docs), items_frame(spark, items)).collect()}
+    expected = brute_near(docs, items)
+    assert got == expected and len(expected) > 15
+
+
+def brute_near(docs, items):
+    """brute, for pairs of equal number alone: the others share no words."""
+    return {pair for d, i in zip(docs, items) for pair in brute([d], [i])}
