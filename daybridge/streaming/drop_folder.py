@@ -6,15 +6,16 @@ processed (in the checkpoint location); each micro-batch is handed to the same
 what is there and stops, which suits a scheduled run.
 
 The files of a day may come in several micro-batches. The typed rows of each
-micro-batch are therefore staged, under its number, below the checkpoint
-location; the days it touches are then loaded from all rows staged for them.
-A micro-batch that is replayed after a failure replaces its own staged rows, so
-that every row is in the table once.
+micro-batch are therefore staged below the checkpoint location, in a folder per
+day and under it one per micro-batch; the days it touches are then loaded from
+all rows staged for them, and no other day's folder is read. A micro-batch that
+is replayed after a failure replaces its own staged rows, so that every row is
+in the table once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +26,7 @@ from daybridge.plans.daily import load_day
 from daybridge.plans.flight_load import IngestConfig, with_utc
 from daybridge.sources.json_source import prune_schema
 
-_BATCH = "_db_batch"
+_BATCH, _DAY = "_db_batch", "_db_day"
 
 
 def watch_folder(
@@ -60,13 +61,18 @@ def watch_folder(
         typed = project_typed(flatten(batch, outer=config.read.outer, on_map=config.read.on_map), config.specs,
                               on_error=config.read.on_error)
         rows = with_utc(typed, config, zones)
-        rows.write.mode("overwrite").parquet(f"{staged}/{_BATCH}={number}")
-        mine = session.read.schema(rows.schema).parquet(f"{staged}/{_BATCH}={number}")
-        days = mine.select(pcol).distinct()
-        everything = session.read.schema(rows.schema).parquet(staged).select(*rows.columns)
-        # a row per day of this micro-batch; null days are left for load_day to refuse
-        touched = everything.join(F.broadcast(days.withColumnRenamed(pcol, "_db_day")),
-                                  F.col(pcol).eqNullSafe(F.col("_db_day"))).drop("_db_day")
+        seen, day = Observation(f"days-{number}"), F.col(f"`{pcol}`")
+        noted = rows.observe(seen, F.collect_set(day).alias("days"), F.count_if(day.isNull()).alias("undated"))
+        noted = noted.withColumns({_DAY: day, _BATCH: F.lit(number)})
+        # Only the folders (day, this micro-batch) are replaced; the days are noted by the writing tasks.
+        writer = noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(_DAY, _BATCH).parquet(staged)
+        if seen.get["undated"]:
+            raise ValueError(f"batch has rows with a null {pcol!r}")
+        folders = [f"{staged}/{_DAY}={d}" for d in sorted(seen.get["days"])]
+        if not folders:
+            return
+        touched = session.read.schema(rows.schema).parquet(*folders).select(*rows.columns)
         load_day(
             touched,
             config.output_table,

@@ -137,10 +137,32 @@ def test_a_day_in_two_micro_batches_and_a_restart(spark: SparkSession, tmp_path)
     assert run() == key(DAY1 + DAY2 + late)
     last = spark.read.table(table).where("Reporting_Airline = 'DL'").first()
     assert (last.Airline_next, last.diff_next) == ("B6", 45 * 60)  # the old day keeps its tail
+    staged = sorted(str(p.relative_to(tmp_path / "ckpt" / "daybridge-rows")) for p in (tmp_path / "ckpt" / "daybridge-rows").glob("*/*"))
+    days = [f"_db_day=2023-01-0{d}/_db_batch={b}" for d, b in ((1, 0), (1, 1), (1, 3), (2, 2))]
+    assert [s for s in staged if "=" in s] == days  # a folder per day, under it one per micro-batch
     with pytest.raises(ValueError, match="checkpoint_location"):
         watch_folder(spark, str(folder), schema, config, zones, checkpoint_location="")
 
 
+def test_a_micro_batch_reads_the_days_it_touches_alone(spark: SparkSession, tmp_path):
+    table, config_path, zones_path = _setup(tmp_path)
+    config = IngestConfig.from_file(config_path)
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    _write_lines(folder / "a.json", DAY1)
+    schema = spark.read.json(str(folder)).schema
+    zones = spark.read.option("header", "true").csv(str(zones_path))
+    run = lambda: watch_folder(
+        spark, str(folder), schema, config, zones, checkpoint_location=str(tmp_path / "ckpt")
+    ).awaitTermination(120)
+    run()
+    for part in (tmp_path / "ckpt" / "daybridge-rows").glob("_db_day=2023-01-01/*/part-*"):
+        part.write_bytes(b"not to be read")
+    _write_lines(folder / "b.json", DAY2)
+    run()
+    assert spark.read.table(table).count() == len(DAY1) + len(DAY2)
+
+
 def test_bulk_job_equals_daily_job(spark, tmp_path):
     table, config, zones = _setup(tmp_path)
     d1, d2 = tmp_path / "d1.json", tmp_path / "d2.json"
