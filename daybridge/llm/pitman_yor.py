@@ -3,24 +3,26 @@
 A text is the sequence of its words (lower-cased A-Z), then one end. The outcomes are the words met
 in training, the end, and one outcome for all other words, as in the add-one base distribution.
 
-Restaurants. The context of a token is the word before it: short words, which are the function
-words of a language, have classes of their own, longer ones are classed by their last sign. A class
-(or the start of a text) is a restaurant; its parent gathers all classes of a kind (short word,
-letter, sign, start); the parent of the kinds is the restaurant without context, whose base
-distribution is diffuse, so that its new dishes are the unmet words. A customer is a token and a
-dish its word; a customer who opens a table sends a customer to the parent. Seating is sampled by
-Gibbs sweeps: all customers of a dish in a restaurant get up and sit down again one by one by the
-Chinese-restaurant rule, the other dishes' seats held. The rule is run from opening to opening:
-with n tables and i guests, the number of guests until the next opening is geometric with a
-Beta(strength, i - discount * n) probability, as in Polya's urn, so that a dish with a billion
-customers takes as many steps as it has tables. Predictive probabilities are averaged over sweeps.
+Restaurants. The context of a token is the word before it: its class, and 128 hash values of the whole
+word within the class. Short words, which are the function words of a language, have classes of their
+own, longer ones are classed by their last sign. A context is a restaurant; its parent gathers the
+contexts of a class, the next one all classes of a kind (short word, letter, sign, start); the parent of
+the kinds is the restaurant without context, whose base distribution is diffuse, so that its new
+dishes are the unmet words. A customer is a token and a dish its word; a customer who opens a table sends a
+customer to the parent. Seating is sampled by Gibbs sweeps: all customers of a dish in a restaurant get
+up and sit down again one by one by the Chinese-restaurant rule, the other dishes' seats held. The rule
+is run from opening to opening: with n tables and i guests, the number of guests until the next opening
+is geometric with a Beta(strength, i - discount * n) probability, as in Polya's urn, so that a dish with
+a billion customers takes as many steps as it has tables. Predictive probabilities are averaged over
+the states after the last sweeps; the first ones are not counted.
 
 Plan on the cluster. The texts are dealt into blocks by a hash. Each block sends its distinct
 (word, context) pairs with their counts, cut into buckets by word hash, as compact arrays: a word
-met a billion times is one entry per block. A bucket holds all contexts of its words and samples
-their seats; the number of tables of each context, 261 sums over all buckets, is exchanged between
-rounds. Then each bucket answers every block with the values of the pairs it asked for, and the
-blocks add up their documents. Words are told apart by 55 bits of a hash.
+met a billion times is one entry per block and context. A bucket holds all contexts of its words and samples
+their seats; the tables and guests of the restaurants, 66,000 sums over all buckets, are exchanged after
+every sweep. A bucket's seats follow from its counts, the sums so far and a fixed seed, so they are sampled
+again and not stored, and a state's probabilities add up to one over the words. Then each bucket answers every block with the values of the pairs it asked for, and the
+blocks add up their documents. Words are told apart by 48 bits of a hash.
 """
 
 from __future__ import annotations
@@ -37,13 +39,14 @@ from daybridge.llm.graph import stored
 from daybridge.llm.text import U64, column, mix, runs
 
 END, GAP = 10, 32  # symbols: after a text, between two words
-START = 256  # context of a text's first token; 0-127 are last signs, 128-255 short words
+START = 256  # class of a text's first token; 0-127 are last signs, 128-255 short words
 SHORT = 3  # bytes of a short word
-CONTEXT_BITS = 9
-DISCOUNTS = (0.75, 0.6, 0.5)  # restaurant without context, kinds, classes
+CONTEXT_BITS, WITHIN_BITS = 16, 7  # of a key; of those, the word's hash within its class
+# Restaurant without context, kinds, classes, contexts; chosen by held-out perplexity on the sample tables.
+DISCOUNTS = (0.8, 0.75, 0.8, 0.9)
 STRENGTH = 1.0
-#: Rounds in which only table totals are exchanged, sweeps of such a round, and averaged sweeps.
-ROUNDS, SWEEPS, SAMPLES = 2, 1, 3
+#: Sweeps of all restaurants, after each of which sums are exchanged, and how many of the last states are averaged.
+ROUNDS, SAMPLES = 4, 3
 BLOCK_BYTES, RUN_BYTES = 16 << 20, 1 << 20
 BUCKET_BYTES = 20 << 20  # text bytes for which there is one bucket more
 
@@ -58,11 +61,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
-_CONTEXTS = START + 1
+_CLASSES = START + 1
+_CONTEXTS = _CLASSES << WITHIN_BITS
 _LAST_SIGN = np.array([b if b < 128 else b & 31 for b in range(256)])
-#: Kind of each context: letter, sign, short word, start.
-_KIND = np.array([0 if c < 32 or chr(c).isalnum() else 1 if c < 128 else 2 if c < START else 3 for c in range(_CONTEXTS)])
+#: Class of each context, and kind of each class: letter, sign, short word, start.
+_CLASS = np.arange(_CONTEXTS) >> WITHIN_BITS
+_KIND = np.array([0 if c < 32 or chr(c).isalnum() else 1 if c < 128 else 2 if c < START else 3 for c in range(_CLASSES)])
 _KINDS = 4
+#: Where the sums of all buckets lie: tables of contexts, classes and kinds, met words, customers of contexts.
+_SLOTS = np.cumsum([0, _CONTEXTS, _CLASSES, _KINDS, 1, _CONTEXTS])
 
 
 # --- tokens of a run of texts --------------------------------------------------------------------
@@ -109,13 +116,14 @@ def tokens(stream: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     word = mix((total[stop] - total[start]) * back[start])
     short = stop - start <= SHORT
     group = np.where(short, 128 + (word >> U64(57)).astype(np.int64), _LAST_SIGN[stream[stop - 1]])
+    group = (group << WITHIN_BITS) | ((word >> U64(57 - WITHIN_BITS)).astype(np.int64) & ((1 << WITHIN_BITS) - 1))
     words_to = np.zeros(n + 1, dtype=np.int64)
     words_to[stop + 1] = 1
     np.cumsum(words_to, out=words_to)
     count = np.diff(words_to[offsets])
     out = np.r_[0, np.cumsum(count + 1)]
     keys = np.full(out[-1], mix(np.array([END], dtype=U64))[0])
-    context = np.full(out[-1], START, dtype=np.int64)
+    context = np.full(out[-1], START << WITHIN_BITS, dtype=np.int64)
     is_word = np.ones(out[-1], dtype=bool)
     is_word[out[1:] - 1] = False
     keys[is_word] = word
@@ -146,6 +154,10 @@ def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
     return b"".join(x.tobytes() for x in parts)
 
 
+def _digest(keys: np.ndarray) -> bytes:
+    return np.bitwise_xor.reduce(mix(keys)).astype("<u8").tobytes()
+
+
 def unpacked(blob: memoryview) -> tuple[np.ndarray, np.ndarray]:
     m, n = (int(x) for x in np.frombuffer(blob, dtype="<i8", count=2))
     at = 16
@@ -188,70 +200,81 @@ def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.r
 
 
 class Seats:
-    """The restaurants of one bucket's words, with the table totals of all buckets."""
+    """The restaurants of one bucket's words, with the sums of all buckets.
+
+    ``at[0]`` holds a row per (word, context), ``at[1]`` per (word, class), ``at[2]`` per (word, kind): the ``where`` of a row is its
+    restaurant, ``up`` its row in the next level (the word, in the end).
+    """
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, totals: np.ndarray | None, seed: int):
         self.rng = np.random.default_rng([17, seed])
-        self.context = _context(keys)
-        self.customers = counts
         first = _first_of_word(keys)
-        self.word = np.cumsum(first) - 1
-        self.count = np.bincount(self.word, counts, minlength=int(first.sum())).astype(np.int64)
-        pair, self.pair = np.unique(self.word * _KINDS + _KIND[self.context], return_inverse=True)
-        self.pair_word, self.pair_kind = pair // _KINDS, pair % _KINDS
-        self.totals = totals
-        self.tables = (counts > 0).astype(np.int64)
-        self._send()
-        self.pair_tables = (self.pair_customers > 0).astype(np.int64)
-
-    def _send(self) -> None:
-        self.pair_customers = np.bincount(self.pair, self.tables, minlength=len(self.pair_word)).astype(np.int64)
+        word = np.cumsum(first) - 1
+        context = _context(keys)
+        self.count = np.bincount(word, counts, minlength=int(first.sum())).astype(np.int64)
+        self.where, self.up, owner, place = [context], [], word, context
+        for size, parent in ((_CLASSES, _CLASS), (_KINDS, _KIND)):
+            pair, up = np.unique(owner * size + parent[place], return_inverse=True)
+            owner, place = pair // size, pair % size
+            self.where.append(place)
+            self.up.append(up)
+        self.up.append(owner)
+        self.word, self.customers, self.totals = word, [counts], totals
+        self.tables = []
+        for level in range(3):  # one table for each dish
+            self.tables.append((self.customers[level] > 0).astype(np.int64))
+            if level < 2:
+                self._send(level, fresh=True)
+
+    def _send(self, level: int, fresh: bool = False) -> None:
+        """The customers that a level's tables send to the next."""
+        sent = np.bincount(self.up[level], self.tables[level], minlength=len(self.where[level + 1])).astype(np.int64)
+        if fresh:
+            self.customers.append(sent)
+        else:
+            self.customers[level + 1] = sent
 
     def sums(self) -> np.ndarray:
-        """Tables by class, then by kind, then met words, tokens by class: what the other buckets need."""
-        return np.concatenate(
-            [
-                np.bincount(self.context, self.tables, minlength=_CONTEXTS),
-                np.bincount(self.pair_kind, self.pair_tables, minlength=_KINDS),
-                [(self.count > 0).sum()],
-                np.bincount(self.context, self.customers, minlength=_CONTEXTS),
-            ]
-        ).astype(np.int64)
-
-    def _split(self) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
-        t = self.totals
-        return t[:_CONTEXTS], t[_CONTEXTS : _CONTEXTS + _KINDS], int(t[_CONTEXTS + _KINDS]), t[_CONTEXTS + _KINDS + 1 :]
+        """What the other buckets need, in the order of ``_SLOTS``."""
+        sizes = (_CONTEXTS, _CLASSES, _KINDS)
+        tables = [np.bincount(self.where[k], self.tables[k], minlength=sizes[k]) for k in range(3)]
+        guests = np.bincount(self.where[0], self.customers[0], minlength=_CONTEXTS)
+        return np.concatenate([*tables, [(self.count > 0).sum()], guests]).astype(np.int64)
+
+    def _split(self) -> tuple[list[np.ndarray], int, list[np.ndarray]]:
+        """Tables by restaurant of each level, met words, and guests by restaurant of each level."""
+        contexts, classes, kinds, met, guests = (self.totals[a:b] for a, b in zip(_SLOTS[:-1], _SLOTS[1:], strict=True))
+        of_class = np.bincount(_CLASS, contexts, minlength=_CLASSES)
+        return [contexts, classes, kinds], int(met[0]), [guests, of_class, np.bincount(_KIND, classes, minlength=_KINDS)]
 
     def of_words(self) -> np.ndarray:
         """Restaurant without context: a met word has one table, a new table is an unmet word."""
-        _, kinds, met, _ = self._split()
-        guests = np.bincount(self.pair_word, self.pair_tables, minlength=len(self.count))
+        (_, _, kinds), met, _ = self._split()
+        guests = np.bincount(self.up[2], self.tables[2], minlength=len(self.count))
         unmet = STRENGTH + DISCOUNTS[0] * met
         return np.where(guests > 0, guests - DISCOUNTS[0], unmet) / (STRENGTH + kinds.sum())
 
-    def of_kinds(self) -> np.ndarray:
-        classes, kinds, _, _ = self._split()
-        guests = np.bincount(_KIND, classes, minlength=_KINDS)
-        rest = (STRENGTH + DISCOUNTS[1] * kinds[self.pair_kind]) * self.of_words()[self.pair_word]
-        own = self.pair_customers - DISCOUNTS[1] * self.pair_tables
-        return (own + rest) / (STRENGTH + guests[self.pair_kind])
+    def of_level(self, level: int) -> np.ndarray:
+        """Probability of each row's word in its restaurant: 0 contexts, 1 classes, 2 kinds."""
+        tables, _, guests = self._split()
+        parent = (self.of_level(level + 1) if level < 2 else self.of_words())[self.up[level]]
+        where, discount = self.where[level], DISCOUNTS[3 - level]
+        own = self.customers[level] - discount * self.tables[level]
+        return (own + (STRENGTH + discount * tables[level][where]) * parent) / (STRENGTH + guests[level][where])
 
-    def of_classes(self) -> np.ndarray:
-        classes, _, _, guests = self._split()
-        rest = (STRENGTH + DISCOUNTS[2] * classes[self.context]) * self.of_kinds()[self.pair]
-        own = self.customers - DISCOUNTS[2] * self.tables
-        return (own + rest) / (STRENGTH + guests[self.context])
+    def of_contexts(self) -> np.ndarray:
+        return self.of_level(0)
 
     def sweep(self) -> None:
-        classes, kinds, _, _ = self._split()
-        parent = self.of_kinds()[self.pair]
-        others = STRENGTH + DISCOUNTS[2] * np.maximum(classes[self.context] - self.tables, 0)
-        self.tables = seat(self.customers, np.stack([others * parent, DISCOUNTS[2] * parent]), DISCOUNTS[2], self.rng)
-        self._send()
-        parent = self.of_words()[self.pair_word]
-        others = STRENGTH + DISCOUNTS[1] * np.maximum(kinds[self.pair_kind] - self.pair_tables, 0)
-        strength = np.stack([others * parent, DISCOUNTS[1] * parent])
-        self.pair_tables = seat(self.pair_customers, strength, DISCOUNTS[1], self.rng)
+        totals, _, _ = self._split()
+        for level in range(3):
+            parent = (self.of_level(level + 1) if level < 2 else self.of_words())[self.up[level]]
+            discount = DISCOUNTS[3 - level]
+            others = STRENGTH + discount * np.maximum(totals[level][self.where[level]] - self.tables[level], 0)
+            weight = np.stack([others * parent, discount * parent])
+            self.tables[level] = seat(self.customers[level], weight, discount, self.rng)
+            if level < 2:
+                self._send(level)
 
 
 # --- tables --------------------------------------------------------------------------------------
@@ -291,8 +314,8 @@ def _state_row(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     )
 
 
-def _buckets(batches: Iterator[pa.RecordBatch], totals: np.ndarray | None):
-    """(bucket, blocks, key arrays, place of each key in the bucket, seats) of every row."""
+def _buckets(batches: Iterator[pa.RecordBatch]):
+    """(bucket, blocks, key arrays, place of each key in the bucket, first seats) of every row."""
     for batch in batches:
         for row in range(batch.num_rows):
             bucket, blocks, asked = (batch.column(i)[row] for i in range(3))
@@ -300,33 +323,43 @@ def _buckets(batches: Iterator[pa.RecordBatch], totals: np.ndarray | None):
             keys = [k for k, _ in pairs]
             distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
             counts = np.bincount(at, np.concatenate([c for _, c in pairs]), minlength=len(distinct)).astype(np.int64)
-            yield bucket.as_py(), blocks.as_py(), keys, at, Seats(distinct, counts, totals, bucket.as_py())
+            yield bucket.as_py(), blocks.as_py(), keys, at, Seats(distinct, counts, None, bucket.as_py())
 
 
-def _sum_rows(totals):
+def _sum_rows(history: list[np.ndarray]):
+    """Sums of the state after one more sweep than ``history`` has states."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, _, seats in _buckets(batches, totals):
-            for _ in range(SWEEPS if totals is not None else 0):
+        sums = np.zeros(_SLOTS[-1], dtype=np.int64)
+        for _, _, _, _, seats in _buckets(batches):
+            for totals in history:
+                seats.totals = totals
                 seats.sweep()
-            sums = seats.sums()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], names=["slot", "n"])
+            sums += seats.sums()
+        slot = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(sums[slot])], names=["slot", "n"])
 
     return work
 
 
-def _answer_rows(totals):
+def _answer_rows(history: list[np.ndarray]):
+    """Averaged probabilities of the last states, each with the sums of that very state."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, blocks, keys, at, seats in _buckets(batches, totals):
-            mean = np.zeros(len(seats.context))
-            for _ in range(SAMPLES):
-                seats.sweep()
-                mean += seats.of_classes()
+        for bucket, blocks, keys, at, seats in _buckets(batches):
+            mean = np.zeros(len(seats.word))
+            for state, totals in enumerate(history):
+                if state:
+                    seats.sweep()
+                seats.totals = totals
+                if state >= len(history) - SAMPLES:
+                    mean += seats.of_contexts()
             log_p, end, blobs = np.log10(mean / SAMPLES).astype("<f4"), 0, []
             for k in keys:
                 place = at[end : end + len(k)]
                 end += len(k)
                 count = seats.count[seats.word[place[_first_of_word(k)]]].astype("<i8")
-                blobs.append(log_p[place].tobytes() + count.tobytes())
+                blobs.append(log_p[place].tobytes() + count.tobytes() + _digest(k))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(blocks, pa.int64()), pa.array([bucket] * len(blocks), pa.int32()), pa.array(blobs, pa.binary())],
                 names=["block", "bucket", "answer"],
@@ -355,8 +388,11 @@ def _scores(buckets: int):
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             blob = blob_of[int(bucket[a])].as_buffer()
+            words = int(first[a:b].sum())
+            if len(blob) != 4 * (b - a) + 8 * words + 8 or bytes(blob[-8:]) != _digest(asked[a:b]):
+                raise RuntimeError("the texts are not those that were learnt from: their source changed meanwhile")
             log_p[a:b] = np.frombuffer(blob, dtype="<f4", count=b - a)
-            per_word.append(np.frombuffer(blob, dtype="<i8", offset=4 * (b - a)))
+            per_word.append(np.frombuffer(blob, dtype="<i8", offset=4 * (b - a), count=words))
         count = np.concatenate(per_word)[np.cumsum(first) - 1]
         out = []
         for run, distinct, at, off in done:
@@ -396,17 +432,20 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
+    )
+    # Dealt by place, not by content: rows alike, or without id, go to all blocks.
+    texts = texts.withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)))
     asked = texts.groupBy("block").applyInArrow(_asked_rows(buckets), ASKED_SCHEMA)
     state = stored(asked.groupBy("bucket").applyInArrow(_state_row, STATE_SCHEMA), "restaurants")
-    totals = None
-    for _ in range(1 + ROUNDS):  # the first pass counts one table for each dish
-        sums = state.mapInArrow(_sum_rows(totals), "slot long, n long").groupBy("slot").agg(F.sum("n")).collect()
-        totals = np.zeros(2 * _CONTEXTS + _KINDS + 1, dtype=np.int64)
-        for slot, n in sums:  # a number for each context
+    history: list[np.ndarray] = []
+    for _ in range(1 + ROUNDS):  # the first state has one table for each dish
+        sums = state.mapInArrow(_sum_rows(history), "slot long, n long").groupBy("slot").agg(F.sum("n")).collect()
+        totals = np.zeros(_SLOTS[-1], dtype=np.int64)
+        for slot, n in sums:  # a number or two for each restaurant
             totals[slot] = n
-    known, learnt = int(totals[_CONTEXTS + _KINDS]), int(totals[_CONTEXTS + _KINDS + 1 :].sum())
-    answers = state.mapInArrow(_answer_rows(totals), ANSWER_SCHEMA)
+        history.append(totals)
+    known, learnt = int(totals[_SLOTS[3]]), int(totals[_SLOTS[4] :].sum())
+    answers = state.mapInArrow(_answer_rows(history), ANSWER_SCHEMA)
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(buckets), SCORE_SCHEMA)
     base = F.col("log_counts") - F.col("n_tokens") * F.log10(F.lit(float(learnt + known + 1)))
     return scored.select(

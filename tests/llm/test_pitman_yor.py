@@ -21,7 +21,7 @@ def test_symbols_and_tokens():
     assert np.diff(to).tolist() == [len(words(t)) + 1 for t in texts]
     word = (keys >> U64(P.CONTEXT_BITS)).tolist()
     assert word[to[5]] == word[to[5] + 1]  # b and B
-    assert (P._context(keys)[to[:-1]] == P.START).all()
+    assert (P._context(keys)[to[:-1]] == P.START << P.WITHIN_BITS).all()
     blob = P.packed(np.unique(keys), np.arange(len(np.unique(keys))))
     back, counts = P.unpacked(memoryview(blob))
     assert (back == np.unique(keys)).all() and counts.tolist() == list(range(len(back)))
@@ -44,26 +44,71 @@ def test_seating_has_the_expected_number_of_tables():
     assert P.seat(np.array([0, 1]), np.zeros((2, 2)), d, rng).tolist() == [0, 1]
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    rng = np.random.default_rng(3)
-    contexts = np.array([97, 98, 200, 256, 33], dtype=U64)
-    vocabulary = (np.arange(1, 41, dtype=U64) << U64(40)) | U64(0)
-    keys = np.sort((vocabulary[:, None] | contexts[None, :]).reshape(-1))
+def _cross(seed):
+    """Every pair of 60 words and six contexts, with counts; some words are unmet."""
+    rng = np.random.default_rng(seed)
+    contexts = np.array([97 << 7, (97 << 7) + 5, 98 << 7, (200 << 7) + 127, 256 << 7, 33 << 7], dtype=U64)
+    vocabulary = np.sort(rng.choice(1 << 40, 60, replace=False).astype(U64)) << U64(24)
+    keys = (vocabulary[:, None] | contexts[None, :]).reshape(-1)
     counts = rng.poisson(1.5, len(keys))
-    counts[rng.random(len(keys)) < 0.3] = 0
+    counts[np.repeat(rng.random(60) < 0.2, len(contexts))] = 0
+    return keys, counts * (rng.random(len(keys)) < 0.7)
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    keys, counts = _cross(3)
     seats = P.Seats(keys, counts, None, 1)
     for _ in range(3):
         seats.totals = seats.sums()
         seats.sweep()
     seats.totals = seats.sums()
-    p, met = seats.of_classes(), seats.count[seats.word] > 0
-    unmet = 1 - np.array([p[(seats.context == c) & met].sum() for c in contexts])
-    assert (unmet > 0).all()
-    missing = np.setdiff1d(vocabulary >> U64(9), (vocabulary >> U64(9))[seats.count > 0])
-    for c, rest in zip(contexts, unmet):  # every unmet word has the probability of the one unmet outcome
-        for k in np.flatnonzero((seats.context == c) & ~met):
-            assert abs(p[k] - rest) < 1e-9
-    assert len(missing) == (seats.count == 0).sum()
+    p, met, context = seats.of_contexts(), seats.count[seats.word] > 0, P._context(keys)
+    for c in np.unique(context):
+        rest = 1 - p[(context == c) & met].sum()
+        assert rest > 0  # every unmet word has the probability of the one unmet outcome
+        assert np.abs(p[(context == c) & ~met] - rest).max() < 1e-9
+
+
+def test_answers_of_several_buckets_sum_to_one_and_follow_the_seats():
+    """The exchange between buckets, as the query runs it: sums of all, then averaged answers."""
+    keys, counts = _cross(5)
+    bucket = P._bucket(keys, 3)
+    rows = [
+        pa.RecordBatch.from_arrays(
+            [
+                pa.array([b], pa.int32()),
+                pa.array([[0, 1]], pa.list_(pa.int64())),
+                pa.array([[P.packed(keys[bucket == b], counts[bucket == b]), P.packed(keys[bucket == b], 0 * counts[bucket == b])]], pa.list_(pa.binary())),
+            ],
+            names=["bucket", "blocks", "asked"],
+        )
+        for b in np.unique(bucket)
+    ]
+    history = []
+    for _ in range(1 + P.ROUNDS):
+        totals = np.zeros(P._SLOTS[-1], dtype=np.int64)
+        for row in rows:  # a task for each bucket
+            for out in P._sum_rows(history)(iter([row])):
+                totals[out.column(0).to_numpy()] += out.column(1).to_numpy()
+        history.append(totals)
+    assert any((a != b).any() for a, b in zip(history, history[1:]))
+    assert totals[P._SLOTS[4] :].sum() == counts.sum()
+    word = keys >> U64(P.CONTEXT_BITS)
+    met_words = {int(w) for w in word[counts > 0]}
+    assert totals[P._SLOTS[3]] == len(met_words)
+    p = np.empty(len(keys))
+    for out in P._answer_rows(history)(iter(rows)):
+        for b, blob, block in zip(out.column(1).to_pylist(), out.column(2).to_pylist(), out.column(0).to_pylist()):
+            mine = bucket == b
+            assert blob[-8:] == P._digest(keys[mine])
+            p[mine] = 10.0 ** np.frombuffer(blob, dtype="<f4", count=int(mine.sum()))
+            known = np.frombuffer(blob, dtype="<i8", offset=4 * int(mine.sum()), count=len(np.unique(word[mine])))
+            assert known.sum() == counts[mine].sum()
+    context, met = P._context(keys), np.isin(word, list(met_words))
+    for c in np.unique(context):
+        own = context == c
+        assert abs(p[own & met].sum() + p[own & ~met].mean() - 1) < 1e-5  # answers are 32-bit floats
+        assert np.corrcoef(np.log(p[own & met]), np.log(counts[own & met] + 0.5))[0, 1] > 0.6
 
 
 def test_base_columns_and_held_out_gain(spark):
@@ -82,6 +127,38 @@ def test_base_columns_and_held_out_gain(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_words_are_learnt_as_contexts(spark):
+    """Held-out perplexity far below that of any model of single words, and lower still on what was read."""
+    got = Q.op1_lm_scores(spark, "/root/testdata/sf0.01").toPandas()
+    of = {k: 10 ** (-g.score.sum() / g.n_tokens.sum()) for k, g in got.groupby("held_out")}
+    base = {k: 10 ** (-g.base_score.sum() / g.n_tokens.sum()) for k, g in got.groupby("held_out")}
+    assert of[True] < 950 and of[True] < 0.6 * base[True] and of[False] < 0.5 * of[True]
+
+
+def test_rows_alike_go_to_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_BYTES", 4_000)
+    docs = frame(spark, [(None, "the same text again")] * 2_000 + [(1, "another text")])
+    sizes = {}
+    real = P._asked_rows
+
+    def seen(buckets):
+        work = real(buckets)
+
+        def counted(key, table):
+            out = work(key, table)
+            return out.set_column(1, "bucket", pa.array([table.num_rows] * out.num_rows, pa.int32()))
+
+        return counted
+
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    blocks = -(-size // P.BLOCK_BYTES)
+    dealt = docs.withColumn("held_out", F.lit(False)).withColumn("block", F.pmod(F.monotonically_increasing_id(), F.lit(blocks)))
+    for r in dealt.groupBy("block").applyInArrow(seen(4), P.ASKED_SCHEMA).collect():
+        sizes[r.block] = r.bucket
+    assert len(sizes) == blocks and max(sizes.values()) < 2 * 2_001 / blocks
+    assert P.score_texts(docs, F.lit(False)).select("score").distinct().count() == 2
+
+
 def test_edges(spark):
     rows = edge_rows()
     got = P.score_texts(frame(spark, rows), F.col("doc_id") == 5).collect()
