@@ -30,9 +30,18 @@ def test_next_event_is_one_exchange_and_prunes_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
-def test_split_path_reads_dealt_rows_and_broadcasts_hot_keys(spark):
+def test_sketched_split_is_one_exchange(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id", "ts", "event_type")
-    plan = _plan(add_next_event(ev, "event_type", "ts", {"u": "user_id"}, ["event_id"], strategy="split", segment_rows=50))
+    plan = _plan(add_next_event(ev, "event_type", "ts", {"u": "user_id"}, ["event_id"], strategy="split", segment_rows=200))
+    # one exchange by (key, segment) feeds the window; the segments' first times come by broadcast
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and "_db_seg" in plan
+    assert plan.count("BroadcastExchange") == 1 and "Exchange rangepartitioning" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_split_by_ranges_reads_dealt_rows_and_broadcasts_hot_keys(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "user_id", "ts", "event_type", "value")
+    plan = _plan(add_next_event(ev, "event_type", "value", {"u": "user_id"}, ["event_id"], strategy="split", segment_rows=50))
     main = [line for line in plan.splitlines() if "hashpartitioning(event_type" in line and "_db_seg" in line]
     # one exchange by (key, range) feeds the window and the join, one the aggregate of first rows
     assert len(main) == 2
