@@ -48,7 +48,7 @@ STRENGTH = 1.0
 #: Sweeps of all restaurants, after each of which sums are exchanged, and how many of the last states are averaged.
 ROUNDS, SAMPLES = 4, 3
 BLOCK_BYTES, RUN_BYTES = 16 << 20, 1 << 20
-BUCKET_BYTES = 20 << 20  # text bytes for which there is one bucket more
+BUCKET_BYTES = 6 << 20  # text bytes for which there is one bucket more
 
 ASKED_SCHEMA = "block long, bucket int, asked binary"
 STATE_SCHEMA = "bucket int, blocks array<long>, asked array<binary>"
