@@ -27,7 +27,9 @@ Two physical shapes, same result:
   per hot key and range. Other keys take the plain window.
 
 ``auto`` (default) and ``split`` first count rows per key (an aggregate over the
-key columns with map-side combine). Without a hot key both are the plain window;
+key columns with map-side combine). Where the hot keys hold more than
+``MAX_SEGMENTS * segment_rows`` rows, the segments grow instead of their number, so
+that what the driver gets (samples of the ranges, first times) does not grow with the input. Without a hot key both are the plain window;
 hot keys and first times are kept in a scratch folder, so that a retried task sees the same.
 """
 
@@ -47,6 +49,9 @@ DEFAULT_SEGMENT_ROWS = 2_000_000
 # The keys of hot rows are broadcast when there are at most this many; there are
 # at most total_rows / segment_rows of them. Beyond, the joins shuffle.
 MAX_BROADCAST_HOT_KEYS = 100_000
+# All hot rows together are cut into about this many segments at most: the driver gets a sample of some 300 rows
+# for every range, and a task for each. A larger segment is sorted by spilling, like any large partition.
+MAX_SEGMENTS = 1_000
 # Ranges are placed by Spark's sample of about 100 rows each; this many more
 # than rows / segment_rows keep the largest near segment_rows.
 RANGE_SLACK = 1.25
@@ -54,6 +59,9 @@ RANGE_SLACK = 1.25
 # The rank error of a sketch of size k is about 2.3 / k ** 0.9; it may be half such a segment at most.
 LONGEST_SKETCH = 65_535
 
+# Steps of a search by halves in the first times of a key.
+_HALVES = [1 << b for b in reversed(range(LONGEST_SKETCH.bit_length()))]
+
 _PAIR = "_db_pair"
 _NEXT = "_db_next"
 _SEG = "_db_seg"
@@ -95,7 +103,8 @@ def add_next_event(
     :param next_time_col: name of the next row's time, default ``<time_col>_next``.
     :param gap_col: whole seconds to the next row (``None`` to skip).
     :param strategy: ``"auto"``, ``"window"`` or ``"split"`` (see module docs).
-    :param segment_rows: rows per time range of a hot key in ``split``.
+    :param segment_rows: rows per time range of a hot key in ``split``; ranges are
+        larger where more than ``MAX_SEGMENTS`` of them would be needed.
 
     Output: the input columns in their order, then the next time, the carried
     columns in ``carry`` order, then the gap.
@@ -121,7 +130,11 @@ def add_next_event(
     if strategy != "window":
         counts = df.groupBy(*[_col(k).alias(f"_db_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n"))
         hot = materialize(counts.where(F.col("_n") > F.lit(segment_rows)), "hot-keys")
-        hot_count, hot_rows, most = hot.agg(F.count(F.lit(1)), F.sum("_n"), F.max("_n")).first()
+        hot_count, hot_rows, most = _sizes(hot)
+        if hot_count and hot_rows > MAX_SEGMENTS * segment_rows:
+            segment_rows = -(-hot_rows // MAX_SEGMENTS)
+            hot = hot.where(F.col("_n") > F.lit(segment_rows))  # the others fit into a segment
+            hot_count, hot_rows, most = _sizes(hot)
     starts = _starts(df, hot, hot_count, most, keys, time_col, segment_rows) if hot is not None and hot_count else None
     if starts is not None:
         linked = _segment_lead(base, starts, keys, ticks(_col(time_col), time_type), order)
@@ -180,6 +193,11 @@ def _same(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right, strict=True)])
 
 
+def _sizes(hot: DataFrame) -> tuple:
+    """Number of hot keys, their rows and the rows of the largest."""
+    return tuple(hot.agg(F.count(F.lit(1)), F.sum("_n"), F.max("_n")).first())
+
+
 def _starts(df, hot, hot_count, most, keys, time_col, segment_rows) -> DataFrame | None:
     """First times of the segments of every hot key, stored; None where times alone cannot cut a key evenly."""
     time = ticks(_col(time_col), df.schema[time_col].dataType)
@@ -215,14 +233,18 @@ def _segment_lead(base, starts, keys, time, order) -> DataFrame:
     named = [F.col(f"_db_k{i}") for i in range(len(keys))]
     kcols = [_col(k) for k in keys]
     met = base.withColumn("_db_time", time).join(F.broadcast(starts), _same(kcols, named), "left")
+    begun = F.aggregate(  # first times up to the row's own, found by halves
+        F.lit(_HALVES),
+        F.lit(0),
+        lambda n, step: n + F.when(F.get("_db_starts", n + step - 1) <= F.col("_db_time"), step).otherwise(0),
+    )
     met = met.withColumn(
         _SEG,
-        F.expr(
-            "CASE WHEN _db_starts IS NULL THEN 0 WHEN _db_time IS NULL THEN size(_db_starts) + 1"
-            " ELSE size(filter(_db_starts, s -> s <= _db_time)) END"
-        ),
+        F.when(F.col("_db_starts").isNull(), 0).when(F.col("_db_time").isNull(), F.size("_db_starts") + 1).otherwise(begun),
+    )
+    first = F.col("_db_starts").isNotNull() & (
+        F.col("_db_time").isNull() | (F.get("_db_starts", F.col(_SEG) - 1) == F.col("_db_time"))
     )
-    first = F.col("_db_starts").isNotNull() & (F.col("_db_time").isNull() | F.array_contains("_db_starts", F.col("_db_time")))
     places = F.when(F.coalesce(first, F.lit(False)), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     placed = met.withColumn("_db_ahead", F.explode(places)).withColumn(_SEG, F.col(_SEG) - F.col("_db_ahead"))
     linked = placed.withColumn(_NEXT, F.lead(_PAIR, 1).over(Window.partitionBy(*kcols, F.col(_SEG)).orderBy(*order)))

@@ -213,3 +213,27 @@ def test_the_split_reads_its_input_three_times(spark, tmp_dir):
 
     out = add_next_event(df.mapInArrow(seen, df.schema), "k", "t", {"n": "id"}, ["id"], segment_rows=300)
     assert out.count() == 4000 and reads.value <= 3 * 4000
+
+
+@pytest.mark.parametrize("case", ["spread", "one time", "null times", "null key"])
+def test_segments_grow_instead_of_their_number(spark, monkeypatch, case):
+    from daybridge.operators import next_event as ne
+
+    asked = []
+    real = ne._ranges
+    monkeypatch.setattr(ne, "_ranges", lambda rows, segments, *rest: asked.append(segments) or real(rows, segments, *rest))
+    monkeypatch.setattr(ne, "MAX_SEGMENTS", 8, raising=False)
+    rows = BURSTS[case] + [(i % 50 + 1, 2000 + i, "2024-01-02 00:00:00") for i in range(200)]  # small keys, hot by segment_rows alone
+    df = spark.createDataFrame(rows, "k long, id long, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    base = add_next_event(df, "k", "t", {"next_id": "id"}, ["id"], strategy="window")
+    got = add_next_event(df, "k", "t", {"next_id": "id"}, ["id"], segment_rows=3)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, base.collect()))
+    assert asked == ([9] if case in ("one time", "null times") else [])  # not one for every three rows
+
+
+def test_many_equal_and_missing_first_times_are_searched_right(spark):
+    rows = [(i % 2, i, None if i % 11 == 0 else (i * 37) % 700) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, id long, t long")
+    base = add_next_event(df, "k", "t", {"next_id": "id"}, ["id"], strategy="window")
+    got = add_next_event(df, "k", "t", {"next_id": "id"}, ["id"], segment_rows=190)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, base.collect()))
