@@ -124,25 +124,34 @@ class FileLayout:
         return max(1, int(self.file_bytes * batch_rows / max(1, batch_bytes)))
 
 
+#: Rows that a task writes, unless its files are larger or the shuffle partitions are more: small files of several days share a task.
+TASK_ROWS = 1_000_000
+
+
 def by_files(df: DataFrame, partition_col: str, layout: FileLayout, staged_path: str, staged_rows: int) -> DataFrame:
     """Rows dealt so that every day is written as ceil(rows / rows per file) files of even size.
 
     Rows get a running number within their task, so that neither few distinct rows nor a hot key make a file larger, and
-    go straight to the task of their file (``repartitionById``), which adaptive execution leaves as it is. The rows are
+    go straight to the task of their file (``repartitionById``), which adaptive execution leaves as it is. A task may have
+    files of several days, of a day one at most: the files of all days are dealt in turn to as many tasks as the day with the most
+    files needs, and more where there is work for them (see ``TASK_ROWS``). The rows are
     written to the scratch folder first: the days are counted there.
     """
     spark, day = df.sparkSession, F.col(_quote(partition_col))
     size = folder_bytes(spark, staged_path) if layout.file_bytes else 0
     per_file = layout.rows_per_file(size, staged_rows)
     rows = materialize(df, "layout")
-    files, first = [], 0
+    files, first, n_rows = [], 0, 0
     for value, n in sorted(rows.groupBy(day).count().collect()):
         files.append((value, first, -(-n // per_file)))
         first += files[-1][2]
+        n_rows += n
     if not files:
         return df
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // TASK_ROWS))
+    tasks = max(min(first, wanted), *(f[2] for f in files), 1)
     dealt = spark.createDataFrame(files, f"_db_day {df.schema[partition_col].dataType.simpleString()}, _db_first int, _db_files int")
     numbered = rows.withColumn("_db_at", F.monotonically_increasing_id())
     met = numbered.join(F.broadcast(dealt), day == F.col("_db_day"))
     slot = F.col("_db_first") + F.pmod(F.col("_db_at"), F.col("_db_files")).cast("int")
-    return met.repartitionById(first, slot).drop("_db_day", "_db_first", "_db_files", "_db_at")
+    return met.repartitionById(tasks, F.pmod(slot, F.lit(tasks))).drop("_db_day", "_db_first", "_db_files", "_db_at")

@@ -5,6 +5,7 @@ import json
 import logging
 import threading
 import uuid
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -16,7 +17,7 @@ from daybridge.operators.order import order_faults
 from daybridge.plans.flight_load import IngestConfig
 from daybridge.sources.json_source import BadRecords, Rescue, ingest_json
 from daybridge.sources.schemas import field_paths, known_schema
-from daybridge.sources.tables import FileLayout, describe_table, overwrite_partitions
+from daybridge.sources.tables import FileLayout, by_files, describe_table, overwrite_partitions
 
 SPECS = [ColumnSpec("id", "int"), ColumnSpec("name", "string"), ColumnSpec("n", "int")]
 SCHEMA = "id int, name string, items array<struct<n:int>>"
@@ -227,6 +228,23 @@ def test_files_by_bytes_and_rows(spark, tmp_path):
     assert files(table) == [3, 3]
 
 
+def test_small_files_of_several_days_share_a_task(spark, tmp_path):
+    rows = [(i, date(2024, 1, 1) + timedelta(days=min(i % 40, 29))) for i in range(1200)]  # 11 times the rows in the last day
+    df = spark.createDataFrame(rows, "id int, d date")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        dealt = by_files(df, "d", FileLayout(file_rows=10), "", 0)
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+    assert dealt.rdd.getNumPartitions() == 33  # the files of the last day; 120 of all days
+    dealt.write.partitionBy("d").parquet(f"{tmp_path}/days")
+    stored = spark.read.parquet(f"{tmp_path}/days")
+    sizes = [tuple(r) for r in stored.groupBy("d", F.input_file_name()).count().select("d", "count").collect()]
+    assert sorted(r.id for r in stored.collect()) == list(range(1200))
+    assert Counter(d for d, _ in sizes) == {date(2024, 1, 1) + timedelta(days=k): 33 if k == 29 else 3 for k in range(30)}
+    assert max(n for _, n in sizes) <= 20
+
+
 def test_table_description(spark, tmp_path):
     table = f"told_{uuid.uuid4().hex[:8]}"
     df = spark.createDataFrame([(1, "x", date(2024, 1, 1))], "a int, b string, d date")
