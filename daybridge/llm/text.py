@@ -156,6 +156,14 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[[i for i in range(33, 127) if not chr(i).isalnum() and i != 39]] = True
+#: What a byte may be, in one look-up: a bit for each table above, and one for parts of longer characters.
+_KIND = _ASCII_SPACE * np.uint8(1) + _MAY_START_SPACE * np.uint8(2) + _LETTER * np.uint8(4) + _SIGN * np.uint8(8)
+_KIND[0x80:] += 16
+
+
+def translated(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[data]`` of bytes, without an index of eight bytes for each."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), dtype=np.uint8)
 
 
 def load_tokenizer(path: str):
@@ -180,14 +188,14 @@ def safe_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     n = len(data)
     if n == 0:
         return np.unique(starts[starts < n])
+    kind = translated(data, _KIND)
     after = np.ones(n, dtype=bool)
-    after[:-1] = _MAY_START_SPACE[data[1:]]
-    after[-1] = True
+    after[:-1] = (kind[1:] & 2) > 0
     before = np.ones(n, dtype=bool)
-    before[1:] = _ASCII_SPACE[data[:-1]] | (data[:-1] >= 0x80)
+    before[1:] = (kind[:-1] & 17) > 0
     letter = np.zeros(n, dtype=bool)
-    letter[1:] = _LETTER[data[:-1]]
-    cut = ((data == 32) & ~after) | ((data == 10) & ~before) | (_SIGN[data] & letter)
+    letter[1:] = (kind[:-1] & 4) > 0
+    cut = ((data == 32) & ~after) | ((data == 10) & ~before) | (((kind & 8) > 0) & letter)
     cut[starts[starts < n]] = True
     return np.flatnonzero(cut)
 
@@ -247,6 +255,16 @@ class PieceTable:
 _TABLES: dict[str, PieceTable] = {}
 
 
+def free_tables() -> None:
+    """Give back what tasks of earlier stages left in this worker: pieces met, tokenizers, and Arrow's unused memory.
+
+    Spark uses a Python worker again for the next stage; one that needs no token ids need not hold them. They are caches alone.
+    """
+    _TABLES.clear()
+    _LOADED.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def folding(tok) -> np.ndarray | None:
     """Bytes that a tokenizer takes for one another, as a table; None if it keeps all apart.
 
@@ -276,7 +294,7 @@ def _pieces(texts: pa.Array, fold: np.ndarray | None) -> tuple[np.ndarray, np.nd
     data = np.frombuffer(raw, dtype=np.uint8, count=int(offs[-1])) if raw is not None else np.zeros(0, np.uint8)
     cuts = safe_cuts(data, offs[:-1])
     bounds = np.r_[cuts, len(data)].astype(np.int32)
-    data = data if fold is None else fold[data]
+    data = data if fold is None else translated(data, fold)
     return cuts, offs, pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
 

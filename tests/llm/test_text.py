@@ -29,3 +29,19 @@ def test_words_and_shingles():
     values, off = distinct_per_document(*shingle_hashes(w.hashes()[w.ids], w.offsets, 4))
     sets = [{tuple(x[j : j + 4]) for j in range(max(1, len(x) - 3))} if x else set() for x in got]
     assert np.diff(off).tolist() == [len(s) for s in sets]
+
+
+def test_bytes_are_looked_up_without_a_wide_index():
+    from daybridge.llm import text
+
+    data = np.random.default_rng(2).integers(0, 256, 5000, dtype=np.uint8)
+    table = np.arange(255, -1, -1, dtype=np.uint8)
+    assert np.array_equal(text.translated(data, table), table[data])
+    for bit, kind in ((1, text._ASCII_SPACE), (2, text._MAY_START_SPACE), (4, text._LETTER), (8, text._SIGN)):
+        assert np.array_equal((text._KIND & bit) > 0, kind)
+    assert np.array_equal((text._KIND & 16) > 0, np.arange(256) >= 0x80)
+    some = b"one  two\nthree\xc2\xa0 four.five's \n\n six"
+    cuts = text.safe_cuts(np.frombuffer(some, np.uint8), np.array([0]))
+    assert [some[a:b] for a, b in zip(cuts, [*cuts[1:], len(some)])] == [
+        b"one ", b" two", b"\nthree\xc2\xa0", b" four", b".five's \n\n", b" six"
+    ]
