@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.text import column, runs
+from daybridge.llm.text import column, free_tables, runs
 
 CHUNK, STEP = 512, 448  # bytes of a chunk, and from one chunk to the next
 WIDTH, STRIDE, VECTOR, FILTERS = 8, 2, 8, 24
@@ -244,6 +244,7 @@ def score_quality(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_tables()
         for run in runs(batches, "text"):
             score = shared.value.scores(column(run, "text"))
             yield pa.RecordBatch.from_arrays([column(run, "doc_id"), pa.array(score)], names=["doc_id", "score"])
@@ -257,6 +258,7 @@ def keep_quality(docs: DataFrame, model: ByteCnn, threshold: float, text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_tables()
         for run in runs(batches, text_col):
             yield run.filter(pa.array(shared.value.scores(column(run, text_col)) >= threshold))
 

@@ -26,12 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybridge.llm.text import U64, Words, column, runs, shingle_hashes
+from daybridge.llm.text import U64, Words, column, free_tables, runs, shingle_hashes
 
 RADIUS, BLOCKS = 19, 4
 BITS = 64 // BLOCKS
 #: Items whose index goes to the tasks at once (about 40 KB each); a larger benchmark takes several passes.
 ITEMS_AT_ONCE = 1_000
+#: Shingles whose running sums are in memory at once: windows are taken in stretches that cover about so many.
+COVER_AT_ONCE = 1 << 15
+#: Bytes of text whose words and shingles are in memory at once.
+TEXT_AT_ONCE = 2 << 20
 HIT_SCHEMA = "doc_id long, item_id long, first_word long, n_words long, similarity double"
 
 
@@ -49,6 +53,27 @@ def _signs(hashes: np.ndarray) -> np.ndarray:
     return (np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32) << 1) - 1
 
 
+def _covered(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All positions of the stretches ``low`` to ``high``, both included, in ascending order and once each."""
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    fresh = np.r_[True, low[1:] > high[:-1]]
+    first, n = low[fresh], high[np.r_[fresh[1:], True]] - low[fresh] + 1
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def _ends(offsets: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """End of the document of each position."""
+    return offsets[np.searchsorted(offsets, starts, side="right")]
+
+
+def _stretches(starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Ascending window starts, cut into stretches that cover about ``COVER_AT_ONCE`` positions each."""
+    before = np.r_[0, np.maximum.accumulate(ends)[:-1]]
+    covered = np.cumsum(np.maximum(ends - np.maximum(starts, before), 0))
+    return np.split(starts, np.flatnonzero(np.diff(covered // COVER_AT_ONCE)) + 1)
+
+
 class ItemIndex:
     """Fingerprints and shingles of items that share one shingle size, with the multi-index of their blocks."""
 
@@ -110,8 +135,9 @@ class ItemIndex:
             low = np.maximum(p - length + 1, offsets[d])
             high = np.maximum(np.minimum(p, offsets[d + 1] - length), offsets[d])
             low = np.minimum(low, high)
-            starts = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in set(zip(low, high, strict=True))]))
-            self._windows(shingles, offsets, starts, int(length), best)
+            starts = _covered(low, high)
+            for some in _stretches(starts, np.minimum(starts + length, _ends(offsets, starts))):
+                self._windows(shingles, offsets, some, int(length), best)
             self._counted(shingles, offsets, starts, int(length), d, item[mine], p, threshold, best)
         return [(d, i, s, w, sim) for (d, i), (sim, s, w) in best.items()]
 
@@ -226,7 +252,8 @@ def benchmark_hits(
         shared = spark.sparkContext.broadcast(indexes)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for run in runs(batches, "text"):
+            free_tables()
+            for run in runs(batches, "text", TEXT_AT_ONCE):
                 found = _run_hits(column(run, "text"), shared.value, threshold)
                 if found:
                     d, i, f, n, s = (list(x) for x in zip(*found, strict=True))
@@ -256,7 +283,8 @@ def remove_contaminated(
         shared = spark.sparkContext.broadcast(indexes)
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for run in runs(batches, text_col):
+            free_tables()
+            for run in runs(batches, text_col, TEXT_AT_ONCE):
                 clean = np.ones(run.num_rows, dtype=bool)
                 clean[[x[0] for x in _run_hits(column(run, text_col), shared.value, threshold)]] = False
                 yield run.filter(pa.array(clean))

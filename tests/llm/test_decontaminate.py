@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from daybridge.llm.decontaminate import RADIUS, ItemIndex, benchmark_hits, remove_contaminated
 from daybridge.llm.text import U64, mix
@@ -102,3 +103,42 @@ def test_long_items_cut_short_and_filled_are_all_found(spark):
 def brute_near(docs, items):
     """brute, for pairs of equal number alone: the others share no words."""
     return {pair for d, i in zip(docs, items) for pair in brute([d], [i])}
+
+
+def test_windows_in_stretches_find_what_one_pass_finds(monkeypatch):
+    from daybridge.llm import decontaminate as d
+
+    rng = np.random.default_rng(4)
+    items = [(i, rng.integers(1, 1 << 62, 30, dtype=np.uint64), 34) for i in range(6)]
+    index = d.ItemIndex(items, 5)
+    docs = []
+    for i in range(40):
+        own = [items[j][1][a : a + 25] for j, a in zip(rng.integers(0, 6, 12), rng.integers(0, 6, 12), strict=True)]
+        docs.append(np.concatenate([x for o in own for x in (o, rng.integers(1, 1 << 62, 9, dtype=np.uint64))]))
+    docs += [docs[0][:3], docs[1][:0]]
+    offsets = np.r_[0, np.cumsum([len(x) for x in docs])]
+    shingles, covers = np.concatenate(docs), []
+    signs = d._signs
+    monkeypatch.setattr(d, "_signs", lambda hashes: covers.append(len(hashes)) or signs(hashes))
+    found = []
+    for limit in (1 << 30, 100):
+        monkeypatch.setattr(d, "COVER_AT_ONCE", limit, raising=False)
+        found.append(sorted(index.hits(shingles, offsets)))
+        if limit == 100:
+            assert max(covers) <= 100 + 2 * 30  # a stretch and a window at either end
+        covers.clear()
+    assert found[0] == found[1] and len(found[0]) > 40
+    low, high = np.array([7, 0, 3, 7]), np.array([9, 2, 5, 7])
+    assert d._covered(low, high).tolist() == [0, 1, 2, 3, 4, 5, 7, 8, 9]
+
+
+def test_a_task_without_token_ids_frees_what_earlier_tasks_left():
+    from daybridge.llm import text
+    from daybridge.llm.queries import WORD_BPE
+
+    before = text.token_ids(pa.array(["one two  three", None]), WORD_BPE)
+    assert text._TABLES and text._LOADED
+    text.free_tables()
+    assert not text._TABLES and not text._LOADED
+    after = text.token_ids(pa.array(["one two  three", None]), WORD_BPE)
+    assert all(np.array_equal(a, b) for a, b in zip(before, after, strict=True))
