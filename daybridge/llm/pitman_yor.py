@@ -45,6 +45,8 @@ CONTEXT_BITS, WITHIN_BITS = 16, 7  # of a key; of those, the word's hash within
 # Restaurant without context, kinds, classes, contexts; chosen by held-out perplexity on the sample tables.
 DISCOUNTS = (0.8, 0.75, 0.8, 0.9)
 STRENGTH = 1.0
+#: Dishes still opening tables, below which arrays cost more than they spare.
+FEW = 16
 #: Sweeps of all restaurants, after each of which sums are exchanged, and how many of the last states are averaged.
 ROUNDS, SAMPLES = 4, 3
 BLOCK_BYTES, RUN_BYTES = 16 << 20, 1 << 20
@@ -145,6 +147,12 @@ def _first_of_word(keys: np.ndarray) -> np.ndarray:
     return np.r_[True, word[1:] != word[:-1]] if len(keys) else np.zeros(0, bool)
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys; ``np.unique`` without further answers hashes them, which takes far longer than a sort."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
+
+
 def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted keys with counts: each word once, then its contexts."""
     first = np.flatnonzero(_first_of_word(keys))
@@ -184,18 +192,32 @@ def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.r
     table adds to it: rows (base, step) so that with n tables the weight is base + step * n.
     """
     tables = (customers > 0).astype(np.int64)
-    guests = tables.copy()
-    active = np.flatnonzero(customers > 1)
-    while len(active):
-        n, i = tables[active], guests[active]
-        weight = np.maximum(strength[0][active] + strength[1][active] * n, 1e-12)
-        chance = np.maximum(rng.beta(weight, i - discount * n), 1e-15)
-        opened = i + rng.geometric(chance)
-        more = (opened <= customers[active]) & (opened > 0)
-        active = active[more]
-        tables[active] += 1
-        guests[active] = opened[more]
-        active = active[guests[active] < customers[active]]
+    rows = np.flatnonzero(customers > 1)
+    base, step, last = strength[0][rows], strength[1][rows], customers[rows].astype(np.int64)
+    n, opened = 1, np.ones(len(rows), dtype=np.int64)  # tables, and guests when the latest was opened
+    while len(rows) > FEW:
+        weight = np.maximum(base + step * n, 1e-12)
+        chance = np.maximum(rng.beta(weight, opened - discount * n), 1e-15)
+        opened = opened + rng.geometric(chance)
+        n += 1
+        more = (opened <= last) & (opened > 0)
+        tables[rows[more]] = n
+        more &= opened < last
+        if not more.all():
+            rows, base, step, last, opened = rows[more], base[more], step[more], last[more], opened[more]
+    # The hottest dishes go on long after the others: the same draws in the same order, without arrays.
+    dishes = list(zip(rows.tolist(), base.tolist(), step.tolist(), last.tolist(), strict=True))
+    guests = opened.tolist()
+    while dishes:
+        chances = [rng.beta(max(b + s * n, 1e-12), i - discount * n) for (_, b, s, _), i in zip(dishes, guests, strict=True)]
+        guests = [i + int(rng.geometric(max(chance, 1e-15))) for chance, i in zip(chances, guests, strict=True)]
+        n += 1
+        for (row, _, _, end), i in zip(dishes, guests, strict=True):
+            if i <= end:
+                tables[row] = n
+        on = [k for k, i in enumerate(guests) if i < dishes[k][3]]
+        if len(on) < len(dishes):
+            dishes, guests = [dishes[k] for k in on], [guests[k] for k in on]
     return tables
 
 
@@ -380,7 +402,7 @@ def _scores(buckets: int):
         )
         if not done:
             return schema.empty_table()
-        asked = np.unique(np.concatenate([d for _, d, _, _ in done]))
+        asked = _distinct(np.concatenate([d for _, d, _, _ in done]))
         first = _first_of_word(asked)
         bucket = _bucket(asked, buckets)
         log_p, per_word = np.empty(len(asked), dtype="<f4"), []

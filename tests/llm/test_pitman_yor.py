@@ -44,6 +44,58 @@ def test_seating_has_the_expected_number_of_tables():
     assert P.seat(np.array([0, 1]), np.zeros((2, 2)), d, rng).tolist() == [0, 1]
 
 
+def _seat_one_by_one(customers, strength, discount, rng):
+    """All dishes that still open tables, in turn, with whole arrays at each step."""
+    tables = (customers > 0).astype(np.int64)
+    guests = tables.copy()
+    active = np.flatnonzero(customers > 1)
+    while len(active):
+        weight = np.maximum(strength[0][active] + strength[1][active] * tables[active], 1e-12)
+        chance = np.maximum(rng.beta(weight, guests[active] - discount * tables[active]), 1e-15)
+        opened = guests[active] + rng.geometric(chance)
+        more = (opened <= customers[active]) & (opened > 0)
+        active = active[more]
+        tables[active] += 1
+        guests[active] = opened[more]
+        active = active[guests[active] < customers[active]]
+    return tables
+
+
+class _Counting:
+    """A generator that counts the draws of whole arrays."""
+
+    def __init__(self, seed):
+        self.rng, self.arrays = np.random.default_rng(seed), 0
+
+    def beta(self, a, b):
+        self.arrays += isinstance(b, np.ndarray)
+        return self.rng.beta(a, b)
+
+    def geometric(self, p):
+        return self.rng.geometric(p)
+
+
+def test_seating_of_hot_dishes_draws_alike_without_arrays():
+    many = np.random.default_rng(2).zipf(1.4, 3_000).clip(0, 5_000)
+    few = np.array([0, 1, 2, 30_000, 20_000, 2])
+    for customers in (many, few, few[:0], np.array([1, 0])):
+        for base, step, d in ((0.8, 0.1, 0.9), (0.0, 0.0, 0.75), (40.0, 0.5, 0.8)):
+            strength = np.array([[base] * len(customers), [step] * len(customers)])
+            plain, rng = np.random.default_rng(4), _Counting(4)
+            want = _seat_one_by_one(customers, strength, d, plain)
+            got = P.seat(customers, strength, d, rng)
+            assert got.tolist() == want.tolist()
+            assert rng.rng.bit_generator.state == plain.bit_generator.state
+            assert rng.arrays < 2 + (np.sort(want)[-P.FEW] if len(want) >= P.FEW else 0)
+    assert want.size == 2
+
+
+def test_distinct_keys():
+    keys = np.array([5, 1, 5, (1 << 64) - 1, 0, 1], dtype=U64)
+    assert P._distinct(keys).tolist() == [0, 1, 5, (1 << 64) - 1] and keys[0] == 5
+    assert P._distinct(keys[:0]).tolist() == []
+
+
 def _cross(seed):
     """Every pair of 60 words and six contexts, with counts; some words are unmet."""
     rng = np.random.default_rng(seed)
