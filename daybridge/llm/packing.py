@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybridge.llm.text import column, load_tokenizer, runs, token_ids
+from daybridge.llm.text import TOKEN_BYTES, column, give_back, load_tokenizer, runs, token_ids
 from daybridge.sources.scratch import scratch_path
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary"
@@ -126,7 +126,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
     kind = np.dtype(id_type(tokenizer, end_id))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, "text"):
+        give_back()
+        for run in runs(batches, "text", TOKEN_BYTES):
             ids, off = token_ids(column(run, "text"), tokenizer)
             n = len(off) - 1
             full = np.empty(len(ids) + n, dtype=kind)
@@ -205,10 +206,9 @@ def pack_documents(
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        give_back()
+        for batch in runs(batches, "ids", TOKEN_BYTES):
             lengths = column(batch, "length").to_numpy(zero_copy_only=False)
-            if not len(lengths):
-                continue
             seq, at = place(plan, lengths, column(batch, "rank").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], widened(batch.column(4), kind), pa.array(seq), pa.array(at)],

@@ -7,6 +7,7 @@ Spark decides what a batch is and moves the data between tasks.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 from collections.abc import Callable, Iterator
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"\x20\x09-\x0D"
 #: Rows a task hands to Python at once are cut into runs of about this many text bytes.
 RUN_BYTES = 6 << 20
+#: Bytes of text whose pieces and token ids are in memory at once: they take far more memory than the text.
+TOKEN_BYTES = 2 << 20
 
 U64 = np.uint64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=U64)
@@ -203,10 +206,12 @@ def safe_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class PieceTable:
     """Ids of the pieces a process has met, so that a word is encoded once and not once per batch.
 
-    A cache alone: it holds at most ``MAX_PIECES`` pieces and starts anew beyond, which changes no id.
+    A cache alone: it holds at most ``MAX_PIECES`` pieces and ``MAX_BYTES`` of them, as one Arrow array. Beyond, it goes
+    on with those met again since, which changes no id; a run with more pieces than that has the table to itself.
     """
 
     MAX_PIECES = 600_000
+    MAX_BYTES = 16 << 20
 
     def __init__(self, tok):
         self.tok = tok
@@ -214,35 +219,46 @@ class PieceTable:
         self.clear()
 
     def clear(self) -> None:
-        self.row: dict[str, int] = {}
-        self.offsets = np.zeros(1 << 16, dtype=np.int64)
-        self.ids = np.zeros(1 << 18, dtype=np.int32)
+        self.known = pa.array([], pa.string())
+        self.offsets = np.zeros(1, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.int32)
+        self.met = np.zeros(0, dtype=np.int32)
+
+    def _make_room(self, pieces: pa.Array) -> None:
+        if self._fits(pieces):
+            return
+        again = np.flatnonzero(self.met > 1)
+        self.known = self.known.take(pa.array(again))
+        at, self.offsets = ragged(self.offsets, again)
+        self.ids, self.met = self.ids[at], np.zeros(len(again), dtype=np.int32)
+        if not self._fits(pieces):
+            self.clear()
+
+    def _fits(self, pieces: pa.Array) -> bool:
+        return len(self.known) + len(pieces) <= self.MAX_PIECES and self.known.nbytes + pieces.nbytes <= self.MAX_BYTES
 
-    def rows(self, pieces: list[str]) -> np.ndarray:
+    def rows(self, pieces: pa.Array) -> np.ndarray:
         """Row of each piece (the pieces are distinct); unknown ones are encoded first."""
-        if len(self.row) + len(pieces) > self.MAX_PIECES:
-            self.clear()
-        row = self.row
-        fresh = [p for p in pieces if p not in row]
-        if fresh:
+        self._make_room(pieces)
+        n, found = len(self.known), pc.index_in(pieces, value_set=self.known)
+        rows = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = rows < 0
+        if new.any():
+            fresh = pieces.filter(pa.array(new))
+            rows[new] = np.arange(n, n + len(fresh))
             lens, ids = self._encoded(fresh)
-            n, end = len(row), int(self.offsets[len(row)])
-            total = end + len(ids)
-            if n + len(fresh) + 1 > len(self.offsets):
-                self.offsets = np.resize(self.offsets, 2 * (n + len(fresh) + 1))
-            if total > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * total)
-            self.offsets[n + 1 : n + 1 + len(fresh)] = end + np.cumsum(lens)
-            self.ids[end:total] = ids
-            row.update(zip(fresh, range(n, n + len(fresh)), strict=True))
-        return np.fromiter(map(row.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-
-
-    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.offsets = np.r_[self.offsets, self.offsets[-1] + np.cumsum(lens)]
+            self.ids = np.r_[self.ids, ids]
+            self.met = np.r_[self.met, np.zeros(len(fresh), dtype=np.int32)]
+        self.met[rows] += 1
+        return rows
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each piece, and the ids. Pieces go to the library in lists, as words split already."""
         lens, ids, step = [], [], 200
         for a in range(0, len(pieces), 25 * step):  # an Encoding takes far more memory than its ids
-            part = pieces[a : a + 25 * step]
+            part = pieces.slice(a, 25 * step).to_pylist()
             lists = [part[i : i + step] for i in range(0, len(part), step)]
             for e, some in zip(
                 self.tok.encode_batch(lists, is_pretokenized=True, add_special_tokens=False), lists, strict=True
@@ -255,14 +271,22 @@ class PieceTable:
 _TABLES: dict[str, PieceTable] = {}
 
 
+def give_back() -> None:
+    """Return memory to the system that this worker's earlier tasks used and that Arrow and the C library still hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone
+    if trim is not None:
+        trim(0)
+
+
 def free_tables() -> None:
-    """Give back what tasks of earlier stages left in this worker: pieces met, tokenizers, and Arrow's unused memory.
+    """Give back what tasks of earlier stages left in this worker: pieces met, tokenizers, and unused memory.
 
     Spark uses a Python worker again for the next stage; one that needs no token ids need not hold them. They are caches alone.
     """
     _TABLES.clear()
     _LOADED.clear()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def folding(tok) -> np.ndarray | None:
@@ -313,7 +337,7 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     whole = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False).astype(bool)
     cuts, offs, pieces = _pieces(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, table.fold)
     encoded = pieces.dictionary_encode()
-    rows = table.rows(encoded.dictionary.to_pylist())[encoded.indices.to_numpy(zero_copy_only=False)]
+    rows = table.rows(encoded.dictionary)[encoded.indices.to_numpy(zero_copy_only=False)]
     at, ends = ragged(table.offsets, rows)
     ids = table.ids[at]
     doc_off = ends[np.searchsorted(cuts, offs, side="left")]

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybridge.llm.text import column, load_tokenizer, runs, safe_cuts, token_ids
+from daybridge.llm.text import TOKEN_BYTES, column, load_tokenizer, runs, safe_cuts, token_ids
 
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
@@ -122,7 +122,7 @@ def count_tokens(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load_tokenizer(tokenizer)
-        for run in runs(batches, "text"):
+        for run in runs(batches, "text", TOKEN_BYTES):
             texts = pc.fill_null(column(run, "text"), "")
             n_bytes = pc.binary_length(texts)
             huge = pc.greater(pc.utf8_length(texts), chunk_chars).to_numpy(zero_copy_only=False)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daybridge.llm.text import column, runs, token_ids
+from daybridge.llm.text import TOKEN_BYTES, column, runs, token_ids
 
 DATA_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, tokens array<int>"
 ROW_GROUP_BYTES = 16 << 20
@@ -48,7 +48,7 @@ def write_tokens(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        for run in runs(batches, "text"):
+        for run in runs(batches, "text", TOKEN_BYTES):
             ids, off = token_ids(column(run, "text"), tokenizer)
             n = len(off) - 1
             full = np.empty(len(ids) + n, dtype=np.int32)

@@ -1,12 +1,14 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from daybridge.llm import queries as Q
-from daybridge.llm.packing import best_fit_plan, pack_documents, packed_sequences, place
+from daybridge.llm.packing import best_fit_plan, pack_documents, packed_sequences, place, token_pieces
 from daybridge.llm.text import load_tokenizer
 from tests.llm.helpers import edge_rows, frame
 
@@ -71,3 +73,24 @@ def test_random_order_gives_the_same_bins():
     items = list(counts.items())
     rng.shuffle(items)
     assert (best_fit_plan(dict(items), 256) == best_fit_plan(counts, 256)).all()
+
+
+def test_token_pieces_hold_little_memory_at_once(spark, monkeypatch):
+    """Peak of Python's and numpy's memory over one batch of 3,600 texts of 300 words (was 143 MB, now 51)."""
+    rng = np.random.default_rng(5)
+    words = [f"w{x:x}" for x in rng.integers(0, 1 << 24, 200_000)]
+    texts = [" ".join(words[a] for a in rng.integers(0, len(words), 300)) for _ in range(3_600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    docs, work = frame(spark, [(1, "a")]), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, schema: work.append(fn))
+    token_pieces(docs, Q.BYTE_BPE, 0, 2048, "doc_id", "text")
+    tracemalloc.start()
+    try:
+        lengths = [sum(out.column(3).to_pylist()) for out in work[0](iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    tok = load_tokenizer(Q.BYTE_BPE)
+    sizes = [len(tok.encode(t, add_special_tokens=False).ids) + 1 for t in texts[:50]]
+    assert sum(sizes) < sum(lengths) and len(lengths) > 1
+    assert peak < 100 << 20, peak

@@ -5,6 +5,8 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from daybridge.llm import queries as Q
+from daybridge.llm import text
 from daybridge.llm.text import Words, distinct_per_document, load_tokenizer, shingle_hashes, token_ids
 from tests.llm.helpers import words
 
@@ -45,3 +47,23 @@ def test_bytes_are_looked_up_without_a_wide_index():
     assert [some[a:b] for a, b in zip(cuts, [*cuts[1:], len(some)])] == [
         b"one ", b" two", b"\nthree\xc2\xa0", b" four", b".five's \n\n", b" six"
     ]
+
+
+def test_a_full_piece_table_goes_on_with_pieces_met_again(monkeypatch):
+    tok = load_tokenizer(Q.BYTE_BPE)
+    monkeypatch.setattr(text.PieceTable, "MAX_PIECES", 60)
+    text.free_tables()
+    asked = []
+    encoded = text.PieceTable._encoded
+    monkeypatch.setattr(text.PieceTable, "_encoded", lambda self, p: asked.extend(str(x) for x in p) or encoded(self, p))
+    for i in range(30):
+        texts = ["the same words" + "".join(f" only{i}x{j}" for j in range(8)), "", None]
+        ids, off = token_ids(pa.array(texts), Q.BYTE_BPE)
+        assert off[1] == off[3] == len(ids)
+        assert ids.tolist() == tok.encode(texts[0], add_special_tokens=False).ids
+        assert asked.count(" same") == 1
+        table = text._TABLES[Q.BYTE_BPE]
+        assert len(table.known) == len(table.met) == len(table.offsets) - 1 <= 60 and table.offsets[-1] == len(table.ids)
+    many = " ".join(f"more{j}" for j in range(100))  # more in one run than the table may hold
+    assert token_ids(pa.array([many]), Q.BYTE_BPE)[0].tolist() == tok.encode(many, add_special_tokens=False).ids
+    text.free_tables()
